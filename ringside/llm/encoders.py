@@ -9,10 +9,38 @@ worker; a bounded table holds the ids, so a text costs one lookup a fragment.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-from .bpe import CACHE_BYTES, CACHE_FRAGMENTS, vocabulary
+from .bpe import CACHE_BYTES, vocabulary
+
+#: Fragments in each of the two generations of a worker's table (memory bound only).
+GENERATION = 350_000
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?!\S)")
+_PLAIN = re.compile(r" ?[^\s<]+")
+#: One run of letters in composed lower case, so one word of the vocabulary.
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
+
+
+def _printed(b: np.ndarray) -> np.ndarray:
+    return (b > 0x20) & (b < 0x7F)
+
+
+class _Table(dict):
+    """Ids by fragment, over the generation before; what neither has is noted in ``unknown`` and None."""
+
+    def __init__(self, old: dict[bytes, bytes]):
+        super().__init__()
+        self.old, self.unknown = dict(old), []
+
+    def __missing__(self, fragment: bytes) -> bytes | None:
+        ids = self.old.get(fragment)
+        if ids is None:
+            self.unknown.append(fragment)
+        else:
+            self[fragment] = ids
+        return ids
 
 
 class FragmentEncoder:
@@ -25,34 +53,74 @@ class FragmentEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        pre = self.tokenizer.pre_tokenizer
-        self.byte_level = type(pre).__name__ == "ByteLevel"
-        self.bpe = vocabulary(path) if self.byte_level else None
-        self.cache: dict[bytes, bytes] = {}
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.bpe = vocabulary(path) if type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" else None
+        if self.bpe is None:
+            suffix = self.tokenizer.model.end_of_word_suffix
+            vocab = self.tokenizer.get_vocab()
+            self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+            self.closes[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        else:  # a lone line end between fragments is an id of its own
+            self.newline = self.bpe.ids[b"\n"]
+        self.table = _Table({})
 
     def fragments(self, data: bytes) -> list[bytes]:
-        if self.bpe is None:
-            return data.split()
-        if any(s.encode() in data for s in self.bpe.special):
+        """Parts of a text that the library may encode alone, without the white space that it drops."""
+        if any(x in data for x in self.special):
             return [data]  # a special token's string: the library sees the text whole
-        at = self.bpe.cuts(np.frombuffer(data, dtype=np.uint8)).tolist()
+        if self.bpe is None:  # lower case is the vocabulary's own; a stop after a word is a piece of its own
+            return _STOP.sub(rb" \1", data.lower() if b"<|" not in data else data).split()
+        raw = np.frombuffer(data, dtype=np.uint8)
+        at = self.bpe.cuts(raw)
+        lone = np.flatnonzero(raw == 10) + 1  # a line end between two printed ASCII characters stands alone
+        lone = lone[(lone > 1) & (lone < len(raw))]
+        if len(lone):
+            lone = lone[_printed(raw[lone]) & _printed(raw[lone - 2])]
+            at = np.sort(np.concatenate([at, lone]))
+        at = at.tolist()
         return [data[a:b] for a, b in zip([0, *at], [*at, len(data)])]
 
+    def _encode_new(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Each fragment's ids; ordinary ones in one call, whose ids are told apart by what ends a fragment."""
+        out: dict[bytes, bytes] = {}
+        ordinary = _LETTERS.fullmatch if self.bpe is None else _PLAIN.fullmatch
+        plain, texts, odd = [], [], []
+        for p in parts:
+            t = p.decode()
+            if ordinary(t):
+                plain.append(p)
+                texts.append(t)
+            else:
+                odd.append((p, t))
+        if plain:
+            ids = np.array(self.tokenizer.encode("\n".join(texts), add_special_tokens=False).ids, dtype="<u4")
+            data, at = ids.tobytes(), 0
+            if self.bpe is None:
+                step, ends = 0, (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+            else:
+                step, ends = 4, [*(4 * np.flatnonzero(ids == self.newline)).tolist(), len(data)]
+            for p, e in zip(plain, ends, strict=True):
+                out[p] = data[at:e]
+                at = e + step
+        if odd:
+            for (p, _), e in zip(odd, self.tokenizer.encode_batch([t for _, t in odd], add_special_tokens=False)):
+                out[p] = np.array(e.ids, dtype="<u4").tobytes()
+        return out
+
     def encode_bytes(self, data: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
         if not data:
             return b""
-        parts, cache = self.fragments(data), self.cache
-        if len(cache) >= CACHE_FRAGMENTS:
-            cache.clear()
-        new = list({p for p in parts if p not in cache})
-        own: dict[bytes, bytes] = {}
-        if new:
-            for p, e in zip(new, self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)):
-                (cache if len(p) <= CACHE_BYTES else own)[p] = np.array(e.ids, dtype="<u4").tobytes()
-        if own:
-            return b"".join([cache.get(p) or own.get(p, b"") for p in parts])
-        return b"".join([cache[p] for p in parts])
+        parts, table = self.fragments(data), self.table
+        found = list(map(table.__getitem__, parts))
+        if table.unknown:
+            got = self._encode_new(list(set(table.unknown)))
+            table.unknown.clear()
+            found = [got[p] if x is None else x for p, x in zip(parts, found)]
+            table.update((p, x) for p, x in got.items() if len(p) <= CACHE_BYTES)
+            if len(table) >= GENERATION:
+                self.table = _Table(table)
+        return b"".join(found)
 
 
 _loaded: dict[str, FragmentEncoder] = {}

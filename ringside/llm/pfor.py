@@ -50,17 +50,20 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u4")])
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of unsigned 32-bit values, one after another."""
     if not width or not len(values):
         return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(len(values), 4), axis=1, bitorder="little")
+    return np.packbits(bits[:, :width].ravel(), bitorder="little").tobytes()
 
 
 def _unpack(data: bytes, width: int, n: int) -> np.ndarray:
     if not width:
         return np.zeros(n, dtype=np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    return (bits.astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+    room = 16 if width <= 16 else 32
+    bits = np.zeros((n, room), dtype=np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, dtype=np.uint8), count=n * width, bitorder="little").reshape(n, width)
+    return np.packbits(bits, axis=1, bitorder="little").view(f"<u{room // 8}").ravel().astype(np.uint32)
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
