@@ -4,10 +4,14 @@ The pieces are those of a public vocabulary file. Their probabilities start
 from the file's scores (in a BPE file these are minus ranks, read as a power
 law of the rank) and are fitted by expectation-maximisation to the training
 documents. A word (with a mark before it) can be written by many sequences of
-pieces; its probability is the sum over all of them, found by a forward
-recursion in log space over the lattice of its bytes. Single bytes are pieces
-too, so every text has a probability. A text's is the product over its words
-and the end sign; pieces never cross words, so no segmentation is left out.
+pieces; the lattice's probability of it is the sum over all of them, found by
+a forward recursion in log space over its bytes. Single bytes are pieces too,
+so every text has a probability. One more arc of the lattice is a word of the
+training documents as a whole, at its discounted relative frequency; the
+pieces share what discounting takes, and are fitted to that. A text's
+probability is the product over its words and the end sign; pieces never cross
+words, so no segmentation is left out. Given a column of languages, each has
+such a model, and a text's probability is their mixture.
 
 How counts reach the documents: each task cuts its documents into chunks of a
 bounded size, and writes of every chunk the documents as numbers into the
@@ -35,7 +39,9 @@ from .words import slices, text_buffer
 #: Bytes of text of a chunk.
 CHUNK_BYTES = 16_000_000
 #: Rounds of expectation-maximisation.
-ROUNDS = 2
+ROUNDS = 3
+#: Groups (languages) that get a model of their own.
+GROUPS = 6
 #: Weight that every piece has beside its expected count.
 PRIOR = 0.02
 #: Longest piece, in bytes.
@@ -218,39 +224,45 @@ def _log_sum(terms: list[np.ndarray], n: int) -> np.ndarray:
     return safe + np.log(np.sum([np.exp(t - safe) for t in terms], axis=0))
 
 
-_CHUNKS = "chunk long, docs binary, word_ids binary, word string, local int, n long"
+def _chunk_schema(groups: int) -> str:
+    return "chunk long, docs binary, word_ids binary, word string, local int, " + ", ".join(f"n{g} long" for g in range(groups))
 
 
-def _chunks(parts: int, part: int):
-    """Rows of two kinds: a chunk's documents as numbers, and the words of its list with training counts."""
+def _chunks(parts: int, part: int, groups: int):
+    """Rows of two kinds: a chunk's documents as numbers, and the words of its list with training counts by group."""
+    names = [x.split()[0] for x in _chunk_schema(groups).split(", ")]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int32(), *[pa.int64()] * groups]
+
+    def rows(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
         sizes: list[int] = []
         numbers: list[np.ndarray] = []
         table: dict[bytes, int] = {}
-        train: list[np.ndarray] = []
+        train: list[list[np.ndarray]] = [[] for _ in range(groups)]
         taken = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal taken
             chunk = uuid.uuid4().int >> 65
-            flat = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
-            count = np.bincount(np.concatenate(train), minlength=len(table)) if train else np.zeros(len(table), np.int64)
-            out = np.array([d or 0 for d in ids], np.int64).tobytes() + np.array([d is None for d in ids], np.uint8).tobytes()
-            head = np.array([len(ids)], np.int64).tobytes() + out + np.array(sizes, np.int64).tobytes()
-            yield _rows(([chunk], [zlib.compress(head, 1)], [zlib.compress(flat.tobytes(), 1)], [None], [None], [None]))
-            names = list(table)
-            for lo in range(0, len(names), 20_000):
-                some = [x.decode() for x in names[lo : lo + 20_000]]
+            flat = np.concatenate(numbers)
+            counts = [np.bincount(np.concatenate(t), minlength=len(table)) if t else np.zeros(len(table), np.int64) for t in train]
+            head = b"".join([np.array([len(ids)], np.int64).tobytes(), np.array([d or 0 for d in ids], np.int64).tobytes(), np.array([d is None for d in ids], np.uint8).tobytes(), np.array(sizes, np.int64).tobytes()])
+            yield rows([[chunk], [zlib.compress(head, 1)], [zlib.compress(flat.tobytes(), 1)], [None], [None], *[[None]] * groups])
+            words = list(table)
+            for lo in range(0, len(words), 20_000):
+                some = [x.decode() for x in words[lo : lo + 20_000]]
                 k = len(some)
-                yield _rows(([chunk] * k, [None] * k, [None] * k, some, np.arange(lo, lo + k, dtype=np.int32), count[lo : lo + k].astype(np.int64)))
-            ids.clear(), sizes.clear(), numbers.clear(), table.clear(), train.clear()
+                yield rows([[chunk] * k, [None] * k, [None] * k, some, np.arange(lo, lo + k, dtype=np.int32), *(c[lo : lo + k].astype(np.int64) for c in counts)])
+            for x in (ids, sizes, numbers, table, *train):
+                x.clear()
             taken = 0
 
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
-            docs = batch.column(0).to_pylist()
+            docs, group = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for i, j in slices(offsets, CHUNK_BYTES // 4):
                 for k in range(i, j):
                     found = raw[offsets[k] : offsets[k + 1]].tobytes().lower().split()
@@ -262,7 +274,7 @@ def _chunks(parts: int, part: int):
                     sizes.append(len(own))
                     numbers.append(own)
                     if not held_out(docs[k], parts, part):
-                        train.append(own)
+                        train[group[k]].append(own)
                     taken += int(offsets[k + 1] - offsets[k]) + 32
                     if taken >= CHUNK_BYTES:
                         yield from flush()
@@ -272,49 +284,79 @@ def _chunks(parts: int, part: int):
     return run
 
 
-def _rows(columns) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.int32(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[x.split()[0] for x in _CHUNKS.split(", ")])
-
+def _expect(pieces: list[bytes], log_p: np.ndarray, discounts: list[float]):
+    """Expected piece counts of each group, of the part of the words' counts that discounting takes."""
 
-def _expect(pieces: list[bytes], log_p: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces, log_p)
-        expected = np.zeros(len(pieces))
+        lattices = [Lattice(pieces, p) for p in log_p]
+        expected = np.zeros((len(lattices), len(pieces)))
         for batch in batches:
-            lattice.words([w.encode() for w in batch.column(0).to_pylist()], expected, batch.column(1).to_numpy().astype(np.float64))
-        some = np.flatnonzero(expected)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(expected[some])], names=["piece", "expected"])
+            words = [w.encode() for w in batch.column(0).to_pylist()]
+            for g, lattice in enumerate(lattices):
+                n = batch.column(1 + g).to_numpy()
+                some = np.flatnonzero(n)
+                lattice.words([words[i] for i in some.tolist()], expected[g], np.minimum(n[some], discounts[g]))
+        g, piece = np.nonzero(expected)
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(piece, pa.int32()), pa.array(expected[g, piece])], names=["g", "piece", "expected"])
 
     return run
 
 
-def fit_pieces(words: DataFrame, pieces: list[bytes], p: np.ndarray, end_count: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Natural log-probabilities of the pieces and of the end sign, fitted to ``words(word, n)``.
+class Model:
+    """Of each group: discount, backoff weight, training words, ends, weight of the group; and its pieces."""
+
+    def __init__(self, pieces: list[bytes], p: np.ndarray, sums: list[tuple[int, int, int, int]], ends: list[int]):
+        self.pieces, self.ends = pieces, ends
+        self.tokens = [s[0] for s in sums]
+        self.log_p = np.repeat(np.log(p)[None], len(sums), axis=0)
+        self.discounts = [once / (once + 2 * twice) if once else 0.5 for _, _, once, twice in sums]
+        self.backoff = [d * types / n if n else 1.0 for d, (n, types, _, _) in zip(self.discounts, sums)]
+        every = sum(ends)
+        self.prior = np.array([math.log10(e / every) if e else -math.inf for e in ends]) if every else np.array([0.0] + [-math.inf] * (len(ends) - 1))
+        share = [(e + 1) / (e + 1 + n) if n else 0.01 for e, n in zip(ends, self.tokens)]
+        self.end = np.array([math.log10(x) for x in share])
+        self.go_on = np.array([math.log10(1 - x) for x in share])
+
+    def words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        """log10 of each word's probability in each group, as (words, groups)."""
+        out = np.empty((len(words), len(self.ends)))
+        for g in range(len(self.ends)):
+            if not np.isfinite(self.prior[g]):
+                out[:, g] = 0
+                continue
+            spelled = Lattice(self.pieces, self.log_p[g]).words(words) / LN10
+            whole = np.maximum(counts[g] - self.discounts[g], 0) / max(1, self.tokens[g])
+            with np.errstate(divide="ignore"):
+                known, back = np.log10(whole), spelled + math.log10(self.backoff[g])
+            top = np.maximum(known, back)
+            out[:, g] = top + np.log10(10 ** (known - top) + 10 ** (back - top)) + self.go_on[g]
+        return out
+
+
+def fit_pieces(words: DataFrame, model: Model, rounds: int = ROUNDS) -> None:
+    """Fit the pieces' log-probabilities to ``words(word, n0, ...)``.
 
-    Each round sends one number a piece to the driver, as many as the vocabulary has.
+    Each round sends one number a piece and group to the driver, as many as the vocabulary has.
     """
-    log_p, log_end = np.log(p), 0.0
+    groups = len(model.ends)
     for _ in range(rounds):
-        rows = words.select("word", "n").mapInArrow(_expect(pieces, log_p), "piece int, expected double").groupBy("piece").agg(F.sum("expected").alias("expected")).toArrow()
-        counts = np.full(len(pieces), PRIOR)
-        counts[rows["piece"].to_numpy()] += rows["expected"].to_numpy()
-        total = counts.sum() + end_count + 1
-        log_p, log_end = np.log(counts / total), math.log((end_count + 1) / total)
-    if not rounds:
-        log_end = math.log(0.01)
-        log_p = log_p + math.log(0.99)
-    return log_p, log_end
+        run = _expect(model.pieces, model.log_p, model.discounts)
+        rows = words.select("word", *(f"n{g}" for g in range(groups))).mapInArrow(run, "g int, piece int, expected double").groupBy("g", "piece").agg(F.sum("expected").alias("expected")).toArrow()
+        counts = np.full((groups, len(model.pieces)), PRIOR)
+        counts[rows["g"].to_numpy(), rows["piece"].to_numpy()] += rows["expected"].to_numpy()
+        model.log_p = np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
-def _score_words(pieces: list[bytes], log_p: np.ndarray):
-    """Each word's answer to each of its chunks: (chunk, local number, count, log10 probability)."""
+def _score_words(model: Model):
+    """Each word's answer to its chunks: places, training count, log10 probability by group."""
+    groups = len(model.ends)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces, log_p)
         for batch in batches:
-            score = lattice.words([w.encode() for w in batch.column(0).to_pylist()]) / LN10
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(score)], names=["n", "places", "score"])
+            counts = np.array([batch.column(2 + g).to_numpy() for g in range(groups)])
+            score = model.words([w.encode() for w in batch.column(0).to_pylist()], counts).astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, score.size + 1, groups, dtype=np.int32)), pa.array(score.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(counts.sum(axis=0)), lists], names=["places", "n", "score"])
 
     return run
 
@@ -322,15 +364,18 @@ def _score_words(pieces: list[bytes], log_p: np.ndarray):
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score_documents(train_tokens: int, distinct: int, end_count: int, end_score: float, parts: int, part: int):
-    floor = math.log10(train_tokens + distinct + 1)
+def _score_documents(train_tokens: int, distinct: int, model: Model, parts: int, part: int):
+    floor, end_count = math.log10(train_tokens + distinct + 1), sum(model.ends)
+    prior, end = model.prior, model.end
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {x.split()[0]: [] for x in SCORES.split(", ")}
         local = right.column("local").to_numpy()
-        known, base, score = np.zeros(len(local), np.int64), np.zeros(len(local)), np.zeros(len(local))
+        known, base, score = np.zeros(len(local), np.int64), np.zeros(len(local)), np.zeros((len(local), len(prior)))
         n = right.column("n").to_numpy()
-        known[local], base[local], score[local] = n > 0, np.log10(n + 1.0), right.column("score").to_numpy()
+        known[local], base[local] = n > 0, np.log10(n + 1.0)
+        if len(local):
+            score[local] = right.column("score").combine_chunks().flatten().to_numpy().reshape(len(local), -1)
         for docs, flat in zip(left.column("docs").to_pylist(), left.column("word_ids").to_pylist()):
             head = zlib.decompress(docs)
             many = int(np.frombuffer(head, np.int64, 1)[0])
@@ -343,37 +388,55 @@ def _score_documents(train_tokens: int, distinct: int, end_count: int, end_score
                 own = words[at : at + k]
                 at += k
                 d = None if none else d
-                for name, value in zip(out, (d, held_out(d, parts, part), k + 1, int(known[own].sum()) + (end_count > 0), train_tokens, math.fsum([float(base[own].sum()), math.log10(end_count + 1), -(k + 1) * floor]), float(score[own].sum()) + end_score)):
-                    out[name].append(value)
+                by_group = prior + end + score[own].sum(axis=0)
+                top = by_group.max()
+                value = float(top + math.log10((10 ** (by_group - top)).sum()))
+                plain = math.fsum([float(base[own].sum()), math.log10(end_count + 1), -(k + 1) * floor])
+                for name, x in zip(out, (d, held_out(d, parts, part), k + 1, int(known[own].sum()) + (end_count > 0), train_tokens, plain, value)):
+                    out[name].append(x)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         return pa.table([pa.array(c, t) for c, t in zip(out.values(), kinds)], names=list(out))
 
     return run
 
 
-def score_documents(docs: DataFrame, model_path: str, *, parts: int = 7, part: int = 2, rounds: int = ROUNDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, model_path: str, *, parts: int = 7, part: int = 2, rounds: int = ROUNDS, group_column: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Score every text: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Learns from the rows whose ``crc32(doc_id as text) % parts`` is not
-    ``part`` (a null id counts as empty text). A null or empty text has only
-    the end sign. Repeated rows count and are returned each; other columns are
-    ignored; an empty table gives no rows; without training rows only the
-    vocabulary's own scores speak.
+    ``part`` (a null id counts as empty text). With ``group_column`` (a
+    language, say) the ``GROUPS`` most frequent values of training rows get a
+    model each, the others one together; scoring does not look at it, a
+    text's probability is the sum over the groups. A null or empty text has
+    only the end sign. Repeated rows count and are returned each; other
+    columns are ignored; an empty table gives no rows; without training rows
+    only the vocabulary's own scores speak.
     """
     pieces, p = read_pieces(model_path)
-    rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
-    chunks = stored(rows.mapInArrow(_chunks(parts, part), _CHUNKS), "chunks")
-    words = stored(
-        chunks.where("word is not null").groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("chunk", "local")).alias("places")),
-        "words",
-    )
-    ends = F.expr(f"crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % {parts} <> {part}")
-    end_count = rows.where(ends).count()
-    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    train_tokens, distinct = sums["n"] + end_count, sums["v"] + (end_count > 0)
-    log_p, log_end = fit_pieces(words.where("n > 0"), pieces, p, end_count, rounds if sums["n"] else 0)
-    answers = words.select("word", "n", "places").mapInArrow(_score_words(pieces, log_p), "n long, places array<struct<chunk:bigint,local:int>>, score double")
+    trains = F.expr(f"crc32(cast(coalesce(cast(cast(`{id_column}` as long) as string), '') as binary)) % {parts} <> {part}")
+    names: list[str] = []
+    if group_column:
+        most = docs.where(trains & F.col(group_column).isNotNull()).groupBy(F.col(group_column).cast("string").alias("g")).count().orderBy(F.desc("count"), "g").limit(GROUPS)
+        names = [r["g"] for r in most.collect()]
+    groups = len(names) + 1  # the last: other values and null
+    group = F.lit(groups - 1)
+    for g, name in enumerate(names):
+        group = F.when(F.col(group_column).cast("string") == name, g).otherwise(group)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), group.alias("g"), trains.alias("trains"))
+    counted = {r["g"]: r["count"] for r in rows.where("trains").groupBy("g").count().collect()}
+    ends = [counted.get(g, 0) for g in range(groups)]
+
+    columns = [f"n{g}" for g in range(groups)]
+    chunks = stored(rows.select("doc_id", "text", "g").mapInArrow(_chunks(parts, part, groups), _chunk_schema(groups)), "chunks")
+    places = F.collect_list(F.struct("chunk", "local")).alias("places")
+    words = stored(chunks.where("word is not null").groupBy("word").agg(*(F.sum(c).alias(c) for c in columns), places), "words")
+    every = sum((F.col(c) for c in columns), F.lit(0))
+    one = words.agg(F.count_if(every > 0).alias("v"), *(f(c).alias(f"{k}{c}") for c in columns for k, f in (("s", lambda c: F.coalesce(F.sum(c), F.lit(0))), ("t", lambda c: F.count_if(F.col(c) > 0)), ("a", lambda c: F.count_if(F.col(c) == 1)), ("b", lambda c: F.count_if(F.col(c) == 2))))).first()
+    model = Model(pieces, p, [tuple(one[f"{k}{c}"] for k in "stab") for c in columns], ends)
+    train_tokens, distinct = sum(model.tokens) + sum(ends), one["v"] + (sum(ends) > 0)
+    if sum(model.tokens):
+        fit_pieces(words.where(every > 0), model, rounds)
+    answers = words.select("word", "places", *columns).mapInArrow(_score_words(model), "places array<struct<chunk:bigint,local:int>>, n long, score array<float>")
     answers = answers.select(F.explode("places").alias("x"), "n", "score").select("x.chunk", "x.local", "n", "score")
     texts = chunks.where("docs is not null").select("chunk", "docs", "word_ids")
-    score = _score_documents(train_tokens, distinct, end_count, log_end / LN10, parts, part)
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, SCORES)
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_documents(train_tokens, distinct, model, parts, part), SCORES)

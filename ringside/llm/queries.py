@@ -30,7 +30,7 @@ def op2_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subword lattice likelihoods of documents, beside an add-one word model."""
     from .lattice import score_documents
 
-    return score_documents(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return score_documents(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), group_column="lang")
 
 
 def op3_substring_chains(spark: SparkSession, sf_dir: str) -> DataFrame:

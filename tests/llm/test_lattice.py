@@ -71,17 +71,33 @@ def test_scores_equal_brute_force(spark, monkeypatch):
         c = [count[w] for w in words(t)] + [ends]
         want[d, held(d), len(c), sum(x > 0 for x in c), total, round(sum(math.log10((x + 1) / (total + distinct + 1)) for x in c), 6)] += 1
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    # the model: expectation-maximisation by brute force over word types
+    # the model by brute force: pieces fitted to the discounted part of the counts, words as a whole beside them
     names, p = lattice.read_pieces(tokenizer_path("piece_bpe_32k.model"))
-    log_p, log_end = np.log(p), 0.0
+    once, twice = (sum(c == k for c in count.values()) for k in (1, 2))
+    d, n = once / (once + 2 * twice), sum(count.values())
+    log_p = np.log(p)
     for _ in range(lattice.ROUNDS):
         expected = np.full(len(names), lattice.PRIOR)
-        lattice.Lattice(names, log_p).words(list(count), expected, np.array([float(c) for c in count.values()]))
-        log_p, log_end = np.log(expected / (expected.sum() + ends + 1)), math.log((ends + 1) / (expected.sum() + ends + 1))
-    assert abs(np.exp(log_p).sum() + math.exp(log_end) - 1) < 1e-9  # a distribution
-    table = dict(zip(names, np.exp(log_p)))
-    scores = sorted((sum(brute(w, table) for w in words(t)) + log_end) / math.log(10) for _, t in rows)
-    assert np.allclose(scores, sorted(r.score for r in got), atol=1e-6)
+        lattice.Lattice(names, log_p).words(list(count), expected, np.minimum(list(count.values()), d))
+        log_p = np.log(expected / expected.sum())
+    table, end = dict(zip(names, np.exp(log_p))), (ends + 1) / (ends + 1 + n)
+
+    def chance(w):
+        return (1 - end) * (max(count[w] - d, 0) / n + d * len(count) / n * math.exp(brute(w, table)))
+
+    scores = sorted(sum(math.log10(chance(w)) for w in words(t)) + math.log10(end) for _, t in rows)
+    assert np.allclose(scores, sorted(r.score for r in got), atol=1e-3)
+
+
+def test_groups_are_a_mixture(spark):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice(["aa", "bb"] if i % 2 else ["yy", "zz"]) for _ in range(20)), ["x", "y"][i % 2] if i % 9 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = ({r.doc_id: r.score for r in lattice.score_documents(df, tokenizer_path("piece_bpe_32k.model"), group_column=g).collect()} for g in (None, "lang"))
+    assert sum(two.values()) > sum(one.values()) + 200 * 20 * 0.15
+    swapped = spark.createDataFrame([(d, t, g if not lattice.held_out(d) else "x") for d, t, g in rows], "doc_id long, text string, lang string")
+    again = {r.doc_id: r.score for r in lattice.score_documents(swapped, tokenizer_path("piece_bpe_32k.model"), group_column="lang").collect()}
+    assert all(abs(again[d] - two[d]) < 1e-3 for d in two)  # scoring doesn't look at the column
 
 
 def test_empty_and_untrained(spark):
@@ -89,3 +105,9 @@ def test_empty_and_untrained(spark):
     got = lattice.score_documents(df, tokenizer_path("piece_bpe_32k.model")).collect()
     assert got and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.score < 0 for r in got)
     assert lattice.score_documents(df.limit(0), tokenizer_path("piece_bpe_32k.model")).count() == 0
+
+
+def test_better_than_the_base_on_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = [r for r in lattice.score_documents(docs, tokenizer_path("piece_bpe_32k.model"), group_column="lang").collect() if r.held_out]
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
