@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .storage import id_filter, may_hold, stored
-from .words import SHINGLE, mix, shingle_sets
+from .words import SHINGLE, SLICE_BYTES, mix, shingle_sets
 
 #: log2 of the sketch's counters (one byte each when broadcast: 4 MB).
 SKETCH_BITS = 22
@@ -43,6 +43,8 @@ SALT_LEVEL = 11
 TILE_BITMAP = 64
 #: Classes of a residual block.
 BLOCK = 256
+#: Star rounds go on while one links at least this share of the classes (it sets the cost, not the result).
+STAR_LINKS = 0.002
 _STEP = 1.06
 _LOW56 = (1 << 56) - 1
 
@@ -204,20 +206,21 @@ def _reaches(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * overlap >= percent * (n_a + n_b - overlap)
 
 
-def _members(slots, percent: int, size: int):
-    """Sets of the classes' representatives: (doc_id, n, bits, own), for ids that the filter may hold."""
+def _members(slots, size: int, arrays: bool):
+    """Of classes' representatives, for ids that the filter may hold: (node, n, class, bitmap or sorted array)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
         for batch in batches:
             some = batch.filter(pa.array(may_hold(table, batch.column(2).to_numpy())))
-            rows = []
-            ids = some.column(0).to_pylist()
+            rows, ids, held = [], some.column(0).to_pylist(), 0
             for i, own in shingle_sets(some.column(1), size):
-                rows.append((ids[i], len(own), *class_id(own), bitmap(own, bitmap_width(len(own))).tobytes(), own.tobytes()))
-                if len(rows) >= 2000:
+                data = own.tobytes() if arrays else bitmap(own, bitmap_width(len(own))).tobytes()
+                rows.append((ids[i], len(own), *class_id(own), data))
+                held += len(data)
+                if held >= SLICE_BYTES:
                     yield _member_batch(rows)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield _member_batch(rows)
 
@@ -225,8 +228,8 @@ def _members(slots, percent: int, size: int):
 
 
 def _member_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["node", "n", "cid", "check", "bits", "own"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["node", "n", "cid", "check", "data"])
 
 
 def _may_link(percent: int):
@@ -260,12 +263,30 @@ def _links(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link."""
-    side = lambda x, *cols: members.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-    near = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_may_link(percent), "a long, b long")
-    both = near.join(side("a", "own"), "a").join(side("b", "own"), "b").select("a", "b", "own_a", "own_b")
-    return both.mapInArrow(_links(percent), "a long, b long")
+class _Comparison:
+    """Compares pairs of nodes: first by bitmaps of all nodes, then by arrays fetched for what is left."""
+
+    def __init__(self, rows: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int, size: int):
+        self.rows, self.classes, self.percent, self.size = rows, classes, percent, size
+        self.bits = stored(self._fetch(nodes, False), "bitmaps")
+
+    def _fetch(self, nodes: DataFrame, arrays: bool) -> DataFrame:
+        slots, slot = id_filter(nodes, "node")
+        texts = self.rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).where("doc_id is not null")
+        sets = texts.mapInArrow(_members(slots, self.size, arrays), "node long, n long, cid long, check long, data binary")
+        wanted = self.classes.join(nodes, "node", "left_semi")
+        return sets.join(wanted, ["node", "cid", "check"], "left_semi").select("node", "n", "data").dropDuplicates(["node"])
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link."""
+        side = lambda table, x, *cols: table.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
+        both = pairs.join(side(self.bits, "a", "n", "data"), "a").join(side(self.bits, "b", "n", "data"), "b")
+        near = stored(both.select("a", "b", "n_a", "n_b", "data_a", "data_b").mapInArrow(_may_link(self.percent), "a long, b long"), "near")
+        if near.isEmpty():
+            return near
+        arrays = stored(self._fetch(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), True), "arrays")
+        both = near.join(side(arrays, "a", "data"), "a").join(side(arrays, "b", "data"), "b").select("a", "b", "data_a", "data_b")
+        return stored(both.mapInArrow(_links(self.percent), "a long, b long"), "links")
 
 
 def _blocks(percent: int):
@@ -313,13 +334,13 @@ def _blocks(percent: int):
     return run
 
 
-def _residual(shared: DataFrame, comps: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _residual(shared: DataFrame, comps: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share a token and may link by size and bitmap."""
     rows = shared.join(comps, "node", "left").select("token", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("c0 <> c1")
     # tokens that the same classes share would give the same pairs: one of them is enough
     mixed = mixed.groupBy("many", "who").agg(F.min("token").alias("token"))
-    own = members.select("node", "n", "tile_bits")
+    own = bits.select("node", "n", "data").mapInArrow(_fold_column, "node long, n long, tile_bits binary")
     blocks = F.ceil(F.col("many") / F.lit(BLOCK)).cast("int")
     placed = rows.join(mixed.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp")
@@ -358,15 +379,18 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
     shared = stored(together.join(classes.select("cid", "node"), "cid").select("token", F.shiftrightunsigned("cid", 58).cast("int").alias("tile"), "node").distinct(), "shared")
 
     nodes = shared.select("node").distinct()
-    slots, slot = id_filter(nodes, "node")
-    sets = rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).where("doc_id is not null").mapInArrow(_members(slots, percent, size), "node long, n long, cid long, check long, bits binary, own binary")
-    wanted = classes.join(nodes, "node", "left_semi")
-    members = stored(sets.join(wanted, ["node", "cid", "check"], "left_semi").dropDuplicates(["node"]), "members")
-    folded = members.select("node", "n", "bits").mapInArrow(_fold_column, "node long, n long, tile_bits binary")
+    compare = _Comparison(rows, classes, nodes, percent, size)
 
     links: DataFrame | None = None
     comps: DataFrame = nodes.select("node", F.col("node").alias("comp"))
-    while True:
+
+    def join(found: DataFrame) -> None:
+        nonlocal links, comps
+        links = found if links is None else links.unionByName(found)
+        comps = stored(connected_components(links).select("node", F.col("component").alias("comp")), "components")
+
+    many = nodes.count()
+    while many:
         now = shared.join(comps, "node", "left").select("token", "tile", F.coalesce("comp", "node").alias("comp"), "node")
         if links is None:  # within tiles first; then each component sends one class to the token's star
             heads, tile = now, ["token", "tile"]
@@ -374,15 +398,16 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
             heads, tile = now.groupBy("token", "comp").agg(F.min("node").alias("node")), ["token"]
         lead = heads.groupBy(*tile).agg(F.min("comp").alias("c"), F.max("comp").alias("c1"), F.min_by("node", "comp").alias("a")).where("c <> c1").drop("c1")
         pairs = heads.join(lead, tile).where("comp <> c").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        found = stored(_verify(pairs, members, percent), "links")
-        if found.isEmpty():
+        found, first = compare.links(pairs), links is None
+        new = found.count()
+        if new:
+            join(found)
+        if not first and new < STAR_LINKS * many or not new:  # few are left: the rest is compared whole
             break
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links).select("node", F.col("component").alias("comp")), "components")
-    found = stored(_verify(_residual(shared, comps, folded, percent), members, percent), "links")
-    if not found.isEmpty():
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links).select("node", F.col("component").alias("comp")), "components")
+    if many:
+        found = compare.links(_residual(shared, comps, compare.bits, percent))
+        if not found.isEmpty():
+            join(found)
 
     whole = classes.join(comps, "node", "left").select("cid", "check", F.col("node").alias("class_id"), F.coalesce("comp", "node").alias("component_id"))
     out = documents.join(whole, ["cid", "check"], "left")
