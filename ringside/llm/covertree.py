@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 #: Vectors of a block of queries and of candidates, about.
 QUERY_BLOCK, BLOCK = 1024, 4096
 #: A node of at most so many vectors is a leaf, among candidates and among queries.
-LEAF, QUERY_LEAF = 48, 6
+LEAF, QUERY_LEAF = 256, 32
 
 
 class Node:
@@ -94,17 +94,19 @@ class Search:
     def _leaves(self, a: Node, b: Node) -> None:
         products = self.q[a.rows] @ self.x[b.rows].T
         self.compared += products.size
-        for i, row in zip(a.rows.tolist(), products):
-            some = np.flatnonzero(row >= self.score[i, -1])
-            if not len(some):
-                continue
-            ids = [self.x_ids[j] for j in b.rows[some].tolist()]
-            scores = np.repeat(row[some], [len(c) for c in ids])
-            ids = np.concatenate(ids)
-            other = ids != self.q_ids[i]
-            scores, ids = np.concatenate([self.score[i], scores[other]]), np.concatenate([self.ids[i], ids[other]])
-            best = np.lexsort((ids, -scores))[: self.k]
-            self.score[i], self.ids[i] = scores[best], ids[best]
+        worst = self.score[a.rows, -1]
+        columns = np.flatnonzero((products >= worst[:, None]).any(axis=0))
+        rows = np.flatnonzero((products[:, columns] >= worst[:, None]).any(axis=1))
+        if not len(rows):
+            return
+        owners = [self.x_ids[j] for j in b.rows[columns].tolist()]
+        own = a.rows[rows]
+        scores = np.repeat(products[np.ix_(rows, columns)], [len(c) for c in owners], axis=1)
+        ids = np.broadcast_to(np.concatenate(owners), scores.shape)
+        scores = np.where(ids == self.q_ids[own][:, None], -np.inf, scores)  # a query is none of its own candidates
+        scores, ids = np.hstack([self.score[own], scores]), np.hstack([self.ids[own], ids])
+        best = np.lexsort((ids, -scores), axis=-1)[:, : self.k]
+        self.score[own], self.ids[own] = np.take_along_axis(scores, best, 1), np.take_along_axis(ids, best, 1)
 
 
 def _cell(k: int):

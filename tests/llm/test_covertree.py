@@ -43,7 +43,7 @@ def test_edges(spark):
 def test_tree_covers_and_prunes():
     rnd = np.random.default_rng(2)
     centres = 50 * rnd.normal(size=(12, 6))
-    x = np.repeat(centres, 100, axis=0) + rnd.normal(size=(1200, 6))
+    x = np.repeat(centres, 400, axis=0) + rnd.normal(size=(4800, 6))
 
     def walk(node):
         assert (np.sqrt(((x[node.rows] - node.centre) ** 2).sum(axis=1)) <= node.radius * (1 + 1e-12)).all()
