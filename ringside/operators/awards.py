@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import cents, mean_of_cents, round_half_up, speed
+from .windows import number_rows
 
 # Placements that qualify, classes and their categories, and the categories' order.
 QUALIFYING = ("QLFY", "1", "2", "3", "4")
@@ -75,7 +76,7 @@ def count_ranked(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How many rows each key has, and the mean of its values for ties; ranked by both, then the key."""
     out = df.groupBy(*keys).agg(F.count("*").alias("legs"), F.coalesce(F.sum(cents(value)), F.lit(0)).alias("__sum"), F.count(value).alias("__k"))
     out = out.select(*keys, "legs", F.when(F.col("__k") > 0, mean_of_cents(F.col("__sum"), F.col("__k"))).otherwise(0.0).alias("tie_value"))
-    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("legs"), F.desc("tie_value"), *keys)))
+    return number_rows(out, "rank", [-F.col("legs"), -F.floor("tie_value")], [F.desc("tie_value"), *keys])
 
 
 def class_table(df: DataFrame, classes: dict[str, str]) -> DataFrame:

@@ -58,10 +58,27 @@ def rank_gaps(df: DataFrame, keys: Sequence[str], rank: str) -> DataFrame:
 def rank_audit(df: DataFrame, keys: Sequence[str], rank: str, *, shown: int = 6) -> DataFrame:
     """Of every list its size, largest rank, whether it has gaps, and the first of them."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.max(rank).alias("max_rank"))
-    gaps = rank_gaps(df, keys, rank).groupBy(*keys).agg(F.count("*").alias("n_gaps"), F.slice(F.array_sort(F.collect_list(F.struct("expected", "found"))), 1, shown).alias("first_gaps"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("expected", "found"))
+    gaps = rank_gaps(df, keys, rank).withColumn("__n", place)
+    kept = F.collect_list(F.when(F.col("__n") <= shown, F.struct("expected", "found")))  # null rows are not collected
+    gaps = gaps.groupBy(*keys).agg(F.count("*").alias("n_gaps"), F.array_sort(kept).alias("first_gaps"))
     return sizes.join(gaps, list(keys), "left").withColumn("n_gaps", F.coalesce("n_gaps", F.lit(0)))
 
 
+def number_rows(df: DataFrame, name: str, bucket: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """``name`` 1..N in the order of ``bucket`` columns, then of ``order``, without gathering all rows.
+
+    Rows are numbered within each bucket; only a row a bucket meets in one
+    window. Buckets are to be many and small: leading sort columns, coarsened.
+    """
+    cols = {f"__b{i}": c for i, c in enumerate(bucket)}
+    rows = df.withColumns(cols)
+    sizes = rows.groupBy(*cols).agg(F.count("*").alias("__size"))
+    before = sizes.withColumn("__before", F.sum("__size").over(Window.orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__size")).drop("__size")
+    own = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*cols).orderBy(*order)))
+    return own.join(before, list(cols)).withColumn(name, F.col("__before") + F.col("__n")).drop(*cols, "__n", "__before")
+
+
 def coverage_note(parsed: Column | str, raw: Column | str, *, least: float = 0.6) -> Column:
     """What a count of parsed rows says beside an independent count of lines."""
     p, r = (F.col(x) if isinstance(x, str) else x for x in (parsed, raw))

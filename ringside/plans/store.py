@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numbers import int_or_null, int_raw, num_or_null, prefix_real
 from ..functions.text import inner_initial, squash
 from ..functions.titlecase import tc_name, tc_owner
+from ..operators.windows import number_rows
 
 # The stat columns of conformation tables, breed and group.
 BREED_STATS = ("bob_shows", "bob_spec", "bob_pts", "bos_shows", "bos_spec", "bos_pts", "total")
@@ -37,17 +38,9 @@ def sports_table(rows: DataFrame) -> DataFrame:
     return rows.select("src_seq", "sport", int_or_null(F.col("year").cast("string")).alias("year"), "quarter", "category", F.col("rank").cast("int").alias("rank"), "tie", tidy("dog").alias("dog"), tidy("owner").alias("owner"), num_or_null("score").alias("score"), num_or_null("score2").alias("score2"))
 
 
-def with_ids(df: DataFrame) -> DataFrame:
-    """``id`` 1..N in order of ``src_seq``, which must be unique.
-
-    Ranges of src_seq are numbered in parallel; only their sizes, a row a
-    partition, meet in one window.
-    """
-    placed = df.repartitionByRange("src_seq").withColumn("__part", F.spark_partition_id())
-    own = placed.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy("src_seq")))
-    sizes = placed.groupBy("__part").count()
-    before = sizes.select("__part", (F.sum("count").over(Window.orderBy("__part")) - F.col("count")).alias("__before"))
-    return own.join(F.broadcast(before), "__part").withColumn("id", F.col("__before") + F.col("__n")).drop("__part", "__n", "__before", "src_seq")
+def with_ids(df: DataFrame, *, bucket: int = 1_000_000) -> DataFrame:
+    """``id`` 1..N in order of ``src_seq``, which must be unique; runs of ``bucket`` places are numbered in parallel."""
+    return number_rows(df, "id", [F.floor(F.col("src_seq") / bucket)], [F.col("src_seq")]).drop("src_seq")
 
 
 def rankings(conformation: DataFrame, sports: DataFrame) -> DataFrame:
