@@ -3,7 +3,8 @@
 A text is cut where its tokenizer certainly cuts too: at ASCII white space for
 a vocabulary that drops white space, at the forced boundaries of ``bpe.py``
 for a byte-level one. The library encodes each distinct fragment once per
-worker; a bounded table holds the ids, so a text costs one lookup a fragment.
+worker; a bounded table of arrays holds the ids, and a batch of texts is looked
+up and put together by a few numpy passes.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import re
 
 import numpy as np
 
-from .bpe import CACHE_BYTES, vocabulary
+from .bpe import vocabulary
+from .words import _BYTE, _P, _P_INVERSE, _power, mix, word_spans
 
-#: Fragments in each of the two generations of a worker's table (memory bound only).
-GENERATION = 350_000
+#: Fragments of a worker's table before it starts anew (memory bound only).
+TABLE_FRAGMENTS = 1 << 20
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?!\S)")
 _PLAIN = re.compile(r" ?[^\s<]+")
 #: One run of letters in composed lower case, so one word of the vocabulary.
@@ -27,20 +29,75 @@ def _printed(b: np.ndarray) -> np.ndarray:
     return (b > 0x20) & (b < 0x7F)
 
 
-class _Table(dict):
-    """Ids by fragment, over the generation before; what neither has is noted in ``unknown`` and None."""
-
-    def __init__(self, old: dict[bytes, bytes]):
-        super().__init__()
-        self.old, self.unknown = dict(old), []
+_CASED = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+class FragmentTable:
+    """Ids of fragments by their 64-bit hash, in arrays: a whole batch is looked up and put together at once.
+
+    A fragment is found by hash and length. Of a table's 2**20 fragments an
+    unknown one meets some by chance once in 10**13 times.
+    """
+
+    def __init__(self):
+        self.bits = 22
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.row = np.zeros(1 << self.bits, dtype=np.int32)
+        self.n = 0
+        self.start = np.zeros(1024, dtype=np.int64)
+        self.size = np.zeros(1024, dtype=np.int32)
+        self.bytes_ = np.zeros(1024, dtype=np.int32)
+        self.arena = np.zeros(4096, dtype="<u4")
+        self.used = 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The row of each fragment, -1 if unknown."""
+        at = self._slot(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.row[at], -1)
+        todo = np.flatnonzero((seen != keys) & (seen != 0))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[at[todo]]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.row[at[todo[hit]]]
+            todo = todo[~hit & (seen != 0)]
+        out[(out >= 0) & (self.bytes_[out] != length)] = -1
+        return out
 
-    def __missing__(self, fragment: bytes) -> bytes | None:
-        ids = self.old.get(fragment)
-        if ids is None:
-            self.unknown.append(fragment)
-        else:
-            self[fragment] = ids
-        return ids
+    def add(self, keys: np.ndarray, length: np.ndarray, ids: list[bytes]) -> None:
+        """Distinct new fragments."""
+        k, flat = len(keys), np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int32)
+        for name, need in (("start", self.n + k), ("size", self.n + k), ("bytes_", self.n + k), ("arena", self.used + len(flat))):
+            have = getattr(self, name)
+            if len(have) < need:
+                setattr(self, name, np.concatenate([have, np.zeros(max(need - len(have), len(have) // 2), have.dtype)]))
+        rows = np.arange(self.n, self.n + k)
+        self.start[rows], self.size[rows], self.bytes_[rows] = self.used + np.cumsum(sizes) - sizes, sizes, length
+        self.arena[self.used : self.used + len(flat)] = flat
+        self.n, self.used = self.n + k, self.used + len(flat)
+        at, todo = self._slot(keys), np.arange(k)
+        while len(todo):
+            free = todo[self.keys[at[todo]] == 0]
+            _, first = np.unique(at[free], return_index=True)  # one a slot; the others go on
+            won = free[first]
+            self.keys[at[won]], self.row[at[won]] = keys[won], rows[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of fragments in order, and how many each has."""
+        n = self.size[rows]
+        ends = np.cumsum(n, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.arena[np.arange(total) + np.repeat(self.start[rows] - (ends - n), n)], n
 
 
 class FragmentEncoder:
@@ -62,7 +119,8 @@ class FragmentEncoder:
             self.closes[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         else:  # a lone line end between fragments is an id of its own
             self.newline = self.bpe.ids[b"\n"]
-        self.table = _Table({})
+        self.table = FragmentTable()
+        self.letters = _BYTE if self.bpe is None else _CASED
 
     def fragments(self, data: bytes) -> list[bytes]:
         """Parts of a text that the library may encode alone, without the white space that it drops."""
@@ -93,7 +151,7 @@ class FragmentEncoder:
             else:
                 odd.append((p, t))
         if plain:
-            ids = np.array(self.tokenizer.encode("\n".join(texts), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(texts)], add_special_tokens=False)[0].ids, dtype="<u4")
             data, at = ids.tobytes(), 0
             if self.bpe is None:
                 step, ends = 0, (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
@@ -103,24 +161,60 @@ class FragmentEncoder:
                 out[p] = data[at:e]
                 at = e + step
         if odd:
-            for (p, _), e in zip(odd, self.tokenizer.encode_batch([t for _, t in odd], add_special_tokens=False)):
+            for (p, _), e in zip(odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
                 out[p] = np.array(e.ids, dtype="<u4").tobytes()
         return out
 
     def encode_bytes(self, data: bytes) -> bytes:
         """The ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
-        if not data:
-            return b""
-        parts, table = self.fragments(data), self.table
-        found = list(map(table.__getitem__, parts))
-        if table.unknown:
-            got = self._encode_new(list(set(table.unknown)))
-            table.unknown.clear()
-            found = [got[p] if x is None else x for p, x in zip(parts, found)]
-            table.update((p, x) for p, x in got.items() if len(p) <= CACHE_BYTES)
-            if len(table) >= GENERATION:
-                self.table = _Table(table)
-        return b"".join(found)
+        parts = self.fragments(data) if data else []
+        found = self._encode_new(list(set(parts))) if parts else {}
+        return b"".join([found[p] for p in parts])
+
+    def _spans(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of every fragment of some texts."""
+        if self.bpe is not None:
+            lone = np.flatnonzero(raw == 10) + 1
+            lone = lone[(lone > 1) & (lone < len(raw))]
+            lone = lone[_printed(raw[lone]) & _printed(raw[lone - 2])]
+            edge = np.zeros(len(raw) + 1, dtype=bool)
+            edge[self.bpe.cuts(raw)] = edge[lone] = edge[offsets] = True
+            edges = np.flatnonzero(edge)
+            return edges[:-1], edges[1:]
+        starts, ends, _ = word_spans(raw, offsets)
+        last = ends - 1
+        stop = (raw[last] == 46) | (raw[last] == 44)
+        before = raw[np.maximum(last - 1, 0)] | 32
+        stop = last[stop & (last > starts) & (before >= 97) & (before <= 122)]
+        return np.sort(np.concatenate([starts, stop])), np.sort(np.concatenate([ends, stop]))
+
+    def encode_many(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts one after another, and how many each text has."""
+        data = raw.tobytes()
+        if any(x in data for x in self.special):  # a special token's string: text by text
+            each = [self.encode_bytes(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            return np.frombuffer(b"".join(each), "<u4"), np.array([len(x) // 4 for x in each], dtype=np.int64)
+        starts, ends = self._spans(raw, offsets)
+        total = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(self.letters[raw] * _power("up", _P, len(raw)), out=total[1:])
+        keys = mix((total[ends] - total[starts]) * _power("down", _P_INVERSE, len(raw) + 1)[starts]) | np.uint64(1)
+        length = (ends - starts).astype(np.int32)
+        rows = self.table.find(keys, length)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            if self.table.n > TABLE_FRAGMENTS:
+                self.table.clear()
+                missing = np.arange(len(keys))
+            _, first = np.unique(keys[missing], return_index=True)
+            new = missing[first]
+            own = [data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            own = own if self.bpe is not None else [x.lower() for x in own]
+            got = self._encode_new(own)
+            self.table.add(keys[new], length[new], [got[x] for x in own])
+            rows[missing] = self.table.find(keys[missing], length[missing])
+        ids, n = self.table.gather(rows)
+        ahead = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        return ids, np.diff(ahead[np.searchsorted(starts, offsets)])
 
 
 _loaded: dict[str, FragmentEncoder] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .encoders import encoder
 from .storage import stored
-from .words import text_buffer
+from .words import slices, text_buffer
 
 #: Partitions that a round merges into one.
 FAN_IN = 8
@@ -79,17 +79,19 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
-            data = raw.tobytes()
-            out = []
-            for d, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                ids = enc.encode_bytes(data[a:b]) + end
-                out += [(d, row, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])) for k, (start, length) in enumerate(cut_pieces(len(ids) // 4, capacity))]
-                row += 1
-            if out:
-                columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])], names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
+            docs = batch.column(0).to_pylist()
+            for i, j in slices(offsets):
+                ids, counts = enc.encode_many(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                data, at, out = ids.tobytes(), 0, []
+                for d, n in zip(docs[i:j], (4 * counts).tolist()):
+                    own = data[at : at + n] + end
+                    at += n
+                    out += [(d, row, k, start, length, zlib.crc32(own[4 * start : 4 * (start + length)])) for k, (start, length) in enumerate(cut_pieces(len(own) // 4, capacity))]
+                    row += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
     return rows.mapInArrow(run, "doc_id long, copy long, piece int, start long, length long, ids_crc32 long")

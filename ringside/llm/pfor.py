@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 
 from .encoders import encoder
 from .storage import write_table
-from .words import text_buffer
+from .words import slices, text_buffer
 
 #: Ids of a block.
 BLOCK = 512
@@ -141,6 +141,14 @@ def read_document(data: bytes, k: int) -> np.ndarray:
     return ids[a - blocks[0] * BLOCK : b - blocks[0] * BLOCK]
 
 
+def _each(docs: list, ids: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int | None, bytes]]:
+    """Each document with its own ids' bytes."""
+    data, at = ids.tobytes(), 0
+    for d, n in zip(docs, (4 * counts).tolist()):
+        yield d, data[at : at + n]
+        at += n
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int | None = 1, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> str:
     """Encode every text and write segments in ascending ``doc_id`` order; return the table's path.
 
@@ -169,9 +177,14 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int | Non
 
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
-            data = raw.tobytes()
-            for d, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                own = enc.encode_bytes(data[a:b]) + end
+            docs = batch.column(0).to_pylist()
+            texts = (
+                (d, own)
+                for i, j in slices(offsets)
+                for d, own in _each(docs[i:j], *enc.encode_many(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+            )
+            for d, own in texts:
+                own += end
                 held.append((d, len(own) // 4))
                 ids.append(own)
                 count += len(own) // 4
