@@ -153,7 +153,7 @@ def owners_of(sport: Column | str, primary: Column, last: Column, primary_name:
     """The owners of a result row: in obedience the first is printed in two columns."""
     named = F.coalesce(F.when(plain(primary_name) != "", primary_name), primary)
     first = F.when(col(sport) == "Obedience", F.concat(plain(primary), F.lit(" "), plain(last))).otherwise(plain(named))
-    return F.filter(F.transform(F.array(first, *map(plain, others)), F.trim), lambda o: o != "")
+    return F.filter(F.transform(F.array(first, *map(plain, others)), lambda c: F.trim(c)), lambda o: o != "")
 
 
 def name_core(x: Column | str) -> Column:
@@ -212,7 +212,7 @@ def split_row(line: Column | str) -> Column:
     Columns stand two or more spaces apart, either rank, dog, owner, scores or
     rank and score, dog, owners.
     """
-    parts = F.filter(F.transform(F.split(F.trim(col(line)), r"\s{2,}"), F.trim), lambda c: c != "")
+    parts = F.filter(F.transform(F.split(F.trim(col(line)), r"\s{2,}"), lambda c: F.trim(c)), lambda c: c != "")
     n = F.size(parts)
     number = lambda c: F.coalesce(c, F.lit("")).rlike(r"^\d+(\.\d+)?$")
     at = lambda k: F.try_element_at(parts, k)

@@ -152,3 +152,10 @@ def report(spark, sport: str, scores: DataFrame) -> DataFrame:
     order = spark.createDataFrame(list(enumerate(ORDER[sport], 1)), "order_idx int, category string")
     metric = F.when(F.col("category") == "Preferred ESS of the Year", "# Qual. Runs").when(F.col("category") == "ESS of the Year", "Avg YPS").otherwise("Avg Score")
     return order.join(scores, "category", "left").withColumn("metric", metric).orderBy("order_idx", "rank")
+
+
+def owner_cell(owners: Column, is_member: Column) -> Column:
+    """Owners as last names joined by slashes, members' with a star (``is_member``: an array beside ``owners``)."""
+    from ..functions.text import last_name
+
+    return F.array_join(F.zip_with(owners, is_member, lambda o, m: F.concat(last_name(o), F.when(m, "*").otherwise(""))), "/")

@@ -352,7 +352,7 @@ SELECT doc_id, len(parts) AS n_parts, parts[1] AS first_part, parts[len(parts)]
 """)
 def line_split(spark, sf_dir):
     """Texts split at stops, empty parts left out."""
-    parts = F.filter(F.transform(F.split(F.trim("text"), r"[.]\s"), F.trim), lambda c: c != "")
+    parts = F.filter(F.transform(F.split(F.trim("text"), r"[.]\s"), lambda c: F.trim(c)), lambda c: c != "")
     rows = _t(spark, sf_dir, "documents").select("doc_id", parts.alias("parts"))
     return rows.select("doc_id", F.size("parts").cast("long").alias("n_parts"), F.try_element_at("parts", F.lit(1)).alias("first_part"), F.try_element_at("parts", F.lit(-1)).alias("last_part"))
 

@@ -76,6 +76,7 @@ def test_names(spark):
         ("Sunny CD   Ann Core   98.5   4.2", (None, "T", "Sunny CD", "Ann Core", ["98.5", "4.2"])),
         ("2. 89.8   Sunny   Ann   Bo", (2, "", "Sunny", "Ann / Bo", ["89.8"])),
         ("just text", None),
+        ("3 Sunny   0.5 Core   1 Kirk   98.5   4.2", (3, "", "Sunny 0.5 Core", "1 Kirk", ["98.5", "4.2"])),
         ("a   b", None),
         ("", None),
     ],
