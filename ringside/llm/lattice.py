@@ -96,7 +96,9 @@ class Lattice:
     """Forward (and backward) recursions over words, many words of one length at a time."""
 
     def __init__(self, pieces: list[bytes], log_p: np.ndarray):
-        self.size, self.log_p = len(pieces), log_p
+        """``log_p`` has a row for each group, or is one group's."""
+        self.size = len(pieces)
+        self.table = np.vstack([np.atleast_2d(log_p).T, np.full((1, np.atleast_2d(log_p).shape[0]), -np.inf)])  # -1: no piece
         hashes = _hash_pieces(pieces)
         # an open-addressing table: piece number by hash, -1 where there is none
         bits = max(17, (4 * len(pieces)).bit_length())
@@ -143,15 +145,15 @@ class Lattice:
         return ends
 
     def forward(self, x: np.ndarray, expected: np.ndarray | None = None, weight: np.ndarray | None = None) -> np.ndarray:
-        """The natural log-probability of each word; with ``expected``, adds expected piece counts to it."""
+        """The natural log-probability of each word in each group; with ``expected`` (one group), adds piece counts to it."""
         n, length = x.shape
-        log_p = np.append(self.log_p, -np.inf)  # number -1: no piece
         ends = self._edges(x)
-        alpha = np.full((length + 1, n), -np.inf)
+        alpha = np.full((length + 1, n, self.table.shape[1]), -np.inf)
         alpha[0] = 0
         for e in range(1, length + 1):
-            alpha[e] = _log_sum([alpha[a] + log_p[f] for a, f in ends[e]], n)
+            _log_sum([alpha[a] + self.table[f] for a, f in ends[e]], alpha[e])
         if expected is not None:
+            log_p, first = self.table[:, 0], alpha[:, :, 0]
             beta = np.full((length + 1, n), -np.inf)
             beta[length] = 0
             for e in range(length, 0, -1):
@@ -161,14 +163,14 @@ class Lattice:
                 for a, f in ends[e]:
                     ok = np.flatnonzero(f >= 0)
                     if len(ok):
-                        expected += np.bincount(f[ok], np.exp(alpha[a][ok] + log_p[f[ok]] + beta[e][ok] - alpha[length][ok]) * weight[ok], minlength=self.size)
+                        expected += np.bincount(f[ok], np.exp(first[a][ok] + log_p[f[ok]] + beta[e][ok] - first[length][ok]) * weight[ok], minlength=self.size)
         return alpha[length]
 
-    def _long(self, word: bytes, expected: np.ndarray | None, weight: float) -> float:
+    def _long(self, word: bytes, expected: np.ndarray | None, weight: float) -> np.ndarray:
         """One long word: all of a length's substrings are looked up at once, then the recursion walks the bytes."""
         x = np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)
-        n, log_p = len(x), self.log_p
-        arcs: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
+        n, table = len(x), self.table
+        arcs: list[tuple[list[int], list[int]]] = [([], []) for _ in range(n + 1)]
         for size in self.by_length:
             if size > n:
                 break
@@ -177,25 +179,25 @@ class Lattice:
                 h = (h + x[i : n - size + 1 + i]) * _BASE
             found = self.find(h)
             for a in np.flatnonzero(found >= 0).tolist():
-                arcs[a + size].append((a, int(found[a])))
-        alpha = [0.0] + [-math.inf] * n
+                arcs[a + size][0].append(a)
+                arcs[a + size][1].append(int(found[a]))
+        alpha = np.full((n + 1, table.shape[1]), -np.inf)
+        alpha[0] = 0
         for e in range(1, n + 1):
-            terms = [alpha[a] + log_p[f] for a, f in arcs[e]]
-            top = max(terms)
-            alpha[e] = top + math.log(sum(math.exp(t - top) for t in terms))
+            alpha[e] = np.logaddexp.reduce(alpha[arcs[e][0]] + table[arcs[e][1]], axis=0)
         if expected is not None:
-            beta = [-math.inf] * n + [0.0]
+            beta = np.full(n + 1, -np.inf)
+            beta[n] = 0
             for e in range(n, 0, -1):
-                for a, f in arcs[e]:
-                    t = beta[e] + log_p[f]
-                    expected[f] += weight * math.exp(alpha[a] + t - alpha[n])
-                    top = max(beta[a], t)
-                    beta[a] = top + math.log(math.exp(beta[a] - top) + math.exp(t - top))
+                starts, pieces = arcs[e]
+                t = beta[e] + table[pieces, 0]
+                np.add.at(expected, pieces, weight * np.exp(alpha[starts, 0] + t - alpha[n, 0]))
+                beta[starts] = np.logaddexp(beta[starts], t)
         return alpha[n]
 
     def words(self, words: list[bytes], expected: np.ndarray | None = None, weight: np.ndarray | None = None) -> np.ndarray:
-        """The natural log-probability of each word, its mark included."""
-        out = np.zeros(len(words))
+        """The natural log-probability of each word, its mark included, as (words, groups)."""
+        out = np.zeros((len(words), self.table.shape[1]))
         if not words:
             return out
         marked = [_MARK + w for w in words]
@@ -214,14 +216,20 @@ class Lattice:
         return out
 
 
-def _log_sum(terms: list[np.ndarray], n: int) -> np.ndarray:
-    if not terms:
-        return np.full(n, -np.inf)
+def _log_sum(terms: list[np.ndarray], out: np.ndarray) -> None:
+    """log of the sum of exps of some arrays, into ``out``."""
     if len(terms) == 1:
-        return terms[0]
-    top = np.max(terms, axis=0)
-    safe = np.where(np.isfinite(top), top, 0)
-    return safe + np.log(np.sum([np.exp(t - safe) for t in terms], axis=0))
+        out[:] = terms[0]
+    elif terms:
+        top = terms[0].copy()
+        for t in terms[1:]:
+            np.maximum(top, t, out=top)
+        top[~np.isfinite(top)] = 0
+        total = np.exp(terms[0] - top)
+        for t in terms[1:]:
+            total += np.exp(t - top)
+        np.log(total, out=total)
+        np.add(total, top, out=out)
 
 
 def _chunk_schema(groups: int) -> str:
@@ -284,16 +292,29 @@ def _chunks(parts: int, part: int, groups: int):
     return run
 
 
+def _gathered(batches: Iterable[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.Table]:
+    """Batches joined to tables of at least so many rows: words of one length are scored together."""
+    held, many = [], 0
+    for batch in batches:
+        held.append(batch)
+        many += batch.num_rows
+        if many >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, many = [], 0
+    if many:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _expect(pieces: list[bytes], log_p: np.ndarray, discounts: list[float]):
     """Expected piece counts of each group, of the part of the words' counts that discounting takes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = [Lattice(pieces, p) for p in log_p]
         expected = np.zeros((len(lattices), len(pieces)))
-        for batch in batches:
-            words = [w.encode() for w in batch.column(0).to_pylist()]
+        for t in _gathered(batches):
+            words = [w.encode() for w in t.column(0).to_pylist()]
             for g, lattice in enumerate(lattices):
-                n = batch.column(1 + g).to_numpy()
+                n = t.column(1 + g).to_numpy()
                 some = np.flatnonzero(n)
                 lattice.words([words[i] for i in some.tolist()], expected[g], np.minimum(n[some], discounts[g]))
         g, piece = np.nonzero(expected)
@@ -319,15 +340,12 @@ class Model:
 
     def words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """log10 of each word's probability in each group, as (words, groups)."""
-        out = np.empty((len(words), len(self.ends)))
-        for g in range(len(self.ends)):
-            if not np.isfinite(self.prior[g]):
-                out[:, g] = 0
-                continue
-            spelled = Lattice(self.pieces, self.log_p[g]).words(words) / LN10
+        out, live = np.zeros((len(words), len(self.ends))), np.flatnonzero(np.isfinite(self.prior))
+        spelled = Lattice(self.pieces, self.log_p[live]).words(words) / LN10
+        for k, g in enumerate(live.tolist()):
             whole = np.maximum(counts[g] - self.discounts[g], 0) / max(1, self.tokens[g])
             with np.errstate(divide="ignore"):
-                known, back = np.log10(whole), spelled + math.log10(self.backoff[g])
+                known, back = np.log10(whole), spelled[:, k] + math.log10(self.backoff[g])
             top = np.maximum(known, back)
             out[:, g] = top + np.log10(10 ** (known - top) + 10 ** (back - top)) + self.go_on[g]
         return out
@@ -352,11 +370,11 @@ def _score_words(model: Model):
     groups = len(model.ends)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = np.array([batch.column(2 + g).to_numpy() for g in range(groups)])
-            score = model.words([w.encode() for w in batch.column(0).to_pylist()], counts).astype(np.float32)
+        for t in _gathered(batches):
+            counts = np.array([t.column(2 + g).to_numpy() for g in range(groups)])
+            score = model.words([w.encode() for w in t.column(0).to_pylist()], counts).astype(np.float32)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, score.size + 1, groups, dtype=np.int32)), pa.array(score.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(counts.sum(axis=0)), lists], names=["places", "n", "score"])
+            yield from pa.table([t.column(1), pa.array(counts.sum(axis=0)), lists], names=["places", "n", "score"]).to_batches(max_chunksize=10_000)
 
     return run
 
