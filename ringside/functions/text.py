@@ -242,3 +242,8 @@ def detect_sport(cell: Column | str) -> Column:
     """The sport that a sheet's first cell names, the first of three that fits, else null."""
     x = plain(cell)
     return F.when(x.rlike("(?i)agility"), "Agility").when(x.rlike("(?i)obedience"), "Obedience").when(x.rlike("(?i)rally"), "Rally")
+
+
+def date_key(x: Column | str) -> Column:
+    """The day of a date or of a text that begins with one, as ``YYYY-MM-DD``."""
+    return F.substring(F.trim(col(x).cast("string")), 1, 10)

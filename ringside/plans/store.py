@@ -82,3 +82,8 @@ def markdown_table(df: DataFrame, columns: Sequence[str], order: Sequence[str])
     lines = F.transform(F.array_sort(F.collect_list(F.struct(*order, line.alias("__line")))), lambda s: s["__line"])
     head = "| " + " | ".join(columns) + " |\n|" + "---|" * len(columns) + "\n"
     return df.agg(F.concat(F.lit(head), F.array_join(lines, "\n")).alias("markdown"))
+
+
+def counts(df: DataFrame, *by: str) -> DataFrame:
+    """How many rows each group has, the largest first (the console reports of a run)."""
+    return df.groupBy(*by).agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), *by)

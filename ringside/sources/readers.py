@@ -99,3 +99,8 @@ def carried_sections(pages: DataFrame) -> DataFrame:
     w = Window.partitionBy("file").orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
     own = pages.withColumn("__own", section_of("page_text"))
     return own.withColumn("section", F.last("__own", ignorenulls=True).over(w)).where(F.col("__own").isNotNull() | (continued & F.col("section").isNotNull())).drop("__own")
+
+
+def bordered(pages: DataFrame, *, rules: int = 20) -> DataFrame:
+    """Pages (with ``n_rules``, the drawn lines) whose table has borders; the others are read by positions."""
+    return pages.withColumn("bordered", F.col("n_rules") > rules)

@@ -207,6 +207,17 @@ def test_store(spark, tmp_path):
     assert store.markdown_table(b, ["dog", "score"], ["rank"]).first().markdown == "| dog | score |\n|---|---|\n| Sunny Day | 98.5 |"
 
 
+def test_small_reports(spark):
+    df = spark.createDataFrame([("f", 21), ("g", 20), ("g", 3)], "file string, n_rules int")
+    assert [r.bordered for r in readers.bordered(df).collect()] == [True, False, False]
+    assert [(r.file, r.n_rows) for r in store.counts(df, "file").collect()] == [("g", 2), ("f", 1)]
+    from ringside.functions.text import date_key
+
+    assert spark.range(1).select(date_key(F.lit(" 2026-01-02 09:00")).alias("d")).first().d == "2026-01-02"
+    cell = awards.owner_cell(F.array(F.lit("Mr. Al Core"), F.lit("Bo Kirk Jr Sr")), F.array(F.lit(True), F.lit(False)))
+    assert spark.range(1).select(cell.alias("c")).first().c == "Core*/Kirk"
+
+
 def test_views(spark):
     df = spark.createDataFrame([(1, "A", 2025, "8/3", "b"), (2, "B", 2025, "3 (T)", "é"), (3, "A", 2024, "", "a"), (4, "A", 2025, "10", "B")], "id int, cat string, year int, score string, name string")
     spec = views.ViewSpec(("cat", "year", "score", "name", "id"), numeric=("score",), category="cat", year="year")
