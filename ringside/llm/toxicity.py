@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import bounded_batches
+
 #: Labelled rows of each class, at most, that counts and curve are fitted on.
 SAMPLE = 6_000
 #: Words and beginnings kept of each level, the most frequent first.
@@ -37,8 +39,10 @@ VOCABULARY = 300_000
 BACKOFF = (6, 4)
 #: A log ratio counts by what it has beyond this margin and so many standard errors of its counts.
 MARGIN, SPREADS = 1.0, 2.0
+#: Words that a task counts before it hands the counts on (memory bound only).
+PART_WORDS = 50_000
 #: Words remembered by a worker while scoring (memory bound only).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -73,7 +77,9 @@ class Level:
             t_back, o_back = max(t - self.discount, 0) + taken * share, max(o - self.discount, 0) + taken * (1 - share)
             moved = math.log(t_back / toxic) - math.log(o_back / ordinary) - prior
             spread = math.sqrt(1 / (t + 0.5) + 1 / (o + 0.5))
-            self.own[x] = prior + math.copysign(max(0.0, abs(moved) - MARGIN - SPREADS * spread), moved)
+            beyond = abs(moved) - MARGIN - SPREADS * spread
+            if beyond > 0:  # an item that says no more than its beginning is left to the level below
+                self.own[x] = prior + math.copysign(beyond, moved)
 
     def ratio(self, x: str) -> float:
         """The log ratio of an item, known here or below, or unknown (0)."""
@@ -132,14 +138,31 @@ class Model:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, few at a time as Python strings."""
+    for i in range(0, len(column), 256):
+        yield from column.slice(i, 256).to_pylist()
+
+
 def _class_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and ordinary texts hold each word, in parts of at most about ``PART_WORDS`` words."""
+    count: dict[int, Counter] = {0: Counter(), 1: Counter()}
+
+    def part() -> pa.RecordBatch:
+        words = [*count[1], *count[0]]
+        t = [*count[1].values(), *[0] * len(count[0])]
+        o = [*[0] * len(count[1]), *count[0].values()]
+        for c in count.values():
+            c.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(t, pa.int64()), pa.array(o, pa.int64())], names=["word", "t", "o"])
+
     for batch in batches:
-        count: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, toxic in zip(_texts(batch.column(0)), batch.column(1).to_pylist()):
             count[toxic].update(set(words_of(text)))
-        rows = [(w, n, 0) for w, n in count[1].items()] + [(w, 0, n) for w, n in count[0].items()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int64(), pa.int64()])], names=["word", "t", "o"])
+            if len(count[0]) + len(count[1]) >= PART_WORDS:
+                yield part()
+    if count[0] or count[1]:
+        yield part()
 
 
 def _level(counts: DataFrame, item: Column, least: int) -> dict[str, tuple[int, int]]:
@@ -157,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, part: int = 2, sa
     the training labels' share of toxic ones (0 without labels).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     own = remainder(F.col("label_doc"), parts)
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("label_doc")).agg(F.max(F.col("toxic").cast("int")).alias("label_toxic"))
     known = known.where(own != part).withColumn("for_curve", own == (part + 1) % parts)
@@ -174,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, part: int = 2, sa
 
     def evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            e = [sent.value.evidence(t) for t in batch.column(0).to_pylist()]
+            e = [sent.value.evidence(t) for t in _texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in e], pa.float64()), pa.array([x[1] for x in e], pa.float64()), batch.column(1)], names=["a", "b", "toxic"])
 
     rows = texts.where("for_curve").select("label_text", "label_toxic").mapInArrow(evidence, "a double, b double, toxic int").toArrow()
@@ -192,12 +216,13 @@ SCORES = "doc_id long, held_out boolean, score double, predicted int"
 
 def score_texts(docs: DataFrame, model: Model, *, threshold: float = 0.3, parts: int = 4, part: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row; null and empty texts get the prior's score."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            s = np.array([own.score(own.evidence(t)) for t in batch.column(2).to_pylist()])
+            s = np.array([own.score(own.evidence(t)) for t in _texts(batch.column(2))])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     key = F.col(id_column).cast("long")
@@ -207,12 +232,13 @@ def score_texts(docs: DataFrame, model: Model, *, threshold: float = 0.3, parts:
 
 def keep_ordinary(docs: DataFrame, model: Model, *, threshold: float = 0.3, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below the threshold, with all their columns."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            texts = _texts(batch.column(batch.schema.get_field_index(text_column)))
             yield batch.filter(pa.array([own.score(own.evidence(t)) < threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
