@@ -24,10 +24,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .storage import bounded_batches
 from .words import SLICE_BYTES, slices, text_buffer
 
 #: Fragments kept per worker before the table starts anew (memory bound only).
-CACHE_FRAGMENTS = 400_000
+CACHE_FRAGMENTS = 300_000
 #: Fragments longer than this many bytes are encoded anew each time.
 CACHE_BYTES = 64
 
@@ -212,4 +213,5 @@ def encode_documents(docs: DataFrame, path: str, *, id_column: str = "doc_id", t
                 ids_, n_, h_, d_ = zip(*out)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(ids_, pa.binary()), pa.array(n_, pa.int64()), pa.array(h_, pa.string()), pa.array(d_, pa.string())], names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    bounded_batches(docs.sparkSession)
     return docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").mapInArrow(run, SCHEMA)

@@ -15,10 +15,10 @@ import re
 import numpy as np
 
 from .bpe import vocabulary
-from .words import _BYTE, _P, _P_INVERSE, _power, mix, word_spans
+from .words import _BYTE, span_hashes, word_spans
 
 #: Fragments of a worker's table before it starts anew (memory bound only).
-TABLE_FRAGMENTS = 1 << 20
+TABLE_FRAGMENTS = 1_000_000
 _STOP = re.compile(rb"(?<=[a-z])([.,])(?!\S)")
 _PLAIN = re.compile(r" ?[^\s<]+")
 #: One run of letters in composed lower case, so one word of the vocabulary.
@@ -35,12 +35,12 @@ _CASED = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * np.
 class FragmentTable:
     """Ids of fragments by their 64-bit hash, in arrays: a whole batch is looked up and put together at once.
 
-    A fragment is found by hash and length. Of a table's 2**20 fragments an
+    A fragment is found by hash and length. Of a table's million fragments an
     unknown one meets some by chance once in 10**13 times.
     """
 
     def __init__(self):
-        self.bits = 22
+        self.bits = 21
         self.clear()
 
     def clear(self) -> None:
@@ -195,9 +195,7 @@ class FragmentEncoder:
             each = [self.encode_bytes(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             return np.frombuffer(b"".join(each), "<u4"), np.array([len(x) // 4 for x in each], dtype=np.int64)
         starts, ends = self._spans(raw, offsets)
-        total = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(self.letters[raw] * _power("up", _P, len(raw)), out=total[1:])
-        keys = mix((total[ends] - total[starts]) * _power("down", _P_INVERSE, len(raw) + 1)[starts]) | np.uint64(1)
+        keys = span_hashes(raw, starts, ends, self.letters) | np.uint64(1)
         length = (ends - starts).astype(np.int32)
         rows = self.table.find(keys, length)
         missing = np.flatnonzero(rows < 0)

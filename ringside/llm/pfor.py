@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .encoders import encoder
-from .storage import write_table
+from .storage import bounded_batches, write_table
 from .words import slices, text_buffer
 
 #: Ids of a block.
@@ -193,6 +193,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, *, end_id: int | Non
         if held:
             yield segment()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segments = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, "part int, seq int, n_ids long, data binary")

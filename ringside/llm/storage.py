@@ -29,6 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Rows of an Arrow batch between Spark and Python workers: texts are long, and both sides hold a batch or two.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send small batches to Python workers, unless it asks for a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as Parquet into a fresh folder of the shared dir; return its path."""
     path = f"{shared_dir(df.sparkSession)}/ringside-{name}-{uuid.uuid4().hex}"

@@ -16,7 +16,7 @@ import pyarrow as pa
 #: Words of a shingle.
 SHINGLE = 5
 #: Bytes of text that are hashed at once (a longer text is hashed alone).
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -32,7 +32,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, 2 * SLICE_BYTES + 1)
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
@@ -83,12 +83,26 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, per_text
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = _BYTE) -> np.ndarray:
+    """A hash of each span of bytes (spans in order); a long text is hashed window by window."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, base + 2 * SLICE_BYTES, side="right")))
+        some = raw[base : int(ends[j - 1])]
+        total = np.zeros(len(some) + 1, dtype=np.uint64)
+        np.cumsum(letters[some] * _power("up", _P, len(some)), out=total[1:])
+        a, b = starts[i:j] - base, ends[i:j] - base
+        out[i:j] = (total[b] - total[a]) * _power("down", _P_INVERSE, len(some) + 1)[a]
+        i = j
+    return mix(out)
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash for every word, and how many words each text has."""
     starts, ends, per_text = word_spans(raw, offsets)
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * _power("up", _P, len(raw)), out=total[1:])
-    return mix((total[ends] - total[starts]) * _power("down", _P_INVERSE, len(raw) + 1)[starts]), per_text
+    return span_hashes(raw, starts, ends), per_text
 
 
 def shingle_hashes(words: np.ndarray, per_text: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
