@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encoders import encoder
-from .storage import stored
+from .storage import bounded_batches, stored
 from .words import slices, text_buffer
 
 #: Partitions that a round merges into one.
@@ -69,17 +69,14 @@ def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     return ([(0, head)] if head else []) + [(a, capacity) for a in range(head, n, capacity)]
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Pieces of every document: ``doc_id, copy, piece, start, length, ids_crc32``.
+_NAMES = ["doc_id", "copy", "piece", "start", "length", "ids_crc32"]
+_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
-    ``copy`` tells rows apart that share a doc_id. A null text is empty and
-    gives one piece, the end id.
-    """
 
+def _pieces(tokenizer_path: str, capacity: int, end_id: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             docs = batch.column(0).to_pylist()
@@ -91,10 +88,28 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_
                     at += n
                     out += [(d, row, k, start, length, zlib.crc32(own[4 * start : 4 * (start + length)])) for k, (start, length) in enumerate(cut_pieces(len(own) // 4, capacity))]
                     row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], names=_NAMES)
+
+    return run
+
+
+def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Pieces of every document: ``doc_id, copy, piece, start, length, ids_crc32``.
 
+    ``copy`` tells rows apart that share a doc_id. A null text is empty and
+    gives one piece, the end id.
+    """
+    bounded_batches(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
-    return rows.mapInArrow(run, "doc_id long, copy long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(_pieces(tokenizer_path, capacity, end_id), "doc_id long, copy long, piece int, start long, length long, ids_crc32 long")
+
+
+def _as_bins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each piece as a bin of its own: (used, pieces)."""
+    for batch in batches:
+        one = pa.StructArray.from_arrays(batch.columns, names=_NAMES)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32)), one)
+        yield pa.RecordBatch.from_arrays([batch.column(4), lists], names=["used", "pieces"])
 
 
 _BINS = f"level int, task int, number int, used long, done boolean, pieces array<{PIECE}>"
@@ -148,15 +163,19 @@ def _round(level: int, capacity: int, final: bool):
 
 
 def pack(pieces: DataFrame, *, capacity: int) -> DataFrame:
-    """Pack pieces into sequences: their columns and ``sequence_id, offset``.
+    """Pack pieces into sequences: their columns and ``sequence_id, offset``. An empty table gives no rows."""
+    first = _round(0, capacity, False)
+    return _merged(stored(pieces.select(*_NAMES).mapInArrow(lambda batches: first(_as_bins(batches)), _BINS), "bins"), capacity)
+
+
+def _merged(bins: DataFrame, capacity: int) -> DataFrame:
+    """The rounds after the first, over its bins.
 
     Every round is written to the shared folder before the next reads it, so
     a lost executor cannot change a bin that others have built on. The last
     round's tasks hold at most about ``TASK_BINS`` bins each, however many
-    there are. An empty table gives no rows.
+    there are.
     """
-    first = pieces.select(F.col("length").alias("used"), F.array(F.struct("doc_id", "copy", "piece", "start", "length", "ids_crc32")).alias("pieces"))
-    bins = stored(first.mapInArrow(_round(0, capacity, False), _BINS), "bins")
     done, level = [bins.where("done")], 0
     while True:
         level += 1
@@ -180,6 +199,13 @@ def pack(pieces: DataFrame, *, capacity: int) -> DataFrame:
     return rows.select("x.pieces.*", "sequence_id", F.col("x.offset").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 2, **columns: str) -> DataFrame:
-    """Tokenize, cut and pack documents: ``doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset``."""
-    return pack(tokenize_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, **columns), capacity=capacity)
+def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 1024, end_id: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Tokenize, cut and pack documents: ``doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset``.
+
+    One Python pass tokenizes and packs for the first time; a null text is
+    empty and gives one piece, the end id.
+    """
+    bounded_batches(docs.sparkSession)
+    rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
+    cut, first = _pieces(tokenizer_path, capacity, end_id), _round(0, capacity, False)
+    return _merged(stored(rows.mapInArrow(lambda batches: first(_as_bins(cut(batches))), _BINS), "bins"), capacity)
