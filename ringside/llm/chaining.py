@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import id_filter, may_hold, stored
+from .storage import bounded_batches, id_filter, may_hold, stored
 from .words import SHINGLE, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 
 K, WINDOW = SHINGLE, 8
@@ -182,6 +182,24 @@ def chains(pos: list[int], other: list[int]) -> list[list[int]]:
     return out
 
 
+def group_chains(pos: list[int], other: list[int]) -> list[list[int]]:
+    """Chains worth aligning among the matches of two documents.
+
+    A place of the other document is the first of its seed there, so each is
+    chained with its seed's first place here; later places (a passage again, a
+    word said over and over) are chained among themselves. Where nothing is
+    collinear, as between two runs of one word, the first match stands alone.
+    """
+    first: dict[int, int] = {}
+    for i in sorted(range(len(pos)), key=lambda i: pos[i]):
+        first.setdefault(other[i], i)
+    kept = set(first.values())
+    out = []
+    for some in (sorted(kept), [i for i in range(len(pos)) if i not in kept]):
+        out += [[some[i] for i in c] for c in chains([pos[i] for i in some], [other[i] for i in some]) if len(c) >= MIN_SEEDS]
+    return out or [[min(kept, key=lambda i: pos[i])]]
+
+
 _CHAIN = "doc long, other long, pos array<int>, other_pos array<int>"
 
 
@@ -192,7 +210,7 @@ def _chain_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def close() -> list[tuple]:
         if len(pos) < MIN_SEEDS:
             return []
-        return [(*key, [pos[i] for i in c], [other[i] for i in c]) for c in chains(pos, other) if len(c) >= MIN_SEEDS]
+        return [(*key, [pos[i] for i in c], [other[i] for i in c]) for c in group_chains(pos, other)]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
@@ -329,6 +347,7 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     not compared with each other (if their texts differ, what they share with
     others may be missed). Null, empty and short texts share nothing.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
     found = stored(rows.mapInArrow(_seeds, _SEEDS), "seeds")
     met = found.where("kind = 0").select("seed", "doc", "pos").repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(_meet, _MATCH)
@@ -359,6 +378,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_
     the white space before it. Null texts stay null. A row whose passages
     cover it keeps an empty text.
     """
+    bounded_batches(docs.sparkSession)
     spans = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
     schema = docs.schema
 
