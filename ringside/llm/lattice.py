@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import bounded_batches, stored
 from .words import slices, text_buffer
 
 #: Bytes of text of a chunk.
@@ -248,7 +249,8 @@ def _chunks(parts: int, part: int, groups: int):
         ids: list[int | None] = []
         sizes: list[int] = []
         numbers: list[np.ndarray] = []
-        table: dict[bytes, int] = {}
+        table: defaultdict[bytes, int] = defaultdict()
+        table.default_factory = table.__len__  # a new word gets the next number
         train: list[list[np.ndarray]] = [[] for _ in range(groups)]
         taken = 0
 
@@ -274,9 +276,6 @@ def _chunks(parts: int, part: int, groups: int):
             for i, j in slices(offsets, CHUNK_BYTES // 4):
                 for k in range(i, j):
                     found = raw[offsets[k] : offsets[k + 1]].tobytes().lower().split()
-                    for w in found:
-                        if w not in table:
-                            table[w] = len(table)
                     own = np.fromiter(map(table.__getitem__, found), np.uint32, len(found))
                     ids.append(docs[k])
                     sizes.append(len(own))
@@ -430,6 +429,7 @@ def score_documents(docs: DataFrame, model_path: str, *, parts: int = 7, part: i
     columns are ignored; an empty table gives no rows; without training rows
     only the vocabulary's own scores speak.
     """
+    bounded_batches(docs.sparkSession)
     pieces, p = read_pieces(model_path)
     trains = F.expr(f"crc32(cast(coalesce(cast(cast(`{id_column}` as long) as string), '') as binary)) % {parts} <> {part}")
     names: list[str] = []
