@@ -30,17 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import id_filter, may_hold, stored
+from .storage import bounded_batches, id_filter, may_hold, stored
 from .words import SHINGLE, SLICE_BYTES, mix, shingle_sets
 
 #: log2 of the sketch's counters (one byte each when broadcast: 4 MB).
 SKETCH_BITS = 22
 #: Texts are counted in groups of about so many shingles; a shingle of fewer texts in a group is not counted.
-SKETCH_SHINGLES, SKETCH_LEAST = 2_000_000, 3
+SKETCH_SHINGLES, SKETCH_LEAST = 1_000_000, 3
 #: Shingles of at least this level (log2 of their count) are salted in the exchange.
 SALT_LEVEL = 11
-#: Bytes of the bitmap that tiles compare; wide sets fold onto it.
-TILE_BITMAP = 64
+#: Bytes of the smallest bitmap; larger sets have wider ones, which fold onto a narrower partner's.
+LEAST_BITMAP = 64
+#: Bits a shingle of the wide bitmaps, which residual tiles of so many classes or more compare.
+WIDE_BITS, WIDE_FROM = 8, 48
 #: Classes of a residual block.
 BLOCK = 256
 #: Star rounds go on while one links at least this share of the classes (it sets the cost, not the result).
@@ -187,9 +189,9 @@ def bitmap(own: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def bitmap_width(n: int) -> int:
-    """Bytes of a set's own bitmap: a power of two with about two to four bits a shingle."""
-    return max(TILE_BITMAP, 1 << max(0, (2 * n - 1).bit_length() - 3))
+def bitmap_width(n: int, bits: int = 2) -> int:
+    """Bytes of a set's own bitmap: a power of two with ``bits`` to twice as many bits a shingle."""
+    return max(LEAST_BITMAP, 1 << max(0, (bits * n - 1).bit_length() - 3))
 
 
 def fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -207,7 +209,7 @@ def _reaches(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
 
 
 def _members(slots, size: int, arrays: bool):
-    """Of classes' representatives, for ids that the filter may hold: (node, n, class, bitmap or sorted array)."""
+    """Of classes' representatives, for ids that the filter may hold: (node, n, class, bitmaps or sorted array)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
@@ -215,9 +217,12 @@ def _members(slots, size: int, arrays: bool):
             some = batch.filter(pa.array(may_hold(table, batch.column(2).to_numpy())))
             rows, ids, held = [], some.column(0).to_pylist(), 0
             for i, own in shingle_sets(some.column(1), size):
-                data = own.tobytes() if arrays else bitmap(own, bitmap_width(len(own))).tobytes()
-                rows.append((ids[i], len(own), *class_id(own), data))
-                held += len(data)
+                if arrays:
+                    data, wide = own.tobytes(), None
+                else:
+                    data, wide = (bitmap(own, bitmap_width(len(own), bits)).tobytes() for bits in (2, WIDE_BITS))
+                rows.append((ids[i], len(own), *class_id(own), data, wide))
+                held += len(data) + len(wide or b"")
                 if held >= SLICE_BYTES:
                     yield _member_batch(rows)
                     rows, held = [], 0
@@ -228,8 +233,8 @@ def _members(slots, size: int, arrays: bool):
 
 
 def _member_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["node", "n", "cid", "check", "data"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["node", "n", "cid", "check", "data", "wide"])
 
 
 def _may_link(percent: int):
@@ -273,9 +278,9 @@ class _Comparison:
     def _fetch(self, nodes: DataFrame, arrays: bool) -> DataFrame:
         slots, slot = id_filter(nodes, "node")
         texts = self.rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).where("doc_id is not null")
-        sets = texts.mapInArrow(_members(slots, self.size, arrays), "node long, n long, cid long, check long, data binary")
+        sets = texts.mapInArrow(_members(slots, self.size, arrays), "node long, n long, cid long, check long, data binary, wide binary")
         wanted = self.classes.join(nodes, "node", "left_semi")
-        return sets.join(wanted, ["node", "cid", "check"], "left_semi").select("node", "n", "data").dropDuplicates(["node"])
+        return sets.join(wanted, ["node", "cid", "check"], "left_semi").select("node", "n", "data", "wide").dropDuplicates(["node"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link."""
@@ -298,26 +303,35 @@ def _blocks(percent: int):
         def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
             key = [t.column(c).to_numpy() for c in ("token", "lo", "hi")]
             new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in key], axis=0)])) if t.num_rows else []
-            node, comp, n = (t.column(c).to_numpy() for c in ("node", "comp", "n"))
-            block = t.column("block").to_numpy()
-            bits = np.frombuffer(b"".join(t.column("tile_bits").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            node, comp, n, block = (t.column(c).to_numpy() for c in ("node", "comp", "n", "block"))
+            data = t.column("data").to_pylist()
+            found_a, found_b = [], []
             for s, e in zip(new, [*new[1:], t.num_rows]):
                 lo, hi = key[1][s], key[2][s]
-                left = np.flatnonzero(block[s:e] == lo) + s
-                right = left if lo == hi else np.flatnonzero(block[s:e] == hi) + s
-                found_a, found_b = [], []
+                bits = [np.frombuffer(x, np.uint8) for x in data[s:e]]
+                width = np.array([len(x) for x in bits])
+                level = {w: np.array([fold(x, w) for x in bits if len(x) >= w]).view(np.uint64) for w in np.unique(width).tolist()}
+                at = {w: np.cumsum(width >= w) - 1 for w in level}
+                left = np.flatnonzero(block[s:e] == lo)
+                right = left if lo == hi else np.flatnonzero(block[s:e] == hi)
+                own_n, own_node, own_comp = n[s:e], node[s:e], comp[s:e]
                 for i in left.tolist():
-                    other = right[(comp[right] != comp[i]) & (node[right] > node[i] if lo == hi else True)]
-                    if not len(other):
-                        continue
-                    x, y = n[i], n[other]
-                    most = np.minimum(x - np.bitwise_count(bits[i] & ~bits[other]).sum(axis=1), y - np.bitwise_count(bits[other] & ~bits[i]).sum(axis=1)).astype(np.int64)
-                    ok = other[100 * most >= percent * (x + y - most)]
-                    found_a += [node[i]] * len(ok)
-                    found_b += node[ok].tolist()
-                if found_a:
-                    a, b = np.array(found_a), np.array(found_b)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                    x, y = own_n[i], own_n[right]
+                    sized = 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+                    others = right[sized & (own_comp[right] != own_comp[i]) & ((own_node[right] > own_node[i]) if lo == hi else True)]
+                    for w in level:
+                        some = others[width[others] >= w] if w == width[i] else others[width[others] == w] if w < width[i] else others[:0]
+                        if not len(some):
+                            continue
+                        p, q, y = level[w][at[w][i]], level[w][at[w][some]], own_n[some]
+                        most = np.minimum(x - np.bitwise_count(p & ~q).sum(axis=1), y - np.bitwise_count(q & ~p).sum(axis=1)).astype(np.int64)
+                        ok = own_node[some[100 * most >= percent * (x + y - most)]]
+                        found_a += [own_node[i]] * len(ok)
+                        found_b += ok.tolist()
+            if found_a:
+                a, b = np.array(found_a), np.array(found_b)
+                both = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -340,21 +354,15 @@ def _residual(shared: DataFrame, comps: DataFrame, bits: DataFrame, percent: int
     mixed = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("c0 <> c1")
     # tokens that the same classes share would give the same pairs: one of them is enough
     mixed = mixed.groupBy("many", "who").agg(F.min("token").alias("token"))
-    own = bits.select("node", "n", "data").mapInArrow(_fold_column, "node long, n long, tile_bits binary")
+    data = F.when(F.col("many") >= WIDE_FROM, F.col("wide")).otherwise(F.col("data")).alias("data")
     blocks = F.ceil(F.col("many") / F.lit(BLOCK)).cast("int")
-    placed = rows.join(mixed.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp")
-    tiles = spread.join(own, "node").select("token", "lo", "hi", "block", "node", "comp", "n", "tile_bits")
+    placed = rows.join(mixed.select("token", "many", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp", "many")
+    tiles = spread.join(bits, "node").select("token", "lo", "hi", "block", "node", "comp", "n", data)
     pairs = tiles.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi").mapInArrow(_blocks(percent), "a long, b long")
     return pairs.distinct()
 
 
-def _fold_column(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        folded = [fold(np.frombuffer(x.as_buffer(), np.uint8), TILE_BITMAP).tobytes() for x in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(folded, pa.binary())], names=["node", "n", "tile_bits"])
-
-
 def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id`` for every row.
 
@@ -366,6 +374,7 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
     Repeated rows give a row each. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
     prints = stored(rows.mapInArrow(_fingerprints(size), "kind int, doc_id long, n long, cid long, check long"), "prints")
     documents = prints.where("kind = 0").drop("kind")

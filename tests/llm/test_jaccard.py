@@ -79,6 +79,7 @@ def test_random_corpora(spark):
 
 def test_blocks_and_salts(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 3)
+    monkeypatch.setattr(jaccard, "WIDE_FROM", 4)
     check(spark, corpus(3, 40))
 
 
@@ -134,3 +135,10 @@ def test_connected_components(spark):
     loops = {a for a, b in edges if a == b} - set(got)
     assert got == {x: find(x) for x in parent if x not in loops}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_are_hashed_alike(monkeypatch):
+    text = " ".join(f"word{i % 977}" for i in range(5000)) + "\n" + "x" * 3000 + " end"
+    whole = [own.tolist() for _, own in words.shingle_sets(pa.array([text, "a b"]))]
+    monkeypatch.setattr(words, "SLICE_BYTES", 500)
+    assert [own.tolist() for _, own in words.shingle_sets(pa.array([text, "a b"]))] == whole
