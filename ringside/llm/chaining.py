@@ -5,9 +5,10 @@
    ``K + WINDOW - 1`` words share a seed.
 2. Join: occurrences of a seed meet in a star around the smallest document.
    A task first joins what it has itself (by slices of bounded size) and sends
-   on one occurrence of each seed a slice; slices' occurrences then meet by the
-   seed's hash. So a seed costs a row an occurrence, never a pair of them, and
-   a seed of very many documents reaches the exchange once a slice.
+   on every place of a seed in the slice's smallest document; slices' places
+   then meet by the seed's hash. So a seed costs a row an occurrence, never a
+   pair of them, and a seed of very many documents reaches the exchange with
+   the places of one document a slice.
 3. Chain: the matches of two documents, ordered in one, are chained in both by
    a Fenwick tree of best prefixes, a gap costing in proportion to its length.
 4. Align: chains are extended word by word along their ends, joined by
@@ -60,13 +61,13 @@ def minimizers(shingles: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray,
     return out, text[out]
 
 
-def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (seed, doc, pos); the place of each row's head; which rows are heads."""
+def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (seed, doc, pos); the place of each row's head."""
     order = np.lexsort((pos, doc, seed))
     s = seed[order]
     new = np.ones(len(s), dtype=bool)
     new[1:] = s[1:] != s[:-1]
-    return order, np.maximum.accumulate(np.where(new, np.arange(len(s)), 0)), new
+    return order, np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
 
 
 def _seeds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,13 +76,14 @@ def _seeds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         seed, doc, pos = (np.concatenate(x) for x in zip(*held))
-        order, head, new = _star(seed, doc, pos)
+        order, head = _star(seed, doc, pos)
         seed, doc, pos = seed[order], doc[order], pos[order]
-        local = ~new & (doc != doc[head])
-        n = int(new.sum())
+        local = doc != doc[head]
+        sent = ~local  # all places in the smallest document: another slice may hold a smaller one
+        n = int(sent.sum())
         zero, none = np.zeros(n, np.int32), pa.nulls(n, pa.int64())
         names = ["kind", "seed", "doc", "pos", "other", "other_pos"]
-        yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(seed[new]), pa.array(doc[new]), pa.array(pos[new]), none, pa.nulls(n, pa.int32())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(seed[sent]), pa.array(doc[sent]), pa.array(pos[sent]), none, pa.nulls(n, pa.int32())], names=names)
         m = int(local.sum())
         if m:
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(doc[local]), pa.array(pos[local]), pa.array(doc[head][local]), pa.array(pos[head][local])], names=names)

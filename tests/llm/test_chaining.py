@@ -93,6 +93,18 @@ def test_repeated_rows_and_empty(spark):
     assert chaining.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_a_passage_twice_in_one_document_of_another_slice(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "JOIN_BYTES", 1)  # a slice a batch
+    rnd = random.Random(11)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = words(70)
+    docs = {1: words(40) + passage + words(40), 7: words(30) + passage + words(90) + passage + words(30)}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string").repartitionByRange(2, "doc_id")
+    found = chaining.repeated_passages(df).collect()
+    for s in (30, 190):
+        assert any(r.doc_id == 7 and r.other_id == 1 and r.start_word <= s + 2 and r.end_word >= s + 68 for r in found)
+
+
 def test_cut(spark):
     assert chaining.remove_words("a  b\nc d", [(1, 3)]) == "a  d"
     assert chaining.remove_words("a b c", [(1, 9)]) == "a" and chaining.remove_words("é ü", [(0, 2)]) == ""
