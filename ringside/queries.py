@@ -342,10 +342,16 @@ def stat_pivot(spark, sf_dir):
 SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' (mr|mrs|ms|dr|miss)( (mr|mrs|ms|dr|miss))* ', ' ', 'g')) AS key FROM documents WHERE NOT regexp_matches(lower(text), '(mr|mrs|ms|dr|miss)')
 """)
 def norm_key(spark, sf_dir):
-    """Documents without honorifics as keys of plain words."""
+    """Documents without honorifics as keys of plain words (``norm_key_all`` takes every document)."""
     return _t(spark, sf_dir, "documents").where(~F.lower("text").rlike("(mr|mrs|ms|dr|miss)")).select("doc_id", T.norm_key("text").alias("key"))
 
 
+@query()
+def norm_key_all(spark, sf_dir):
+    """All documents, null texts too, as keys of plain words without honorifics."""
+    return _t(spark, sf_dir, "documents").select("doc_id", T.norm_key("text").alias("key"))
+
+
 @query(r"""
 WITH p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(trim(text, ' '), '[.]\s'), lambda c: trim(c, ' ')), lambda c: c <> '') AS parts FROM documents)
 SELECT doc_id, len(parts) AS n_parts, parts[1] AS first_part, parts[len(parts)] AS last_part FROM p
