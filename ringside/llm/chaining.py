@@ -1,14 +1,8 @@
 """Fuzzy repeated passages by collinear chaining of shared k-mer seeds.
 
-1. Seeds: of every window of ``WINDOW`` consecutive k-mers (runs of ``K``
-   words) the smallest hash is kept, so two texts that share a run of
-   ``K + WINDOW - 1`` words share a seed.
-2. Join: occurrences of a seed meet in a star around the smallest document.
-   A task first joins what it has itself (by slices of bounded size) and sends
-   on every place of a seed in the slice's smallest document; slices' places
-   then meet by the seed's hash. So a seed costs a row an occurrence, never a
-   pair of them, and a seed of very many documents reaches the exchange with
-   the places of one document a slice.
+1. Seeds: the hashes of all k-mers (runs of ``K`` words).
+2. Join: occurrences of a seed meet by its hash in a star around the smallest
+   document. So a seed costs a row an occurrence, never a pair of them.
 3. Chain: the matches of two documents, ordered in one, are chained in both by
    a Fenwick tree of best prefixes, a gap costing in proportion to its length.
 4. Align: chains are extended word by word along their ends, joined by
@@ -27,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import bounded_batches, id_filter, may_hold, stored
-from .words import SHINGLE, shingle_hashes, slices, text_buffer, word_hashes, word_spans
+from .words import SHINGLE, SLICE_BYTES, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 
-K, WINDOW = SHINGLE, 8
+K = SHINGLE
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
 #: A chain's score is K a seed less this much a word of gap, in both documents.
 GAP_COST = 0.1
@@ -39,73 +33,25 @@ MIN_SEEDS = 2
 DROP = 8
 #: A run of so many columns without a match splits an alignment.
 SPLIT = 12
-#: Bytes of text whose seeds a task joins at once.
+#: Bytes of text whose seeds a task sends on at once.
 JOIN_BYTES = 8_000_000
 
 _MATCH = "doc long, pos int, other long, other_pos int"
-_SEEDS = f"kind int, seed long, {_MATCH}"
-
-
-def minimizers(shingles: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``shingles`` that are the smallest of a window, and the text of each; windows stay within a text."""
-    n = len(shingles)
-    text = np.repeat(np.arange(len(per_text)), per_text)
-    if n < WINDOW:
-        starts = np.zeros(0, dtype=np.int64)
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(shingles, WINDOW)
-        inside = text[: n - WINDOW + 1] == text[WINDOW - 1 :]
-        where = np.flatnonzero(inside)
-        starts = where + views[where].argmin(axis=1) if len(where) else where
-    out = np.unique(starts)
-    return out, text[out]
-
-
-def _star(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (seed, doc, pos); the place of each row's head."""
-    order = np.lexsort((pos, doc, seed))
-    s = seed[order]
-    new = np.ones(len(s), dtype=bool)
-    new[1:] = s[1:] != s[:-1]
-    return order, np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
+_SEEDS = "seed long, doc long, pos int"
 
 
 def _seeds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    taken = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        seed, doc, pos = (np.concatenate(x) for x in zip(*held))
-        order, head = _star(seed, doc, pos)
-        seed, doc, pos = seed[order], doc[order], pos[order]
-        local = doc != doc[head]
-        sent = ~local  # all places in the smallest document: another slice may hold a smaller one
-        n = int(sent.sum())
-        zero, none = np.zeros(n, np.int32), pa.nulls(n, pa.int64())
-        names = ["kind", "seed", "doc", "pos", "other", "other_pos"]
-        yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(seed[sent]), pa.array(doc[sent]), pa.array(pos[sent]), none, pa.nulls(n, pa.int32())], names=names)
-        m = int(local.sum())
-        if m:
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(doc[local]), pa.array(pos[local]), pa.array(doc[head][local]), pa.array(pos[head][local])], names=names)
-
     for batch in batches:
         raw, offsets = text_buffer(batch.column(1))
         ids = batch.column(0).to_numpy()
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, min(SLICE_BYTES, JOIN_BYTES)):
             words, per_text = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             shingles, count = shingle_hashes(words, per_text, K)
-            at, text = minimizers(shingles, count)
-            at, text = at[per_text[text] >= MIN_WORDS], text[per_text[text] >= MIN_WORDS]
+            text = np.repeat(np.arange(len(count)), count)
+            at = np.flatnonzero(per_text[text] >= MIN_WORDS)
             if len(at):
-                first = np.cumsum(count) - count
-                held.append((shingles[at].view(np.int64), ids[i:j][text], (at - first[text]).astype(np.int32)))
-            taken += int(offsets[j] - offsets[i])
-            if taken >= JOIN_BYTES:
-                if held:
-                    yield from flush()
-                held, taken = [], 0
-    if held:
-        yield from flush()
+                text, first = text[at], np.cumsum(count) - count
+                yield pa.RecordBatch.from_arrays([pa.array(shingles[at].view(np.int64)), pa.array(ids[i:j][text]), pa.array((at - first[text]).astype(np.int32))], names=["seed", "doc", "pos"])
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,9 +297,7 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     """
     bounded_batches(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
-    found = stored(rows.mapInArrow(_seeds, _SEEDS), "seeds")
-    met = found.where("kind = 0").select("seed", "doc", "pos").repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(_meet, _MATCH)
-    matches = met.unionByName(found.where("kind = 1").select("doc", "pos", "other", "other_pos"))
+    matches = rows.mapInArrow(_seeds, _SEEDS).repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(_meet, _MATCH)
     placed = matches.repartition("doc", "other").sortWithinPartitions("doc", "other", "pos", "other_pos")
     chained = stored(placed.mapInArrow(_chain_groups, _CHAIN), "chains")
 

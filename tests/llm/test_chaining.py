@@ -105,6 +105,19 @@ def test_a_passage_twice_in_one_document_of_another_slice(spark, monkeypatch):
         assert any(r.doc_id == 7 and r.other_id == 1 and r.start_word <= s + 2 and r.end_word >= s + 68 for r in found)
 
 
+def test_evenly_edited_passages(spark):
+    rnd = random.Random(12)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    docs = {}
+    for k in range(60):  # identities 0.83, 0.86, 0.88 and 0.9
+        passage, every = words(60), (6, 7, 8, 10)[k % 4]
+        edited = [rnd.choice(words(1)) if i % every == every - 1 else w for i, w in enumerate(passage)]
+        docs[k], docs[100 + k] = words(30) + passage + words(30), words(40) + edited + words(30)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    found = {(r.doc_id, r.other_id) for r in chaining.repeated_passages(df).collect()}
+    assert found == {(100 + k, k) for k in range(60)}
+
+
 def test_cut(spark):
     assert chaining.remove_words("a  b\nc d", [(1, 3)]) == "a  d"
     assert chaining.remove_words("a b c", [(1, 9)]) == "a" and chaining.remove_words("é ü", [(0, 2)]) == ""
