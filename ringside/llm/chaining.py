@@ -2,7 +2,11 @@
 
 1. Seeds: the hashes of all k-mers (runs of ``K`` words).
 2. Join: occurrences of a seed meet by its hash in a star around the smallest
-   document. So a seed costs a row an occurrence, never a pair of them.
+   document. So a seed costs a row an occurrence, never a pair of them. Parts
+   of a passage may meet different smallest documents. So seeds of at least
+   three documents are followed on to the next such seed, and runs of ``RUNS``
+   of them meet in stars of their own: documents that share more of a passage
+   than others meet there.
 3. Chain: the matches of two documents, ordered in one, are chained in both by
    a Fenwick tree of best prefixes, a gap costing in proportion to its length.
 4. Align: chains are extended word by word along their ends, joined by
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import bounded_batches, id_filter, may_hold, stored
-from .words import SHINGLE, SLICE_BYTES, shingle_hashes, slices, text_buffer, word_hashes, word_spans
+from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 
 K = SHINGLE
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
@@ -36,42 +40,109 @@ SPLIT = 12
 #: Bytes of text whose seeds a task sends on at once.
 JOIN_BYTES = 8_000_000
 
+#: Seeds of a run that is a seed itself; ten of five words are the shortest passage.
+RUNS = (2, 4, 8, 10)
+#: Seeds of so many documents are followed on.
+MANY = 3
+#: log2 of the bits of the bitmap of such seeds: others that share a bit are followed too, in every document alike.
+MANY_BITS = 25
+
 _MATCH = "doc long, pos int, other long, other_pos int"
-_SEEDS = "seed long, doc long, pos int"
+_SEEDS = "seed long, doc long, pos int, next int"
+_MET = f"seed long, {_MATCH}"
 
 
-def _seeds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, offsets = text_buffer(batch.column(1))
-        ids = batch.column(0).to_numpy()
-        for i, j in slices(offsets, min(SLICE_BYTES, JOIN_BYTES)):
-            words, per_text = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            shingles, count = shingle_hashes(words, per_text, K)
-            text = np.repeat(np.arange(len(count)), count)
-            at = np.flatnonzero(per_text[text] >= MIN_WORDS)
-            if len(at):
-                text, first = text[at], np.cumsum(count) - count
-                yield pa.RecordBatch.from_arrays([pa.array(shingles[at].view(np.int64)), pa.array(ids[i:j][text]), pa.array((at - first[text]).astype(np.int32))], names=["seed", "doc", "pos"])
+def _slot(seed: np.ndarray) -> np.ndarray:
+    return (seed & np.uint64((1 << MANY_BITS) - 1)).astype(np.int64)
+
+
+def _runs(seed: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of the seeds at ascending places ``at``, as (hash, index of the first, index of the second) of each.
+
+    A seed is followed by the next of its text that does not overlap it, at most ``SPLIT`` words on.
+    """
+    n = len(at)
+    follow = np.append(np.searchsorted(at, at + K), n)  # n: none
+    inside = np.minimum(follow[:n], n - 1)
+    good = (follow[:n] < n) & (text[inside] == text) & (at[inside] - at <= K + SPLIT)
+    follow[:n][~good] = n
+    name, last = np.append(seed, np.uint64(0)), np.arange(n + 1)
+    for size in range(2, RUNS[-1] + 1):
+        last = follow[last]
+        name = mix(name + np.uint64(size)) + np.append(seed, np.uint64(0))[last]
+        if size in RUNS:
+            whole = np.flatnonzero(last[:n] < n)
+            yield mix(name[whole]), whole, follow[whole]
+
+
+def _seeds(slots=None):
+    """Rows (seed, doc, pos, next) of all k-mers, or of the runs of those that the bitmap ``slots`` holds."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = text_buffer(batch.column(1))
+            ids = batch.column(0).to_numpy()
+            for i, j in slices(offsets, min(SLICE_BYTES, JOIN_BYTES)):
+                words, per_text = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                shingles, count = shingle_hashes(words, per_text, K)
+                text = np.repeat(np.arange(len(count)), count)
+                keep = per_text[text] >= MIN_WORDS
+                if slots is not None:
+                    keep &= may_hold(slots.value, _slot(shingles))
+                at = np.flatnonzero(keep)
+                if not len(at):
+                    continue
+                seed, text = shingles[at], text[at]
+                doc, pos = ids[i:j][text], (at - (np.cumsum(count) - count)[text]).astype(np.int32)
+                every = np.arange(len(at))
+                for name, one, two in [(seed, every, every)] if slots is None else _runs(seed, text, at):
+                    if len(one):
+                        yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(doc[one]), pa.array(pos[one]), pa.array(pos[two])], names=["seed", "doc", "pos", "next"])
+
+    return run
 
 
 def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (seed, doc, pos): each with the head of its seed, if that is another document's."""
+    """Rows sorted by (seed, doc, pos): each with the head of its seed, if that is another document's.
+
+    The second place of a run is a match of its own. A seed that reaches its
+    ``MANY``-th document gives a row of its own, without a match.
+    """
+    names = [x.split()[0] for x in _MET.split(", ")]
     head: tuple | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        seed, doc, pos = (batch.column(i).to_numpy() for i in range(3))
+        seed, doc, pos, nxt = (batch.column(i).to_numpy() for i in range(4))
         new = np.ones(len(seed), dtype=bool)
         new[1:] = seed[1:] != seed[:-1]
         if head is not None and head[0] == seed[0]:
             new[0] = False
+        other = new.copy()  # the first row of a document
+        other[1:] |= doc[1:] != doc[:-1]
+        other[0] |= head is None or head[4] != doc[0]
         at = np.maximum.accumulate(np.where(new, np.arange(len(seed)), -1))
-        hd = np.where(at >= 0, doc[at], head[1] if head else 0)
-        hp = np.where(at >= 0, pos[at], head[2] if head else 0)
-        ok = ~new & (doc != hd)
-        head = (seed[-1], hd[-1], hp[-1])
-        if ok.any():
-            yield pa.RecordBatch.from_arrays([pa.array(doc[ok]), pa.array(pos[ok]), pa.array(hd[ok]), pa.array(hp[ok].astype(np.int32))], names=["doc", "pos", "other", "other_pos"])
+        seen = np.cumsum(other)
+        docs = np.where(at >= 0, seen - seen[at] + 1, seen + (head[5] if head else 0))
+        hd, hp, hn = (np.where(at >= 0, x[at], head[k] if head else 0) for k, x in ((1, doc), (2, pos), (3, nxt)))
+        ok = doc != hd
+        head = (seed[-1], hd[-1], hp[-1], hn[-1], doc[-1], docs[-1])
+        for some, p, q in ((ok, pos, hp), (ok & (nxt != pos), nxt, hn)):
+            if n := int(some.sum()):
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(doc[some]), pa.array(p[some]), pa.array(hd[some]), pa.array(q[some].astype(np.int32))], names=names)
+        many = seed[other & (docs == MANY)]
+        if n := len(many):
+            yield pa.RecordBatch.from_arrays([pa.array(many), *(pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=names)
+
+
+def _many_held(met: DataFrame):
+    """A broadcast bitmap of fixed size with the seeds of at least ``MANY`` documents."""
+    slot = F.col("seed").bitwiseAND(F.lit((1 << MANY_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(seed & 63 as int))")
+    words = met.where("seed is not null").select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(1 << (MANY_BITS - 6), dtype=np.uint64)
+    table[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
+    return met.sparkSession.sparkContext.broadcast(table)
 
 
 class Fenwick:
@@ -297,7 +368,12 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     """
     bounded_batches(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
-    matches = rows.mapInArrow(_seeds, _SEEDS).repartition("seed").sortWithinPartitions("seed", "doc", "pos").mapInArrow(_meet, _MATCH)
+
+    def star(slots=None) -> DataFrame:
+        return rows.mapInArrow(_seeds(slots), _SEEDS).repartition("seed").sortWithinPartitions("seed", "doc", "pos", "next").mapInArrow(_meet, _MET)
+
+    met = stored(star(), "matches")
+    matches = met.unionByName(star(_many_held(met))).where("doc is not null").drop("seed")
     placed = matches.repartition("doc", "other").sortWithinPartitions("doc", "other", "pos", "other_pos")
     chained = stored(placed.mapInArrow(_chain_groups, _CHAIN), "chains")
 

@@ -118,6 +118,22 @@ def test_evenly_edited_passages(spark):
     assert found == {(100 + k, k) for k in range(60)}
 
 
+def test_passages_of_lines_that_earlier_documents_hold(spark):
+    rnd = random.Random(13)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    docs, want = {}, set()
+    for k in range(0, 200, 10):
+        x, y = words(30), words(30)
+        docs[k], docs[k + 1] = words(30) + x + words(30), words(30) + y + words(30)
+        for d in (k + 2, k + 3):  # a word of their own at the border in every second pair
+            docs[d] = words(20) + x + words(k // 10 % 2) + y + words(20)
+        want.add((k + 3, k + 2))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    found = chaining.repeated_passages(df).collect()
+    assert {(r.doc_id, r.other_id) for r in found} == want
+    assert all(r.start_word <= 22 and r.end_word >= 78 for r in found)
+
+
 def test_cut(spark):
     assert chaining.remove_words("a  b\nc d", [(1, 3)]) == "a  d"
     assert chaining.remove_words("a b c", [(1, 9)]) == "a" and chaining.remove_words("é ü", [(0, 2)]) == ""
