@@ -1,18 +1,27 @@
 """Fuzzy repeated passages by collinear chaining of shared k-mer seeds.
 
 1. Seeds: the hashes of all k-mers (runs of ``K`` words).
-2. Join: occurrences of a seed meet by its hash in a star around the smallest
-   document. So a seed costs a row an occurrence, never a pair of them. Parts
-   of a passage may meet different smallest documents. So seeds of at least
-   three documents are followed on to the next such seed, and runs of ``RUNS``
-   of them meet in stars of their own: documents that share more of a passage
-   than others meet there.
-3. Chain: the matches of two documents, ordered in one, are chained in both by
-   a Fenwick tree of best prefixes, a gap costing in proportion to its length.
-4. Align: chains are extended word by word along their ends, joined by
-   alignments with one indel between seeds, and split where they stop
+2. Join: a task cuts its texts into slices of bounded size. Of each slice and
+   seed one occurrence, that in the smallest document, goes to the seed's
+   bucket, packed with others into a few binary cells. There it meets the
+   heads of other slices. The answer to each slice holds the seed's smallest
+   document of all (its head) and the one before. So a seed costs its bucket
+   a few bytes a slice, however many documents hold it, and seeds of one
+   document, which are most, end there. In its slice the answer reaches all
+   other occurrences. So every occurrence is matched with its head (a star)
+   and, where that explains nothing, with a neighbour (a path).
+3. Runs: parts of a passage may have different heads, none of which holds the
+   whole. A run of ``MIN_WORDS`` words all of whose seeds are shared but whose
+   heads differ is a seed itself, with a star of its own. So every unchanged
+   passage of so many words is found, whatever other documents hold of it.
+4. Chain: a document's matches stand in its slice. Those on one diagonal are
+   anchors; anchors are chained in both texts by a Fenwick tree of best
+   prefixes, a gap costing in proportion to its length.
+5. Align: chains are extended word by word along their ends, joined by
+   alignments with one indel between anchors, and split where they stop
    matching. What has at least ``MIN_WORDS`` words on both sides and a share
-   of ``MIN_IDENTITY`` equal words is a passage.
+   of ``MIN_IDENTITY`` equal words is a passage. Texts are cut to windows
+   around a chain; what reaches a window's end is aligned on whole texts.
 """
 
 from __future__ import annotations
@@ -21,14 +30,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import bounded_batches, id_filter, may_hold, stored
+from .storage import Tables, bounded_batches, id_filter, may_hold
 from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 
 K = SHINGLE
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
+#: Seeds of a run.
+RUN = MIN_WORDS - K + 1
 #: A chain's score is K a seed less this much a word of gap, in both documents.
 GAP_COST = 0.1
 #: Seeds of a chain that is aligned.
@@ -37,48 +49,81 @@ MIN_SEEDS = 2
 DROP = 8
 #: A run of so many columns without a match splits an alignment.
 SPLIT = 12
-#: Bytes of text whose seeds a task sends on at once.
+#: Bytes of text of a slice.
 JOIN_BYTES = 8_000_000
+#: Bytes of text, at most, whose seeds share a bucket; there are some a partition at least.
+BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
+#: Bits of a seed's name within its bucket.
+NAME_BITS = 40
+#: Words around a chain that are aligned first.
+REACH = 400
+#: Chains of one document that stand together in a join, about; more are salted.
+TOGETHER = 50_000
+
+_CELLS = "key int, kind int, slice long, names binary, docs binary, counts binary, pos binary, more binary"
+_ANSWERS = "slice long, names binary, docs binary, pos binary, heads binary, head_pos binary, befores binary, before_pos binary"
+_FOUND = "doc long, other long, pos array<int>, other_pos array<int>, cell struct<key:int,kind:int,slice:bigint,names:binary,docs:binary,counts:binary,pos:binary,more:binary>"
+
+
+def _planes(x: np.ndarray, width: int) -> np.ndarray:
+    """The lowest ``width`` bytes of little-endian numbers, byte by byte: high bytes are mostly equal and compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1)[:, :width].T)
+
+
+def _unplaned(data, width: int, dtype: str) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((raw.shape[1], np.dtype(dtype).itemsize), np.uint8)
+    out[:, :width] = raw.T
+    return out.reshape(-1).view(dtype)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+
+def _slice_cells(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, bits: int, slice_id: int) -> list[tuple]:
+    """Rows of a slice's seeds: a cell a bucket with the head of each seed (kind 0), and all other occurrences (kind 1)."""
+    order = np.argsort(doc, kind="stable")
+    order = order[np.argsort((seed[order] >> np.uint64(64 - bits - NAME_BITS)), kind="stable")]
+    name, doc, pos = seed[order] >> np.uint64(64 - bits - NAME_BITS), doc[order], pos[order].astype(np.int32)
+    new = np.ones(len(name), dtype=bool)
+    new[1:] = name[1:] != name[:-1]
+    starts = np.flatnonzero(new)
+    another = np.zeros(len(name), dtype=bool)
+    another[1:] = ~new[1:] & (doc[1:] != doc[:-1])
+    several = np.add.reduceat(another, starts) > 0
+    rows: list[tuple] = []
+    rest = np.flatnonzero(~new)
+    if len(rest):
+        rows.append((slice_id & ((1 << bits) - 1), 1, slice_id, name[rest].tobytes(), doc[rest].tobytes(), None, pos[rest].tobytes(), None))
+    head_name, head_doc, head_pos = name[starts], doc[starts], pos[starts]
+    bucket = (head_name >> np.uint64(NAME_BITS)).astype(np.int64)
+    order = np.lexsort((head_doc, bucket))
+    head_name, head_doc, head_pos, several, bucket = (x[order] for x in (head_name, head_doc, head_pos, several, bucket))
+    names, places = _planes(head_name, NAME_BITS // 8), _planes(head_pos, 4)
+    own = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (head_doc[1:] != head_doc[:-1])]))
+    counts = np.diff(np.append(own, len(bucket))).astype(np.uint32)
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+    cuts = np.searchsorted(own, edges)
+    for a, b, c, d in zip(edges[:-1].tolist(), edges[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+        rows.append((int(bucket[a]), 0, slice_id, names[:, a:b].tobytes(), head_doc[own[c:d]].tobytes(), counts[c:d].tobytes(), places[:, a:b].tobytes(), np.packbits(several[a:b]).tobytes()))
+    return rows
+
+
+def _seed_cells(bits: int):
+    """The cells of all k-mers of texts that can hold a passage."""
 
-#: Seeds of a run that is a seed itself; ten of five words are the shortest passage.
-RUNS = (2, 4, 8, 10)
-#: Seeds of so many documents are followed on.
-MANY = 3
-#: log2 of the bits of the bitmap of such seeds: others that share a bit are followed too, in every document alike.
-MANY_BITS = 25
-
-_MATCH = "doc long, pos int, other long, other_pos int"
-_SEEDS = "seed long, doc long, pos int, next int"
-_MET = f"seed long, {_MATCH}"
-
-
-def _slot(seed: np.ndarray) -> np.ndarray:
-    return (seed & np.uint64((1 << MANY_BITS) - 1)).astype(np.int64)
-
-
-def _runs(seed: np.ndarray, text: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of the seeds at ascending places ``at``, as (hash, index of the first, index of the second) of each.
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size, mark = 0, xxhash.xxh3_64()
 
-    A seed is followed by the next of its text that does not overlap it, at most ``SPLIT`` words on.
-    """
-    n = len(at)
-    follow = np.append(np.searchsorted(at, at + K), n)  # n: none
-    inside = np.minimum(follow[:n], n - 1)
-    good = (follow[:n] < n) & (text[inside] == text) & (at[inside] - at <= K + SPLIT)
-    follow[:n][~good] = n
-    name, last = np.append(seed, np.uint64(0)), np.arange(n + 1)
-    for size in range(2, RUNS[-1] + 1):
-        last = follow[last]
-        name = mix(name + np.uint64(size)) + np.append(seed, np.uint64(0))[last]
-        if size in RUNS:
-            whole = np.flatnonzero(last[:n] < n)
-            yield mix(name[whole]), whole, follow[whole]
-
-
-def _seeds(slots=None):
-    """Rows (seed, doc, pos, next) of all k-mers, or of the runs of those that the bitmap ``slots`` holds."""
+        def flush() -> pa.RecordBatch:
+            seed, doc, pos = (np.concatenate(x) for x in zip(*held))
+            # the slice's name comes from what it holds, so a task that runs again gives it again
+            return _batch(_slice_cells(seed, doc, pos, bits, mark.intdigest() >> 1), _CELLS)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = text_buffer(batch.column(1))
             ids = batch.column(0).to_numpy()
@@ -86,63 +131,73 @@ def _seeds(slots=None):
                 words, per_text = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 shingles, count = shingle_hashes(words, per_text, K)
                 text = np.repeat(np.arange(len(count)), count)
-                keep = per_text[text] >= MIN_WORDS
-                if slots is not None:
-                    keep &= may_hold(slots.value, _slot(shingles))
-                at = np.flatnonzero(keep)
-                if not len(at):
-                    continue
-                seed, text = shingles[at], text[at]
-                doc, pos = ids[i:j][text], (at - (np.cumsum(count) - count)[text]).astype(np.int32)
-                every = np.arange(len(at))
-                for name, one, two in [(seed, every, every)] if slots is None else _runs(seed, text, at):
-                    if len(one):
-                        yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(doc[one]), pa.array(pos[one]), pa.array(pos[two])], names=["seed", "doc", "pos", "next"])
+                at = np.flatnonzero(per_text[text] >= MIN_WORDS)
+                if len(at):
+                    text = text[at]
+                    held.append((shingles[at], ids[i:j][text], (at - (np.cumsum(count) - count)[text]).astype(np.int32)))
+                    mark.update(np.ascontiguousarray(ids[i:j]).tobytes() + per_text.tobytes())
+                size += int(offsets[j] - offsets[i])
+                if size >= JOIN_BYTES and held:
+                    yield flush()
+                    held, size, mark = [], 0, xxhash.xxh3_64()
+        if held:
+            yield flush()
 
     return run
 
 
-def _meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (seed, doc, pos): each with the head of its seed, if that is another document's.
+def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: to each slice, of its seeds that two documents hold, the head and the one before.
 
-    The second place of a run is a match of its own. A seed that reaches its
-    ``MANY``-th document gives a row of its own, without a match.
+    A slice's other occurrences go on as they are.
     """
-    names = [x.split()[0] for x in _MET.split(", ")]
-    head: tuple | None = None
+
+    def answer(key: int, cells: list[tuple]) -> pa.RecordBatch | None:
+        name = np.concatenate([_unplaned(c[1], NAME_BITS // 8, "<u8") for c in cells])
+        doc = np.concatenate([np.repeat(np.frombuffer(c[2], np.int64), np.frombuffer(c[3], np.uint32)) for c in cells])
+        pos = np.concatenate([_unplaned(c[4], 4, "<i4") for c in cells])
+        sizes = [len(c[1]) // (NAME_BITS // 8) for c in cells]
+        several = np.concatenate([np.unpackbits(np.frombuffer(c[5], np.uint8), count=n) for c, n in zip(cells, sizes)]).astype(bool)
+        order = np.lexsort((pos, doc, name))
+        name, doc, pos, several = name[order], doc[order], pos[order], several[order]
+        new = np.concatenate([[True], name[1:] != name[:-1]])
+        starts = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        last = np.append(starts[1:], len(name)) - 1
+        shared = (doc[last] != doc[starts]) | np.bitwise_or.reduceat(several, starts)
+        some = np.flatnonzero(shared[group])
+        if not len(some):
+            return None
+        head = starts[group[some]]
+        before = np.maximum(some - 1, head)
+        whose = np.repeat(np.arange(len(cells)), sizes)[order][some]
+        by = np.argsort(whose, kind="stable")
+        some, head, before, whose = some[by], head[by], before[by], whose[by]
+        full = name + (np.uint64(key) << np.uint64(NAME_BITS))
+        edges = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1], [True]])).tolist()
+        rows = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            s, h, p = some[a:b], head[a:b], before[a:b]
+            rows.append((cells[int(whose[a])][0], full[s].tobytes(), doc[s].tobytes(), pos[s].tobytes(), doc[h].tobytes(), pos[h].tobytes(), doc[p].tobytes(), pos[p].tobytes()))
+        return _batch(rows, _ANSWERS)
+
+    key, cells = None, []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        seed, doc, pos, nxt = (batch.column(i).to_numpy() for i in range(4))
-        new = np.ones(len(seed), dtype=bool)
-        new[1:] = seed[1:] != seed[:-1]
-        if head is not None and head[0] == seed[0]:
-            new[0] = False
-        other = new.copy()  # the first row of a document
-        other[1:] |= doc[1:] != doc[:-1]
-        other[0] |= head is None or head[4] != doc[0]
-        at = np.maximum.accumulate(np.where(new, np.arange(len(seed)), -1))
-        seen = np.cumsum(other)
-        docs = np.where(at >= 0, seen - seen[at] + 1, seen + (head[5] if head else 0))
-        hd, hp, hn = (np.where(at >= 0, x[at], head[k] if head else 0) for k, x in ((1, doc), (2, pos), (3, nxt)))
-        ok = doc != hd
-        head = (seed[-1], hd[-1], hp[-1], hn[-1], doc[-1], docs[-1])
-        for some, p, q in ((ok, pos, hp), (ok & (nxt != pos), nxt, hn)):
-            if n := int(some.sum()):
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(doc[some]), pa.array(p[some]), pa.array(hd[some]), pa.array(q[some].astype(np.int32))], names=names)
-        many = seed[other & (docs == MANY)]
-        if n := len(many):
-            yield pa.RecordBatch.from_arrays([pa.array(many), *(pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32()))], names=names)
-
-
-def _many_held(met: DataFrame):
-    """A broadcast bitmap of fixed size with the seeds of at least ``MANY`` documents."""
-    slot = F.col("seed").bitwiseAND(F.lit((1 << MANY_BITS) - 1))
-    bit = F.expr("shiftleft(1L, cast(seed & 63 as int))")
-    words = met.where("seed is not null").select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    table = np.zeros(1 << (MANY_BITS - 6), dtype=np.uint64)
-    table[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
-    return met.sparkSession.sparkContext.broadcast(table)
+        keys, kinds, ids = (batch.column(i).to_pylist() for i in range(3))
+        rest = [k for k, kind in enumerate(kinds) if kind == 1]
+        if rest:
+            value = lambda i, k: batch.column(i)[k].as_buffer().to_pybytes()
+            yield _batch([(ids[k], value(3, k), value(4, k), value(6, k), None, None, None, None) for k in rest], _ANSWERS)
+        for k, kind in enumerate(kinds):
+            if kind == 1:
+                continue
+            if keys[k] != key:
+                if cells and (out := answer(key, cells)) is not None:
+                    yield out
+                key, cells = keys[k], []
+            cells.append((ids[k], *(batch.column(i)[k].as_buffer() for i in range(3, 8))))
+    if cells and (out := answer(key, cells)) is not None:
+        yield out
 
 
 class Fenwick:
@@ -168,27 +223,29 @@ class Fenwick:
         return out
 
 
-def chains(pos: list[int], other: list[int]) -> list[list[int]]:
-    """Collinear chains (lists of indexes) of matches, best first; each match is in one at most.
+def chains(pos: list[int], other: list[int], seeds: list[int] | None = None) -> list[list[int]]:
+    """Collinear chains (lists of indexes) of anchors, best first; each anchor is in one at most.
 
-    Matches are taken by place in the first text; a chain's places grow in both.
+    An anchor is ``seeds`` matches (one, if not given) in a row from its place.
+    A chain's places grow in both texts: an anchor's first seed comes after the
+    last one of the anchor before. Starts and ends of anchors are swept in
+    order of the first text; the tree holds the chains ended so far by their
+    end in the other.
     """
     n = len(pos)
-    order = sorted(range(n), key=lambda i: (pos[i], -other[i]))
-    ranks = {v: r for r, v in enumerate(sorted(set(other)))}
+    seeds = [1] * n if seeds is None else seeds
+    p_end, q_end = [p + k - 1 for p, k in zip(pos, seeds)], [q + k - 1 for q, k in zip(other, seeds)]
+    ranks = {v: r for r, v in enumerate(sorted(set(q_end) | set(other)))}
     tree, score, back = Fenwick(len(ranks)), [0.0] * n, [-1] * n
-    k = 0
-    while k < n:  # matches at one place don't follow each other
-        end = k
-        while end < n and pos[order[end]] == pos[order[k]]:
-            i = order[end]
-            value, owner = tree.before(ranks[other[i]])
-            follow = value - GAP_COST * (pos[i] + other[i])
-            score[i], back[i] = (K + follow, owner) if follow > 0 else (float(K), -1)
-            end += 1
-        for i in order[k:end]:
-            tree.put(ranks[other[i]], (score[i] + GAP_COST * (pos[i] + other[i]), i))
-        k = end
+    for place, ends, i in sorted([(p, 0, i) for i, p in enumerate(pos)] + [(p, 1, i) for i, p in enumerate(p_end)]):
+        if ends:
+            tree.put(ranks[q_end[i]], (score[i] + GAP_COST * (p_end[i] + q_end[i]), i))
+            continue
+        value, owner = tree.before(ranks[other[i]])
+        follow = value - GAP_COST * (pos[i] + other[i])
+        score[i] = K * seeds[i] - 2 * GAP_COST * (seeds[i] - 1)
+        if follow > 0:
+            score[i], back[i] = score[i] + follow, owner
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: (-score[i], pos[i])):
         chain = []
@@ -201,66 +258,174 @@ def chains(pos: list[int], other: list[int]) -> list[list[int]]:
     return out
 
 
-def group_chains(pos: list[int], other: list[int]) -> list[list[int]]:
-    """Chains worth aligning among the matches of two documents.
+def _apart(found: list[list[int]], pos: list[int], seeds: list[int]) -> list[list[int]]:
+    """Chains, best first, without those most of whose words better ones hold: a period of a text matches at many places."""
+    base, out = min(pos), []
+    held = np.zeros(max(p + n for p, n in zip(pos, seeds)) + K - base, dtype=bool)
+    for chain in found:
+        words = [slice(pos[i] - base, pos[i] - base + seeds[i] + K - 1) for i in chain]
+        if 2 * sum(int(held[w].sum()) for w in words) <= sum(w.stop - w.start for w in words):
+            out.append(chain)
+            for w in words:
+                held[w] = True
+    return out
 
-    A place of the other document is the first of its seed there, so each is
-    chained with its seed's first place here; later places (a passage again, a
-    word said over and over) are chained among themselves. Where nothing is
-    collinear, as between two runs of one word, the first match stands alone.
+
+def match_chains(doc: np.ndarray, pos: np.ndarray, other: np.ndarray, other_pos: np.ndarray, seeds: int = 1) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
+    """Chains (doc, other, anchors as (pos, other_pos, seeds)) worth aligning among matches of ``seeds`` seeds each.
+
+    Where nothing is collinear, as between two runs of one word, the first match stands alone.
     """
-    first: dict[int, int] = {}
-    for i in sorted(range(len(pos)), key=lambda i: pos[i]):
-        first.setdefault(other[i], i)
-    kept = set(first.values())
+    if not len(doc):
+        return []
+    slope = pos.astype(np.int64) - other_pos
+    order = np.lexsort((pos, slope, other, doc))
+    doc, pos, other, other_pos, slope = (x[order] for x in (doc, pos, other, other_pos, slope))
+    pair = np.concatenate([[True], (doc[1:] != doc[:-1]) | (other[1:] != other[:-1])])
+    line = pair | np.concatenate([[True], slope[1:] != slope[:-1]])
+    again = ~line & np.concatenate([[False], pos[1:] == pos[:-1]])  # repeated rows give a match again
+    if again.any():
+        doc, pos, other, other_pos, pair, line = (x[~again] for x in (doc, pos, other, other_pos, pair, line))
+    first = line | np.concatenate([[True], pos[1:] != pos[:-1] + 1])
+    at = np.flatnonzero(first)
+    size = np.diff(np.append(at, len(pos))) + seeds - 1
+    doc, pos, other, other_pos, pair = doc[at], pos[at], other[at], other_pos[at], pair[at]
+    groups = np.flatnonzero(pair)
+    total = np.add.reduceat(size, groups)
+    ends = np.append(groups[1:], len(pos))
     out = []
-    for some in (sorted(kept), [i for i in range(len(pos)) if i not in kept]):
-        out += [[some[i] for i in c] for c in chains([pos[i] for i in some], [other[i] for i in some]) if len(c) >= MIN_SEEDS]
-    return out or [[min(kept, key=lambda i: pos[i])]]
-
+    for g in np.flatnonzero(total >= MIN_SEEDS).tolist():
+        a, b = int(groups[g]), int(ends[g])
+        p, q, n = pos[a:b].tolist(), other_pos[a:b].tolist(), size[a:b].tolist()
+        if b == a + 1:
+            found = [[0]]
+        else:
+            found = _apart([c for c in chains(p, q, n) if sum(n[i] for i in c) >= MIN_SEEDS], p, n) or [[min(range(b - a), key=lambda i: p[i])]]
+        out += [(int(doc[a]), int(other[a]), [(p[i], q[i], n[i]) for i in c]) for c in found]
+    return out
 
-_CHAIN = "doc long, other long, pos array<int>, other_pos array<int>"
 
+def _settled(chain: list[tuple[int, int, int]]) -> tuple[int, int] | None:
+    """The words that a chain explains, if its seeds alone make it a passage."""
+    (p, q, _), (r, s, n) = chain[0], chain[-1]
+    length, other = r + n + K - 1 - p, s + n + K - 1 - q
+    sure = min(length, other) >= MIN_WORDS and sum(k + K - 1 for *_, k in chain) >= MIN_IDENTITY * max(length, other)
+    return (p, p + length) if sure else None
+
+
+def _outside(doc: np.ndarray, pos: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Which seeds (doc, pos) don't lie whole in a span (doc, start, end) of words."""
+    if not spans or not len(doc):
+        return np.ones(len(doc), dtype=bool)
+    docs, rank = np.unique(doc, return_inverse=True)
+    d, s, e = (np.array(x, dtype=np.int64) for x in zip(*spans))
+    known = np.isin(d, docs)
+    d, s, e = np.searchsorted(docs, d[known]), s[known], e[known]
+    order = np.lexsort((s, d))
+    d, s, e = d[order], s[order], e[order]
+    wide = np.int64(1) << 34
+    reach = np.maximum.accumulate(d * wide + e) if len(d) else d  # spans of one document reach the farthest end so far
+    at = np.searchsorted(d * wide + s, rank * wide + pos, side="right") - 1
+    inside = (at >= 0) & (reach[np.maximum(at, 0)] >= rank * wide + pos + K) & (d[np.maximum(at, 0)] == rank) if len(d) else np.zeros(len(doc), bool)
+    return ~inside
+
+
+def _scattered(name: np.ndarray, doc: np.ndarray, pos: np.ndarray, head: np.ndarray, head_pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(run hash, index of its first seed) of runs of ``RUN`` shared seeds whose heads don't hold them whole; rows sorted by (doc, pos)."""
+    n = len(doc)
+    if n < RUN:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    next_ = (doc[1:] == doc[:-1]) & (pos[1:] == pos[:-1] + 1)
+    same = next_ & (head[1:] == head[:-1]) & (head_pos[1:] == head_pos[:-1] + 1)
+    steps, alike = (np.concatenate([[0], np.cumsum(x)]) for x in (next_, same))
+    at = np.arange(n - RUN + 1)
+    whole = steps[at + RUN - 1] - steps[at] == RUN - 1
+    at = at[whole & (alike[at + RUN - 1] - alike[at] < RUN - 1)]
+    run = np.zeros(len(at), dtype=np.uint64)
+    for k in range(0, MIN_WORDS, K):
+        run = mix(run + name[at + k] + np.uint64(k + 1))
+    return run, at
+
+
+def _found(bits: int, seeds: int):
+    """Rows sorted by slice: chains of its documents, and (of single seeds) cells of the runs that heads don't explain."""
+
+    def close(slice_id: int, told: list[tuple], rest: list[tuple]) -> Iterator[pa.RecordBatch]:
+        def column(rows: list[tuple], i: int, dtype) -> np.ndarray:
+            return np.concatenate([np.frombuffer(r[i], dtype) for r in rows]) if rows else np.zeros(0, dtype)
+
+        kinds = (np.uint64, np.int64, np.int32, np.int64, np.int32, np.int64, np.int32)
+        name, doc, pos, head, head_pos, before, before_pos = (column(told, i, t) for i, t in enumerate(kinds))
+        if not len(name):
+            return
+        order = np.argsort(name, kind="stable")
+        name, doc, pos, head, head_pos, before, before_pos = (x[order] for x in (name, doc, pos, head, head_pos, before, before_pos))
+        n2, d2, p2 = (column(rest, i, t) for i, t in enumerate(kinds[:3]))
+        if len(n2):
+            k = np.minimum(np.searchsorted(name, n2), len(name) - 1)
+            here = np.flatnonzero(name[k] == n2)
+            n2, d2, p2, k = n2[here], d2[here], p2[here], k[here]
+        if len(n2):
+            # the occurrence before: the last one of the document before in the slice, else the slice's head, else what the head was told
+            start = np.concatenate([[True], (n2[1:] != n2[:-1]) | (d2[1:] != d2[:-1])])
+            j = np.maximum.accumulate(np.where(start, np.arange(len(n2)), 0)) - 1
+            inner = (j >= 0) & (n2[np.maximum(j, 0)] == n2) & (d2[np.maximum(j, 0)] < d2)
+            own = d2 == doc[k]
+            b2 = np.where(inner, d2[np.maximum(j, 0)], np.where(own, before[k], doc[k]))
+            q2 = np.where(inner, p2[np.maximum(j, 0)], np.where(own, before_pos[k], pos[k])).astype(np.int32)
+            joined = ((name, n2), (doc, d2), (pos, p2), (head, head[k]), (head_pos, head_pos[k]), (before, b2), (before_pos, q2))
+            name, doc, pos, head, head_pos, before, before_pos = (np.concatenate(x) for x in joined)
+        order = np.lexsort((pos, doc))
+        order = order[np.concatenate([[True], (doc[order[1:]] != doc[order[:-1]]) | (pos[order[1:]] != pos[order[:-1]])])]  # repeated rows of a document
+        name, doc, pos, head, head_pos, before, before_pos = (x[order] for x in (name, doc, pos, head, head_pos, before, before_pos))
+        star = np.flatnonzero(doc != head)
+        found = match_chains(doc[star], pos[star], head[star], head_pos[star], seeds)
+        if seeds == 1:
+            spans = [(c[0], *s) for c in found if (s := _settled(c[2])) is not None]
+            path = np.flatnonzero((before < doc) & (before != head) & _outside(doc, pos, spans))
+            found += match_chains(doc[path], pos[path], before[path], before_pos[path], seeds)
+        cells: list[tuple] = []
+        if seeds == 1:
+            run, at = _scattered(name, doc, pos, head, head_pos)
+            if len(run):
+                cells = _slice_cells(run, doc[at], pos[at], bits, slice_id)
+        if not found and not cells:
+            return
+        none = len(cells)
+        points = [[x for p, q, n in c[2] for x in ((p, q), (p + n - 1, q + n - 1))[: 2 if n > 1 else 1]] for c in found]
+        columns = [
+            pa.array([c[0] for c in found] + [None] * none, pa.int64()),
+            pa.array([c[1] for c in found] + [None] * none, pa.int64()),
+            pa.array([[p for p, _ in c] for c in points] + [None] * none, pa.list_(pa.int32())),
+            pa.array([[q for _, q in c] for c in points] + [None] * none, pa.list_(pa.int32())),
+        ]
+        names = [f.split()[0] for f in _CELLS.split(", ")]
+        kinds_ = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
+        inner_ = pa.array([None] * len(found) + [dict(zip(names, c)) for c in cells], pa.struct(list(zip(names, kinds_))))
+        whole = pa.RecordBatch.from_arrays([*columns, inner_], names=["doc", "other", "pos", "other_pos", "cell"])
+        for i in range(0, whole.num_rows, 1000):
+            yield whole.slice(i, 1000)
 
-def _chain_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc, pos, other, other_pos) sorted by (doc, other, pos, other_pos) to the chains of each pair of documents."""
-    key, pos, other = None, [], []
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, told, rest = None, [], []
+        for batch in batches:
+            for k, one in enumerate(batch.column(0).to_pylist()):
+                if one != key:
+                    if key is not None:
+                        yield from close(key, told, rest)
+                    key, told, rest = one, [], []
+                if batch.column(4)[k].is_valid:
+                    told.append(tuple(batch.column(i)[k].as_buffer() for i in range(1, 8)))
+                else:
+                    rest.append(tuple(batch.column(i)[k].as_buffer() for i in range(1, 4)))
+        if key is not None:
+            yield from close(key, told, rest)
 
-    def close() -> list[tuple]:
-        if len(pos) < MIN_SEEDS:
-            return []
-        return [(*key, [pos[i] for i in c], [other[i] for i in c]) for c in group_chains(pos, other)]
+    return run
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc", "other", "pos", "other_pos"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        d, p, o, q = (batch.column(i).to_numpy() for i in range(4))
-        again = np.zeros(len(d), dtype=bool)  # repeated rows of one document give a match again
-        again[1:] = (d[1:] == d[:-1]) & (p[1:] == p[:-1]) & (o[1:] == o[:-1]) & (q[1:] == q[:-1])
-        if again.any():
-            d, p, o, q = (x[~again] for x in (d, p, o, q))
-        edges = [0, *(np.flatnonzero((d[1:] != d[:-1]) | (o[1:] != o[:-1])) + 1).tolist(), len(d)]
-        rows: list[tuple] = []
-        for a, b in zip(edges[:-1], edges[1:]):
-            own = (int(d[a]), int(o[a]))
-            if own != key:
-                if key is not None:
-                    rows += close()
-                key, pos, other = own, [], []
-            pos += p[a:b].tolist()
-            other += q[a:b].tolist()
-        if rows:
-            yield batch_of(rows)
-    if key is not None and (rows := close()):
-        yield batch_of(rows)
-
-
-def _extend(a: np.ndarray, b: np.ndarray) -> int:
-    """How far two texts go on alike from their start, mismatches allowed while they pay."""
+def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, bool]:
+    """How far two texts go on alike from their start, mismatches allowed while they pay; and whether that is all there is."""
     n, step, best, total, at = min(len(a), len(b)), 64, 0, 0, 0
     end = 0
     while at < n:
@@ -274,15 +439,24 @@ def _extend(a: np.ndarray, b: np.ndarray) -> int:
             if run[top] > best:
                 best, end = int(run[top]), at + top + 1
         if len(stop):
-            break
+            return end, False
         total, at, step = int(run[-1]), at + len(run), 4 * step
-    return end
+    return end, True
+
+
+def open_ended(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], cut: tuple[bool, bool, bool, bool]) -> bool:
+    """Whether a chain's extension uses up a window that its text goes on beyond (left of a, of b, right of a, of b)."""
+    sides = (a[: pos[0]][::-1], b[: other[0]][::-1]), (a[pos[-1] :], b[other[-1] :])
+    for (x, y), (cut_x, cut_y) in zip(sides, (cut[:2], cut[2:])):
+        if (cut_x or cut_y) and _extend(x, y)[1] and ((cut_x and len(x) <= len(y)) or (cut_y and len(y) <= len(x))):
+            return True
+    return False
 
 
 def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> list[tuple[int, int, int, int, int]]:
     """Passages (start, end, other start, other end, equal words) along a chain of k-mer matches of two texts."""
-    left = _extend(a[: pos[0]][::-1], b[: other[0]][::-1])
-    right = _extend(a[pos[-1] :], b[other[-1] :])
+    left, _ = _extend(a[: pos[0]][::-1], b[: other[0]][::-1])
+    right, _ = _extend(a[pos[-1] :], b[other[-1] :])
     p = [pos[0] - left, *pos, pos[-1] + right]
     q = [other[0] - left, *other, other[-1] + right]
     rows, cols, same = [], [], []
@@ -333,64 +507,94 @@ def _word_rows(slots):
 
 
 PASSAGES = "doc_id long, other_id long, start_word int, end_word int, other_start int, other_end int, equal_words int"
+_ALIGNED = PASSAGES + ", again_pos array<int>, again_other array<int>"
 
 
 def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of chains (doc, other, pos, other_pos, base, words, length of the text, and the other's); chains whose windows are too short are given back."""
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.list_(pa.int32()), pa.list_(pa.int32())]
     for batch in batches:
         out = []
-        doc, other, base, other_base = (batch.column(i).to_pylist() for i in (0, 1, 4, 6))
+        doc, other, base, full, other_base, other_full = (batch.column(i).to_pylist() for i in (0, 1, 4, 6, 7, 9))
         for k, (pos, opos) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-            a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), "<u4") for c in (5, 7))
+            a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), "<u4") for c in (5, 8))
             s, t = base[k], other_base[k]
             if pos[-1] - s + K > len(a) or opos[-1] - t + K > len(b):
                 continue  # rows of one id with different texts
-            for x, y, u, v, n in align(a, b, [p - s for p in pos], [p - t for p in opos]):
-                out.append((doc[k], other[k], x + s, y + s, u + t, v + t, n))
+            p, q = [x - s for x in pos], [x - t for x in opos]
+            if open_ended(a, b, p, q, (s > 0, t > 0, s + len(a) < full[k], t + len(b) < other_full[k])):
+                out.append((doc[k], other[k], *[None] * 5, pos, opos))
+                continue
+            for x, y, u, v, n in align(a, b, p, q):
+                out.append((doc[k], other[k], x + s, y + s, u + t, v + t, n, None, None))
         if out:
-            kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in PASSAGES.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in _ALIGNED.split(", ")])
 
 
-#: Words beyond each end of a chain that its alignment may reach. What a passage has beyond them
-#: has seeds of its own, and stands in the chains with the documents that those seeds met.
-REACH = 400
+def _with_words(chained: DataFrame, words: DataFrame, reach: int | None) -> DataFrame:
+    """Chains beside the words of both documents, whole or up to ``reach`` words beyond the chain.
+
+    A document that very many others repeat is copied to some tasks, as many as the number of chains asks for.
+    """
+    salts = 1 + chained.count() // TOGETHER
+    first, last = (lambda c: F.element_at(c, 1)), (lambda c: F.element_at(c, -1))
+
+    def cut(c: str, words_: str) -> tuple[Column, Column, Column]:
+        begin = F.greatest(first(c) - reach, F.lit(0)) if reach is not None else F.lit(0)
+        own = F.substring(F.col(words_), begin * 4 + 1, (last(c) + K + reach - begin) * 4) if reach is not None else F.col(words_)
+        return begin, own, (F.length(words_) / 4).cast("int")
+
+    b1, w1, l1 = cut("pos", "words")
+    salt = F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
+    one = chained.join(words, "doc").select("doc", "other", "pos", "other_pos", b1.alias("base"), w1.alias("a"), l1.alias("full"), salt.alias("salt"))
+    asked = chained.select(F.col("other"), salt.alias("salt")).distinct()
+    copies = words.withColumnRenamed("doc", "other").join(asked, "other")
+    b2, w2, l2 = cut("other_pos", "words")
+    return one.join(copies, ["other", "salt"]).select("doc", "other", "pos", "other_pos", "base", "a", "full", b2.alias("other_base"), w2.alias("b"), l2.alias("other_full"))
 
 
 def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Passages that a document shares with a smaller one:
     ``doc_id, other_id, start_word, end_word, other_start, other_end, equal_words``.
 
-    Every document that repeats a passage of another has a row for it with
-    ``other_id < doc_id``; places count words from 0, ends are exclusive. Rows
-    without doc_id take no part; rows of one doc_id are one document and are
-    not compared with each other (if their texts differ, what they share with
-    others may be missed). Null, empty and short texts share nothing.
+    Every document that repeats ``MIN_WORDS`` unchanged words of a smaller one
+    has a row for them, whatever other documents hold; an edited passage has
+    one if at least ``MIN_SEEDS`` of its k-mers lead to one document that holds
+    it (see the module's text). ``other_id < doc_id``; places count words from
+    0, ends are exclusive. Rows without doc_id take no part; rows of one doc_id
+    are one document and are not compared with each other (if their texts
+    differ, what they share with others may be missed); repeated rows may
+    repeat rows of the result. Null, empty and short texts share nothing, an
+    empty table gives no rows, other columns are ignored.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    tables = Tables(spark)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(PARTITION_BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+    bits = min(20, max(1, (buckets - 1).bit_length()))
+    parts = max(1, (1 << bits) // PARTITION_BUCKETS)
 
-    def star(slots=None) -> DataFrame:
-        return rows.mapInArrow(_seeds(slots), _SEEDS).repartition("seed").sortWithinPartitions("seed", "doc", "pos", "next").mapInArrow(_meet, _MET)
+    def found(cells: DataFrame, seeds: int) -> DataFrame:
+        answers = cells.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_answers, _ANSWERS)
+        return answers.repartition("slice").sortWithinPartitions("slice").mapInArrow(_found(bits, seeds), _FOUND)
 
-    met = stored(star(), "matches")
-    matches = met.unionByName(star(_many_held(met))).where("doc is not null").drop("seed")
-    placed = matches.repartition("doc", "other").sortWithinPartitions("doc", "other", "pos", "other_pos")
-    chained = stored(placed.mapInArrow(_chain_groups, _CHAIN), "chains")
+    single = tables.stored(found(rows.mapInArrow(_seed_cells(bits), _CELLS), 1), "seeds")
+    tables.release()
+    runs = tables.stored(found(single.where("cell is not null").select("cell.*"), RUN), "runs")
+    chained = single.unionByName(runs).where("doc is not null").drop("cell")
 
     slots, slot = id_filter(chained.select(F.explode(F.array("doc", "other")).alias("doc")), "doc")
     texts = rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).mapInArrow(_word_rows(slots), "doc long, words binary")
-    words = stored(texts.dropDuplicates(["doc"]), "words")
-    first, last = (lambda c: F.element_at(c, 1)), (lambda c: F.element_at(c, -1))
-
-    def cut(c: str, words_: str):
-        begin = F.greatest(first(c) - REACH, F.lit(0))
-        return begin, F.substring(F.col(words_), begin * 4 + 1, (last(c) + K + REACH - begin) * 4)
-
-    b1, w1 = cut("pos", "words")
-    one = chained.join(words, "doc").select("doc", "other", "pos", "other_pos", b1.alias("base"), w1.alias("a"))
-    b2, w2 = cut("other_pos", "words")
-    two = one.join(words.withColumnRenamed("doc", "other"), "other").select("doc", "other", "pos", "other_pos", "base", "a", b2.alias("other_base"), w2.alias("b"))
-    return two.mapInArrow(_align_rows, PASSAGES)
+    words = tables.stored(texts.dropDuplicates(["doc"]), "words")
+    tables.release()
+    near = tables.stored(_with_words(chained, words, REACH).mapInArrow(_align_rows, _ALIGNED), "near")
+    tables.release()
+    again = near.where("again_pos is not null").select(F.col("doc_id").alias("doc"), F.col("other_id").alias("other"), F.col("again_pos").alias("pos"), F.col("again_other").alias("other_pos"))
+    far = _with_words(again, words, None).mapInArrow(_align_rows, _ALIGNED)
+    out = near.where("again_pos is null").unionByName(far).select(*(f.split()[0] for f in PASSAGES.split(", "))).distinct()
+    return tables.result(out, "passages")
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -3,11 +3,13 @@
 Intermediate results are written as Parquet under the folder that the session
 names in ``spark.checkpoint.dir``, which the driver and all executors share.
 A table written there cuts the lineage and survives the loss of executors.
-Only where the setting is absent (tests, a laptop) a temporary folder is made.
+Only where the setting is absent and all of Spark is one process (tests, a
+laptop) a temporary folder is made.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _FALLBACK:
             _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="ringside-")
@@ -59,6 +63,35 @@ def drop_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Tables:
+    """The intermediate tables of one operator: all but the result are deleted when that is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read again (lineage is cut)."""
+        schema = df.schema
+        self.paths.append(write_table(df, name))
+        return self.spark.read.schema(schema).parquet(self.paths[-1])
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of plans that nothing refers to any more: what they gave is stored."""
+        self.spark._jvm.System.gc()
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` stored, the other tables gone."""
+        out = stored(df, name)
+        self.drop()
+        return out
+
+    def drop(self) -> None:
+        """Delete the tables stored so far."""
+        for path in self.paths:
+            drop_table(self.spark, path)
+        self.paths = []
+
+
 #: log2 of the bits of an id filter: 4 MB, whatever the number of ids.
 FILTER_BITS = 25
 

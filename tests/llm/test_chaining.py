@@ -148,3 +148,82 @@ def test_cut(spark):
         for k, (d, s, e) in enumerate(sorted(own)):
             left = len(out[d].split())
             assert left == len(docs[d]) if k == 0 else left <= len(docs[d]) - 0.9 * (e - s) + 2
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string").repartition(3)
+
+
+def test_a_passage_whose_parts_smaller_documents_quote(spark, monkeypatch):
+    rnd = random.Random(14)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = words(80)
+    docs = {k: words(30) + passage[a : a + 45] + words(30) for k, a in enumerate((0, 17, 35))}
+    docs |= {40 + k: words(9) + passage[a : a + 45] + words(9) for k, a in enumerate((0, 17, 35))}
+    docs[30], docs[101] = words(25) + passage + words(40), words(50) + passage + words(10)  # quotes before and between
+    for limit in (chaining.JOIN_BYTES, 1):
+        monkeypatch.setattr(chaining, "JOIN_BYTES", limit)
+        found = chaining.repeated_passages(frame(spark, docs)).collect()
+        assert {(r.doc_id, r.other_id, r.start_word, r.end_word, r.other_start) for r in found} == {(101, 30, 50, 130, 25)}
+
+
+def test_every_unchanged_run_of_fifty_words_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "JOIN_BYTES", 4000)
+    rnd = random.Random(15)
+    lines = [[f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(8, 40))] for _ in range(25)]
+    docs = {d: [w for _ in range(rnd.randint(1, 9)) for w in rnd.choice(lines)] for d in range(150)}
+    docs |= {200 + d: [rnd.choice("ab") for _ in range(rnd.randint(40, 160))] for d in range(10)}
+    held, want, covered = {}, 0, 0
+    rows = {}
+    for r in chaining.repeated_passages(frame(spark, docs)).collect():
+        assert r.other_id < r.doc_id and min(r.end_word - r.start_word, r.other_end - r.other_start) >= 50
+        a, b = docs[r.doc_id][r.start_word : r.end_word], docs[r.other_id][r.other_start : r.other_end]
+        assert r.equal_words <= min(len(a), len(b)) and r.equal_words >= 0.8 * max(len(a), len(b))
+        if len(a) == len(b) == r.equal_words:
+            assert a == b
+        rows.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    for d, w in docs.items():
+        runs = {i: tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+        inside = np.zeros(len(w), dtype=bool)
+        for s, e in rows.get(d, []):
+            inside[s:e] = True
+        for i, run in runs.items():
+            if run in held:
+                want += 1
+                covered += bool(inside[i : i + 50].all())
+        held |= dict.fromkeys(runs.values())
+    assert want > 1000 and covered == want
+
+
+def test_all_pairs_of_edited_passages(spark):
+    """Recall of edited passages, by whether any smaller holder of a passage is named; the rest of each text is its own."""
+    rnd = random.Random(16)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    docs, truth = {}, []
+    for k in range(40):
+        passage = words(rnd.randint(60, 120))
+        holders = rnd.sample(range(1000 * k, 1000 * k + 1000), 4)
+        for d in holders:
+            edited = [rnd.choice(words(1)) if rnd.random() < 0.09 else w for w in passage]
+            docs[d] = words(20) + edited + words(20)
+        for d in holders:
+            same = [o for o in holders if o < d and sum(x == y for x, y in zip(docs[o][20:-20], docs[d][20:-20])) >= 0.8 * len(passage)]
+            if same:
+                truth.append((d, set(holders)))
+    found = {}
+    for r in chaining.repeated_passages(frame(spark, docs)).collect():
+        found.setdefault(r.doc_id, set()).add(r.other_id)
+    assert all(o // 1000 == d // 1000 for d, own in found.items() for o in own)
+    caught = sum(bool(found.get(d, set()) & own) for d, own in truth)
+    assert len(truth) > 20 and caught >= 0.9 * len(truth), (caught, len(truth))
+
+
+def test_extension_beyond_the_window(spark, monkeypatch):
+    monkeypatch.setattr(chaining, "REACH", 3)
+    rnd = random.Random(17)
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = words(200)
+    docs = {0: words(9) + passage[:90], 1: passage[70:], 2: words(5) + passage + words(5), 3: words(8) + passage + words(2)}
+    found = chaining.repeated_passages(frame(spark, docs)).collect()
+    assert {r.doc_id for r in found} == {2, 3}
+    assert (3, 2, 8, 208, 5, 205, 200) in set(map(tuple, found))
