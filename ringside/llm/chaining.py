@@ -17,7 +17,8 @@
 4. Chain: a document's matches stand in its slice. Those on one diagonal are
    anchors; anchors are chained in both texts by a Fenwick tree of best
    prefixes, a gap costing in proportion to its length.
-5. Align: chains are extended word by word along their ends, joined by
+5. Filter: one byte a word around a chain bounds its equal words from above.
+6. Align: chains are extended word by word along their ends, joined by
    alignments with one indel between anchors, and split where they stop
    matching. What has at least ``MIN_WORDS`` words on both sides and a share
    of ``MIN_IDENTITY`` equal words is a passage. Texts are cut to windows
@@ -39,6 +40,8 @@ from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffe
 
 K = SHINGLE
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
+#: Equal words of a passage, at least.
+LEAST_EQUAL = MIN_WORDS * MIN_IDENTITY
 #: Seeds of a run.
 RUN = MIN_WORDS - K + 1
 #: A chain's score is K a seed less this much a word of gap, in both documents.
@@ -55,13 +58,14 @@ JOIN_BYTES = 8_000_000
 BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
 #: Bits of a seed's name within its bucket.
 NAME_BITS = 40
-#: Words around a chain that are aligned first.
-REACH = 400
+#: Words around a chain that are looked at first, by one byte each, and those that are aligned first.
+SHORT_REACH, REACH = 64, 400
 #: Chains of one document that stand together in a join, about; more are salted.
 TOGETHER = 50_000
 
 _CELLS = "key int, kind int, slice long, names binary, docs binary, counts binary, pos binary, more binary"
 _ANSWERS = "slice long, names binary, docs binary, pos binary, heads binary, head_pos binary, befores binary, before_pos binary"
+_CHAIN = "doc long, other long, pos array<int>, other_pos array<int>"
 _FOUND = "doc long, other long, pos array<int>, other_pos array<int>, cell struct<key:int,kind:int,slice:bigint,names:binary,docs:binary,counts:binary,pos:binary,more:binary>"
 
 
@@ -97,7 +101,8 @@ def _slice_cells(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, bits: int,
     rows: list[tuple] = []
     rest = np.flatnonzero(~new)
     if len(rest):
-        rows.append((slice_id & ((1 << bits) - 1), 1, slice_id, name[rest].tobytes(), doc[rest].tobytes(), None, pos[rest].tobytes(), None))
+        steps = np.diff(name[rest], prepend=np.uint64(0))  # names ascend
+        rows.append((slice_id & ((1 << bits) - 1), 1, slice_id, *(_planes(x, x.itemsize).tobytes() for x in (steps, doc[rest])), None, _planes(pos[rest], 4).tobytes(), None))
     head_name, head_doc, head_pos = name[starts], doc[starts], pos[starts]
     bucket = (head_name >> np.uint64(NAME_BITS)).astype(np.int64)
     order = np.lexsort((head_doc, bucket))
@@ -149,7 +154,8 @@ def _seed_cells(bits: int):
 def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: to each slice, of its seeds that two documents hold, the head and the one before.
 
-    A slice's other occurrences go on as they are.
+    A slice's other occurrences go on as they are. Numbers are packed in byte
+    planes; the one before is told as its difference from the head.
     """
 
     def answer(key: int, cells: list[tuple]) -> pa.RecordBatch | None:
@@ -171,14 +177,14 @@ def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = starts[group[some]]
         before = np.maximum(some - 1, head)
         whose = np.repeat(np.arange(len(cells)), sizes)[order][some]
-        by = np.argsort(whose, kind="stable")
+        by = np.lexsort((pos[some], doc[some], whose))
         some, head, before, whose = some[by], head[by], before[by], whose[by]
         full = name + (np.uint64(key) << np.uint64(NAME_BITS))
+        told = (full[some], doc[some], pos[some], doc[head], pos[head], doc[before] ^ doc[head], pos[before] ^ pos[head])
         edges = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1], [True]])).tolist()
         rows = []
         for a, b in zip(edges[:-1], edges[1:]):
-            s, h, p = some[a:b], head[a:b], before[a:b]
-            rows.append((cells[int(whose[a])][0], full[s].tobytes(), doc[s].tobytes(), pos[s].tobytes(), doc[h].tobytes(), pos[h].tobytes(), doc[p].tobytes(), pos[p].tobytes()))
+            rows.append((cells[int(whose[a])][0], *(_planes(x[a:b], x.itemsize).tobytes() for x in told)))
         return _batch(rows, _ANSWERS)
 
     key, cells = None, []
@@ -352,15 +358,17 @@ def _found(bits: int, seeds: int):
 
     def close(slice_id: int, told: list[tuple], rest: list[tuple]) -> Iterator[pa.RecordBatch]:
         def column(rows: list[tuple], i: int, dtype) -> np.ndarray:
-            return np.concatenate([np.frombuffer(r[i], dtype) for r in rows]) if rows else np.zeros(0, dtype)
+            return np.concatenate([_unplaned(r[i], np.dtype(dtype).itemsize, dtype) for r in rows]) if rows else np.zeros(0, dtype)
 
-        kinds = (np.uint64, np.int64, np.int32, np.int64, np.int32, np.int64, np.int32)
+        kinds = ("<u8", "<i8", "<i4", "<i8", "<i4", "<i8", "<i4")
         name, doc, pos, head, head_pos, before, before_pos = (column(told, i, t) for i, t in enumerate(kinds))
         if not len(name):
             return
+        before, before_pos = before ^ head, before_pos ^ head_pos
         order = np.argsort(name, kind="stable")
         name, doc, pos, head, head_pos, before, before_pos = (x[order] for x in (name, doc, pos, head, head_pos, before, before_pos))
-        n2, d2, p2 = (column(rest, i, t) for i, t in enumerate(kinds[:3]))
+        n2 = np.concatenate([np.cumsum(_unplaned(r[0], 8, "<u8"), dtype=np.uint64) for r in rest]) if rest else np.zeros(0, np.uint64)
+        d2, p2 = (column(rest, i, kinds[i]) for i in (1, 2))
         if len(n2):
             k = np.minimum(np.searchsorted(name, n2), len(name) - 1)
             here = np.flatnonzero(name[k] == n2)
@@ -453,8 +461,8 @@ def open_ended(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], c
     return False
 
 
-def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """Passages (start, end, other start, other end, equal words) along a chain of k-mer matches of two texts."""
+def _columns(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The aligned words of two texts along a chain: places in either, and whether they are equal."""
     left, _ = _extend(a[: pos[0]][::-1], b[: other[0]][::-1])
     right, _ = _extend(a[pos[-1] :], b[other[-1] :])
     p = [pos[0] - left, *pos, pos[-1] + right]
@@ -475,9 +483,14 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> lis
         rows.append(p0 + i + np.where(i >= cut, len(x) - n, 0))
         cols.append(q0 + i + np.where(i >= cut, len(y) - n, 0))
         same.append(eq)
-    i, j, eq = np.concatenate(rows), np.concatenate(cols), np.concatenate(same)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(same)
+
+
+def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """Passages (start, end, other start, other end, equal words) along a chain of k-mer matches of two texts."""
+    i, j, eq = _columns(a, b, pos, other)
     hits = np.flatnonzero(eq)
-    if len(hits) < MIN_WORDS * MIN_IDENTITY:
+    if len(hits) < LEAST_EQUAL:
         return []
     gaps = np.maximum(np.diff(i[hits]), np.diff(j[hits]))
     out = []
@@ -488,8 +501,8 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> lis
     return out
 
 
-def _word_rows(slots):
-    """(doc, words as 32-bit hashes) of documents that the filter may hold."""
+def _word_rows(slots, bits: int):
+    """(doc, words as hashes of ``bits`` bits) of documents that the filter may hold."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
@@ -498,7 +511,7 @@ def _word_rows(slots):
             raw, offsets = text_buffer(some.column(1))
             for i, j in slices(offsets):
                 words, per_text = word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                short = (words >> np.uint64(32)).astype("<u4")
+                short = (words >> np.uint64(64 - bits)).astype(f"<u{bits // 8}")
                 ends = np.cumsum(per_text).tolist()
                 own = [short[e - n : e].tobytes() for e, n in zip(ends, per_text.tolist())]
                 yield pa.RecordBatch.from_arrays([some.column(0).slice(i, j - i), pa.array(own, pa.binary())], names=["doc", "words"])
@@ -510,28 +523,45 @@ PASSAGES = "doc_id long, other_id long, start_word int, end_word int, other_star
 _ALIGNED = PASSAGES + ", again_pos array<int>, again_other array<int>"
 
 
+def _windows(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
+    """Chains (doc, other, pos, other_pos), where their windows begin, the windows, and which of their ends are cut."""
+    doc, other, pos, other_pos, base, full, other_base, other_full = (batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7, 9))
+    for k, (p, q, s, t) in enumerate(zip(pos, other_pos, base, other_base)):
+        a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), f"<u{width}") for c in (5, 8))
+        if p[-1] - s + K <= len(a) and q[-1] - t + K <= len(b):  # else rows of one id with different texts
+            yield doc[k], other[k], p, q, s, t, a, b, (s > 0, t > 0, s + len(a) < full[k] // width, t + len(b) < other_full[k] // width)
+
+
+def _hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chains that may be passages by the first bytes of words' hashes: equal words have equal ones, so none is lost."""
+    for batch in batches:
+        out = []
+        for doc, other, pos, opos, s, t, a, b, cut in _windows(batch, 1):
+            p, q = [x - s for x in pos], [x - t for x in opos]
+            if open_ended(a, b, p, q, cut) or int(_columns(a, b, p, q)[2].sum()) >= LEAST_EQUAL:
+                out.append((doc, other, pos, opos))
+        if out:
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["doc", "other", "pos", "other_pos"])
+
+
 def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of chains (doc, other, pos, other_pos, base, words, length of the text, and the other's); chains whose windows are too short are given back."""
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.list_(pa.int32()), pa.list_(pa.int32())]
     for batch in batches:
         out = []
-        doc, other, base, full, other_base, other_full = (batch.column(i).to_pylist() for i in (0, 1, 4, 6, 7, 9))
-        for k, (pos, opos) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-            a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), "<u4") for c in (5, 8))
-            s, t = base[k], other_base[k]
-            if pos[-1] - s + K > len(a) or opos[-1] - t + K > len(b):
-                continue  # rows of one id with different texts
+        for doc, other, pos, opos, s, t, a, b, cut in _windows(batch, 4):
             p, q = [x - s for x in pos], [x - t for x in opos]
-            if open_ended(a, b, p, q, (s > 0, t > 0, s + len(a) < full[k], t + len(b) < other_full[k])):
-                out.append((doc[k], other[k], *[None] * 5, pos, opos))
+            if open_ended(a, b, p, q, cut):
+                out.append((doc, other, *[None] * 5, pos, opos))
                 continue
             for x, y, u, v, n in align(a, b, p, q):
-                out.append((doc[k], other[k], x + s, y + s, u + t, v + t, n, None, None))
+                out.append((doc, other, x + s, y + s, u + t, v + t, n, None, None))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in _ALIGNED.split(", ")])
 
 
-def _with_words(chained: DataFrame, words: DataFrame, reach: int | None) -> DataFrame:
+def _with_words(chained: DataFrame, words: DataFrame, width: int, reach: int | None) -> DataFrame:
     """Chains beside the words of both documents, whole or up to ``reach`` words beyond the chain.
 
     A document that very many others repeat is copied to some tasks, as many as the number of chains asks for.
@@ -541,8 +571,8 @@ def _with_words(chained: DataFrame, words: DataFrame, reach: int | None) -> Data
 
     def cut(c: str, words_: str) -> tuple[Column, Column, Column]:
         begin = F.greatest(first(c) - reach, F.lit(0)) if reach is not None else F.lit(0)
-        own = F.substring(F.col(words_), begin * 4 + 1, (last(c) + K + reach - begin) * 4) if reach is not None else F.col(words_)
-        return begin, own, (F.length(words_) / 4).cast("int")
+        own = F.substring(F.col(words_), begin * width + 1, (last(c) + K + reach - begin) * width) if reach is not None else F.col(words_)
+        return begin, own, F.length(words_)
 
     b1, w1, l1 = cut("pos", "words")
     salt = F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
@@ -585,14 +615,20 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     runs = tables.stored(found(single.where("cell is not null").select("cell.*"), RUN), "runs")
     chained = single.unionByName(runs).where("doc is not null").drop("cell")
 
-    slots, slot = id_filter(chained.select(F.explode(F.array("doc", "other")).alias("doc")), "doc")
-    texts = rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).mapInArrow(_word_rows(slots), "doc long, words binary")
-    words = tables.stored(texts.dropDuplicates(["doc"]), "words")
+    def words_of(chained: DataFrame, bits: int) -> DataFrame:
+        slots, slot = id_filter(chained.select(F.explode(F.array("doc", "other")).alias("doc")), "doc")
+        texts = rows.select("doc_id", "text", slot(F.col("doc_id")).alias("slot")).mapInArrow(_word_rows(slots, bits), "doc long, words binary")
+        return texts.dropDuplicates(["doc"])
+
+    short = tables.stored(words_of(chained, 8), "bytes")
+    tables.release()
+    hopeful = tables.stored(_with_words(chained, short, 1, SHORT_REACH).mapInArrow(_hopeful, _CHAIN), "chains")
     tables.release()
-    near = tables.stored(_with_words(chained, words, REACH).mapInArrow(_align_rows, _ALIGNED), "near")
+    words = tables.stored(words_of(hopeful, 32), "words")
+    near = tables.stored(_with_words(hopeful, words, 4, REACH).mapInArrow(_align_rows, _ALIGNED), "near")
     tables.release()
     again = near.where("again_pos is not null").select(F.col("doc_id").alias("doc"), F.col("other_id").alias("other"), F.col("again_pos").alias("pos"), F.col("again_other").alias("other_pos"))
-    far = _with_words(again, words, None).mapInArrow(_align_rows, _ALIGNED)
+    far = _with_words(again, words, 4, None).mapInArrow(_align_rows, _ALIGNED)
     out = near.where("again_pos is null").unionByName(far).select(*(f.split()[0] for f in PASSAGES.split(", "))).distinct()
     return tables.result(out, "passages")
 

@@ -220,6 +220,7 @@ def test_all_pairs_of_edited_passages(spark):
 
 def test_extension_beyond_the_window(spark, monkeypatch):
     monkeypatch.setattr(chaining, "REACH", 3)
+    monkeypatch.setattr(chaining, "SHORT_REACH", 3)
     rnd = random.Random(17)
     words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
     passage = words(200)
