@@ -59,9 +59,7 @@ BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
 #: Bits of a seed's name within its bucket.
 NAME_BITS = 40
 #: Words around a chain that are looked at first, by one byte each, and those that are aligned first.
-SHORT_REACH, REACH = 64, 400
-#: Chains of one document that stand together in a join, about; more are salted.
-TOGETHER = 50_000
+SHORT_REACH, REACH = 24, 400
 
 _CELLS = "key int, kind int, slice long, names binary, docs binary, counts binary, pos binary, more binary"
 _ANSWERS = "slice long, names binary, docs binary, pos binary, heads binary, head_pos binary, befores binary, before_pos binary"
@@ -523,26 +521,43 @@ PASSAGES = "doc_id long, other_id long, start_word int, end_word int, other_star
 _ALIGNED = PASSAGES + ", again_pos array<int>, again_other array<int>"
 
 
-def _windows(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
+def _windows(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Chains (doc, other, pos, other_pos), where their windows begin, the windows, and which of their ends are cut."""
     doc, other, pos, other_pos, base, full, other_base, other_full = (batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7, 9))
     for k, (p, q, s, t) in enumerate(zip(pos, other_pos, base, other_base)):
-        a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), f"<u{width}") for c in (5, 8))
+        a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), "<u4") for c in (5, 8))
         if p[-1] - s + K <= len(a) and q[-1] - t + K <= len(b):  # else rows of one id with different texts
-            yield doc[k], other[k], p, q, s, t, a, b, (s > 0, t > 0, s + len(a) < full[k] // width, t + len(b) < other_full[k] // width)
+            yield doc[k], other[k], p, q, s, t, a, b, (s > 0, t > 0, s + len(a) < full[k] // 4, t + len(b) < other_full[k] // 4)
+
+
+def _near_words(column: pa.Array, back: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A column of up to ``SHORT_REACH`` bytes as a matrix (the last byte first, if ``back``), and where it has any."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    step = np.arange(SHORT_REACH)
+    raw = np.frombuffer(data, np.uint8) if data is not None and len(data) else np.zeros(1, np.uint8)
+    place = at[1:, None] - 1 - step if back else at[:-1, None] + step
+    return raw[np.clip(place, 0, len(raw) - 1)], step < np.diff(at)[:, None]
 
 
 def _hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The chains that may be passages by the first bytes of words' hashes: equal words have equal ones, so none is lost."""
+    """The chains that may be passages, by the first bytes of the hashes of words before and after them.
+
+    Equal words have equal bytes, so extensions go at least as far as those of
+    whole words. A chain goes on if an extension comes to the end of what is
+    looked at, or the words within and the equal ones beside are enough.
+    """
     for batch in batches:
-        out = []
-        for doc, other, pos, opos, s, t, a, b, cut in _windows(batch, 1):
-            p, q = [x - s for x in pos], [x - t for x in opos]
-            if open_ended(a, b, p, q, cut) or int(_columns(a, b, p, q)[2].sum()) >= LEAST_EQUAL:
-                out.append((doc, other, pos, opos))
-        if out:
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["doc", "other", "pos", "other_pos"])
+        some = batch.column(4).to_numpy().astype(np.int64)
+        for left, right, back in ((5, 7, True), (6, 8, False)):
+            (a, in_a), (b, in_b) = _near_words(batch.column(left), back), _near_words(batch.column(right), back)
+            eq = (a == b) & in_a & in_b
+            run = np.cumsum(np.where(eq, 1, -1), axis=1)
+            stop = np.maximum.accumulate(np.maximum(run, 0), axis=1) - run >= DROP
+            ends, last = stop.any(axis=1), stop.argmax(axis=1)
+            hits = np.cumsum(eq, axis=1)[np.arange(len(eq)), np.where(ends, last, SHORT_REACH - 1)]
+            some += np.where(ends, hits, MIN_WORDS)
+        yield batch.filter(pa.array(some >= LEAST_EQUAL)).select([0, 1, 2, 3])
 
 
 def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -550,7 +565,7 @@ def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.list_(pa.int32()), pa.list_(pa.int32())]
     for batch in batches:
         out = []
-        for doc, other, pos, opos, s, t, a, b, cut in _windows(batch, 4):
+        for doc, other, pos, opos, s, t, a, b, cut in _windows(batch):
             p, q = [x - s for x in pos], [x - t for x in opos]
             if open_ended(a, b, p, q, cut):
                 out.append((doc, other, *[None] * 5, pos, opos))
@@ -561,26 +576,35 @@ def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in _ALIGNED.split(", ")])
 
 
-def _with_words(chained: DataFrame, words: DataFrame, width: int, reach: int | None) -> DataFrame:
-    """Chains beside the words of both documents, whole or up to ``reach`` words beyond the chain.
+def _beside(chained: DataFrame, words: DataFrame) -> DataFrame:
+    """Chains with the number of words they can hold and those just before and after them in both documents, a byte a word."""
+    first, last = (lambda c: F.element_at(c, 1)), (lambda c: F.element_at(c, -1))
 
-    A document that very many others repeat is copied to some tasks, as many as the number of chains asks for.
-    """
-    salts = 1 + chained.count() // TOGETHER
+    def near(c: str, words_: str) -> tuple[Column, Column]:
+        begin = F.greatest(first(c) - SHORT_REACH, F.lit(0))
+        return F.substring(F.col(words_), begin + 1, first(c) - begin), F.substring(F.col(words_), last(c) + K + 1, F.lit(SHORT_REACH))
+
+    inside = F.least(last("pos") - first("pos"), last("other_pos") - first("other_pos")) + K
+    a1, a2 = near("pos", "words")
+    one = chained.join(words, "doc").select("doc", "other", "pos", "other_pos", inside.alias("inside"), a1.alias("a1"), a2.alias("a2"))
+    b1, b2 = near("other_pos", "words")
+    return one.join(words.withColumnRenamed("doc", "other"), "other").select("doc", "other", "pos", "other_pos", "inside", "a1", "a2", b1.alias("b1"), b2.alias("b2"))
+
+
+def _with_words(chained: DataFrame, words: DataFrame, reach: int | None) -> DataFrame:
+    """Chains beside the words of both documents, whole or up to ``reach`` words beyond the chain."""
     first, last = (lambda c: F.element_at(c, 1)), (lambda c: F.element_at(c, -1))
 
     def cut(c: str, words_: str) -> tuple[Column, Column, Column]:
         begin = F.greatest(first(c) - reach, F.lit(0)) if reach is not None else F.lit(0)
-        own = F.substring(F.col(words_), begin * width + 1, (last(c) + K + reach - begin) * width) if reach is not None else F.col(words_)
+        own = F.substring(F.col(words_), begin * 4 + 1, (last(c) + K + reach - begin) * 4) if reach is not None else F.col(words_)
         return begin, own, F.length(words_)
 
     b1, w1, l1 = cut("pos", "words")
-    salt = F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
-    one = chained.join(words, "doc").select("doc", "other", "pos", "other_pos", b1.alias("base"), w1.alias("a"), l1.alias("full"), salt.alias("salt"))
-    asked = chained.select(F.col("other"), salt.alias("salt")).distinct()
-    copies = words.withColumnRenamed("doc", "other").join(asked, "other")
+    one = chained.join(words, "doc").select("doc", "other", "pos", "other_pos", b1.alias("base"), w1.alias("a"), l1.alias("full"))
     b2, w2, l2 = cut("other_pos", "words")
-    return one.join(copies, ["other", "salt"]).select("doc", "other", "pos", "other_pos", "base", "a", "full", b2.alias("other_base"), w2.alias("b"), l2.alias("other_full"))
+    two = one.join(words.withColumnRenamed("doc", "other"), "other")
+    return two.select("doc", "other", "pos", "other_pos", "base", "a", "full", b2.alias("other_base"), w2.alias("b"), l2.alias("other_full"))
 
 
 def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -594,7 +618,8 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     0, ends are exclusive. Rows without doc_id take no part; rows of one doc_id
     are one document and are not compared with each other (if their texts
     differ, what they share with others may be missed); repeated rows may
-    repeat rows of the result. Null, empty and short texts share nothing, an
+    repeat rows of the result. Joins on a document that very many others repeat
+    are left to Spark's splitting of skewed partitions. Null, empty and short texts share nothing, an
     empty table gives no rows, other columns are ignored.
     """
     spark = docs.sparkSession
@@ -622,13 +647,13 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
 
     short = tables.stored(words_of(chained, 8), "bytes")
     tables.release()
-    hopeful = tables.stored(_with_words(chained, short, 1, SHORT_REACH).mapInArrow(_hopeful, _CHAIN), "chains")
+    hopeful = tables.stored(_beside(chained, short).mapInArrow(_hopeful, _CHAIN), "chains")
     tables.release()
     words = tables.stored(words_of(hopeful, 32), "words")
-    near = tables.stored(_with_words(hopeful, words, 4, REACH).mapInArrow(_align_rows, _ALIGNED), "near")
+    near = tables.stored(_with_words(hopeful, words, REACH).mapInArrow(_align_rows, _ALIGNED), "near")
     tables.release()
     again = near.where("again_pos is not null").select(F.col("doc_id").alias("doc"), F.col("other_id").alias("other"), F.col("again_pos").alias("pos"), F.col("again_other").alias("other_pos"))
-    far = _with_words(again, words, 4, None).mapInArrow(_align_rows, _ALIGNED)
+    far = _with_words(again, words, None).mapInArrow(_align_rows, _ALIGNED)
     out = near.where("again_pos is null").unionByName(far).select(*(f.split()[0] for f in PASSAGES.split(", "))).distinct()
     return tables.result(out, "passages")
 
