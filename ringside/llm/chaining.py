@@ -32,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import Tables, bounded_batches, id_filter, may_hold
@@ -54,7 +54,7 @@ DROP = 8
 SPLIT = 12
 #: Bytes of text of a slice.
 JOIN_BYTES = 8_000_000
-#: Bytes of text, at most, whose seeds share a bucket; there are some a partition at least.
+#: Bytes of text whose seeds share a bucket, about, and buckets of a partition.
 BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
 #: Bits of a seed's name within its bucket.
 NAME_BITS = 40
@@ -111,7 +111,8 @@ def _slice_cells(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, bits: int,
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
     cuts = np.searchsorted(own, edges)
     for a, b, c, d in zip(edges[:-1].tolist(), edges[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-        rows.append((int(bucket[a]), 0, slice_id, names[:, a:b].tobytes(), head_doc[own[c:d]].tobytes(), counts[c:d].tobytes(), places[:, a:b].tobytes(), np.packbits(several[a:b]).tobytes()))
+        docs = np.diff(head_doc[own[c:d]], prepend=np.int64(0))  # they ascend
+        rows.append((int(bucket[a]), 0, slice_id, names[:, a:b].tobytes(), _planes(docs, 8).tobytes(), _planes(counts[c:d], 4).tobytes(), places[:, a:b].tobytes(), np.packbits(several[a:b]).tobytes()))
     return rows
 
 
@@ -158,7 +159,7 @@ def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def answer(key: int, cells: list[tuple]) -> pa.RecordBatch | None:
         name = np.concatenate([_unplaned(c[1], NAME_BITS // 8, "<u8") for c in cells])
-        doc = np.concatenate([np.repeat(np.frombuffer(c[2], np.int64), np.frombuffer(c[3], np.uint32)) for c in cells])
+        doc = np.concatenate([np.repeat(np.cumsum(_unplaned(c[2], 8, "<i8")), _unplaned(c[3], 4, "<u4")) for c in cells])
         pos = np.concatenate([_unplaned(c[4], 4, "<i4") for c in cells])
         sizes = [len(c[1]) // (NAME_BITS // 8) for c in cells]
         several = np.concatenate([np.unpackbits(np.frombuffer(c[5], np.uint8), count=n) for c, n in zip(cells, sizes)]).astype(bool)
@@ -371,6 +372,7 @@ def _found(bits: int, seeds: int):
             k = np.minimum(np.searchsorted(name, n2), len(name) - 1)
             here = np.flatnonzero(name[k] == n2)
             n2, d2, p2, k = n2[here], d2[here], p2[here], k[here]
+        near = np.zeros(len(name), dtype=bool)
         if len(n2):
             # the occurrence before: the last one of the document before in the slice, else the slice's head, else what the head was told
             start = np.concatenate([[True], (n2[1:] != n2[:-1]) | (d2[1:] != d2[:-1])])
@@ -379,16 +381,20 @@ def _found(bits: int, seeds: int):
             own = d2 == doc[k]
             b2 = np.where(inner, d2[np.maximum(j, 0)], np.where(own, before[k], doc[k]))
             q2 = np.where(inner, p2[np.maximum(j, 0)], np.where(own, before_pos[k], pos[k])).astype(np.int32)
+            # a seed that comes again within the words of a passage is matched once: chains from there are extended, and runs have their own star
+            p0 = np.where(start, np.where(own, pos[k], -MIN_WORDS), p2[np.maximum(np.arange(len(n2)) - 1, 0)])
+            near = np.concatenate([near, p2 - p0 < MIN_WORDS])
             joined = ((name, n2), (doc, d2), (pos, p2), (head, head[k]), (head_pos, head_pos[k]), (before, b2), (before_pos, q2))
             name, doc, pos, head, head_pos, before, before_pos = (np.concatenate(x) for x in joined)
         order = np.lexsort((pos, doc))
         order = order[np.concatenate([[True], (doc[order[1:]] != doc[order[:-1]]) | (pos[order[1:]] != pos[order[:-1]])])]  # repeated rows of a document
-        name, doc, pos, head, head_pos, before, before_pos = (x[order] for x in (name, doc, pos, head, head_pos, before, before_pos))
-        star = np.flatnonzero(doc != head)
+        name, doc, pos, head, head_pos, before, before_pos, near = (x[order] for x in (name, doc, pos, head, head_pos, before, before_pos, near))
+        near &= seeds == 1
+        star = np.flatnonzero((doc != head) & ~near)
         found = match_chains(doc[star], pos[star], head[star], head_pos[star], seeds)
         if seeds == 1:
             spans = [(c[0], *s) for c in found if (s := _settled(c[2])) is not None]
-            path = np.flatnonzero((before < doc) & (before != head) & _outside(doc, pos, spans))
+            path = np.flatnonzero((before < doc) & (before != head) & ~near & _outside(doc, pos, spans))
             found += match_chains(doc[path], pos[path], before[path], before_pos[path], seeds)
         cells: list[tuple] = []
         if seeds == 1:
@@ -614,22 +620,22 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     Every document that repeats ``MIN_WORDS`` unchanged words of a smaller one
     has a row for them, whatever other documents hold; an edited passage has
     one if at least ``MIN_SEEDS`` of its k-mers lead to one document that holds
-    it (see the module's text). ``other_id < doc_id``; places count words from
-    0, ends are exclusive. Rows without doc_id take no part; rows of one doc_id
-    are one document and are not compared with each other (if their texts
-    differ, what they share with others may be missed); repeated rows may
-    repeat rows of the result. Joins on a document that very many others repeat
-    are left to Spark's splitting of skewed partitions. Null, empty and short texts share nothing, an
-    empty table gives no rows, other columns are ignored.
+    it (see the module's text). A row whose words lie within those of another
+    row of the same two documents is left out. ``other_id < doc_id``; places
+    count words from 0, ends are exclusive. Rows without doc_id take no part;
+    rows of one doc_id are one document and are not compared with each other
+    (if their texts differ, what they share with others may be missed). Joins
+    on a document that very many others repeat are left to Spark's splitting
+    of skewed partitions. Null, empty and short texts share nothing, an empty
+    table gives no rows, other columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     tables = Tables(spark)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(PARTITION_BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
-    bits = min(20, max(1, (buckets - 1).bit_length()))
-    parts = max(1, (1 << bits) // PARTITION_BUCKETS)
+    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // (BUCKET_BYTES * PARTITION_BUCKETS))
+    bits = min(20, max(1, (PARTITION_BUCKETS * parts - 1).bit_length()))
 
     def found(cells: DataFrame, seeds: int) -> DataFrame:
         answers = cells.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_answers, _ANSWERS)
@@ -654,7 +660,9 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     tables.release()
     again = near.where("again_pos is not null").select(F.col("doc_id").alias("doc"), F.col("other_id").alias("other"), F.col("again_pos").alias("pos"), F.col("again_other").alias("other_pos"))
     far = _with_words(again, words, None).mapInArrow(_align_rows, _ALIGNED)
-    out = near.where("again_pos is null").unionByName(far).select(*(f.split()[0] for f in PASSAGES.split(", "))).distinct()
+    out = near.where("again_pos is null").unionByName(far).select(*(f.split()[0] for f in PASSAGES.split(", ")))
+    before = Window.partitionBy("doc_id", "other_id").orderBy("start_word", F.desc("end_word"), *(f.split()[0] for f in PASSAGES.split(", ")[4:])).rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("__reach", F.max("end_word").over(before)).where("__reach is null or end_word > __reach").drop("__reach")
     return tables.result(out, "passages")
 
 
