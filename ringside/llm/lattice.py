@@ -15,10 +15,11 @@ such a model, and a text's probability is their mixture.
 
 How counts reach the documents: each task cuts its documents into chunks of a
 bounded size, and writes of every chunk the documents as numbers into the
-chunk's own word list, and that list. Lists are summed by word over the corpus
-(one shuffle of each chunk's distinct words); each word's count and score go
-back to the chunks that hold it, where documents are summed up. No vocabulary
-is ever broadcast, and no text is shuffled.
+chunk's own word list, and that list. Lists are summed by word and block of
+chunks over the corpus (one shuffle of each chunk's distinct words), blocks by
+word where there are several; each word's count and score go back to the
+chunks that hold it, where documents are summed up. No vocabulary is ever
+broadcast, no text is shuffled, no list is longer than a block.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import bounded_batches, stored
+from .storage import Tables, bounded_batches
 from .words import slices, text_buffer
 
 #: Bytes of text of a chunk.
@@ -45,8 +46,8 @@ ROUNDS = 3
 GROUPS = 6
 #: Weight that every piece has beside its expected count.
 PRIOR = 0.02
-#: Longest piece, in bytes.
-LONGEST = 16
+#: Chunks whose places of a word stand in one list.
+PLACES = 1024
 #: Words of more bytes are walked one at a time.
 LONG_WORD = 48
 LN10 = math.log(10)
@@ -64,16 +65,16 @@ def read_pieces(model_path: str) -> tuple[list[bytes], np.ndarray]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     weight: dict[bytes, float] = {}
-    for i in range(model.get_piece_size()):
-        if model.is_control(i) or model.is_unknown(i):
-            continue
+    known = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i))]
+    scores = [model.get_score(i) for i in known if not model.is_byte(i)]
+    ranks = all(x == int(x) for x in scores)  # a BPE file's scores; a unigram file's are log-probabilities
+    for i in known:
         if model.is_byte(i):
             piece, w = bytes([int(model.id_to_piece(i)[3:5], 16)]), 1e-6
         else:
-            piece = model.id_to_piece(i).replace("▁", " ").encode()
-            score = model.get_score(i)
-            w = math.exp(score) if -50 < score < 0 and model.get_piece_size() < 50 else 1 / (2 - score)
-        if len(piece) <= LONGEST and b" " not in piece[1:] and piece == piece.lower():
+            piece, score = model.id_to_piece(i).replace("▁", " ").encode(), model.get_score(i)
+            w = 1 / (2 - score) if ranks else math.exp(score)
+        if b" " not in piece[1:] and piece == piece.lower():
             weight[piece] = weight.get(piece, 0) + w
     for b in range(256):
         weight.setdefault(bytes([b]), 1e-6)
@@ -445,16 +446,24 @@ def score_documents(docs: DataFrame, model_path: str, *, parts: int = 7, part: i
     ends = [counted.get(g, 0) for g in range(groups)]
 
     columns = [f"n{g}" for g in range(groups)]
-    chunks = stored(rows.select("doc_id", "text", "g").mapInArrow(_chunks(parts, part, groups), _chunk_schema(groups)), "chunks")
-    places = F.collect_list(F.struct("chunk", "local")).alias("places")
-    words = stored(chunks.where("word is not null").groupBy("word").agg(*(F.sum(c).alias(c) for c in columns), places), "words")
+    tables = Tables(docs.sparkSession)
+    chunks = tables.stored(rows.select("doc_id", "text", "g").mapInArrow(_chunks(parts, part, groups), _chunk_schema(groups)), "chunks")
+    # a word's places are listed by blocks of chunks, so no list grows with the corpus
+    blocks = 1 + chunks.where("docs is not null").count() // PLACES
+    block = F.pmod(F.xxhash64("chunk"), F.lit(blocks)).alias("block")
+    placed = chunks.where("word is not null").groupBy("word", block).agg(*(F.sum(c).alias(c) for c in columns), F.collect_list(F.struct("chunk", "local")).alias("places"))
+    placed = tables.stored(placed, "places")
+    words = placed.drop("block") if blocks == 1 else tables.stored(placed.groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)), "words")
+    tables.release()
     every = sum((F.col(c) for c in columns), F.lit(0))
     one = words.agg(F.count_if(every > 0).alias("v"), *(f(c).alias(f"{k}{c}") for c in columns for k, f in (("s", lambda c: F.coalesce(F.sum(c), F.lit(0))), ("t", lambda c: F.count_if(F.col(c) > 0)), ("a", lambda c: F.count_if(F.col(c) == 1)), ("b", lambda c: F.count_if(F.col(c) == 2))))).first()
     model = Model(pieces, p, [tuple(one[f"{k}{c}"] for k in "stab") for c in columns], ends)
     train_tokens, distinct = sum(model.tokens) + sum(ends), one["v"] + (sum(ends) > 0)
     if sum(model.tokens):
         fit_pieces(words.where(every > 0), model, rounds)
+    if blocks > 1:
+        words = placed.select("word", "places").join(words, "word")
     answers = words.select("word", "places", *columns).mapInArrow(_score_words(model), "places array<struct<chunk:bigint,local:int>>, n long, score array<float>")
     answers = answers.select(F.explode("places").alias("x"), "n", "score").select("x.chunk", "x.local", "n", "score")
     texts = chunks.where("docs is not null").select("chunk", "docs", "word_ids")
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_documents(train_tokens, distinct, model, parts, part), SCORES)
+    return tables.result(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score_documents(train_tokens, distinct, model, parts, part), SCORES), "scores")

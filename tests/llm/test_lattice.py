@@ -111,3 +111,14 @@ def test_better_than_the_base_on_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = [r for r in lattice.score_documents(docs, tokenizer_path("piece_bpe_32k.model"), group_column="lang").collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_blocks_of_places_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "CHUNK_BYTES", 200)
+    rnd = random.Random(6)
+    rows = [(i, " ".join(rnd.choice(["the", "on", "é", f"r{i % 7}"]) for _ in range(rnd.randint(0, 30)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    once = sorted(map(tuple, lattice.score_documents(df, tokenizer_path("piece_bpe_32k.model")).collect()))
+    monkeypatch.setattr(lattice, "PLACES", 3)
+    again = sorted(map(tuple, lattice.score_documents(df, tokenizer_path("piece_bpe_32k.model")).collect()))
+    assert [r[:5] for r in once] == [r[:5] for r in again] and np.allclose([r[5:] for r in once], [r[5:] for r in again], atol=1e-4)
