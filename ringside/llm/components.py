@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import drop_table, write_table
+from .storage import Tables, drop_table, write_table
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -28,10 +28,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, tables: Tables | None = None) -> DataFrame:
     """For every node of ``edges(a, b)``: ``node, component``, the smallest node that it reaches.
 
     Edges with a null end and loops link nothing; a repeated edge counts once.
+    The table that is left is one of ``tables``, if given.
     """
     spark = edges.sparkSession
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -46,5 +47,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == tuple(row):
             break
         mark = tuple(row)
+    if tables is not None:
+        tables.paths.append(path)
     stars = spark.read.schema("u long, v long").parquet(path)
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select(F.col("v"), F.col("v")).distinct())

@@ -13,8 +13,9 @@ Exact, and without a pair for pairs' sake:
    shingle and size band. Rounds of stars join each tile's classes to the
    tile's smallest; classes found linked then count as one and join the stars
    of whole shingles, so n near copies cost about n comparisons. When stars find nothing new, all
-   pairs of differing components in a tile and the bands beside it are
-   compared block by block.
+   pairs of differing components that share a shingle are compared, those of
+   a frequent shingle block by block: a block is of one size band, and meets
+   only blocks of bands whose sizes are near enough.
 4. A pair is compared by the sets' bitmaps first: bits set in one bitmap alone
    bound the overlap from above. Only pairs that may reach the threshold have
    their sorted arrays intersected.
@@ -22,6 +23,7 @@ Exact, and without a pair for pairs' sake:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import bounded_batches, id_filter, may_hold, stored
+from .storage import Tables, bounded_batches, id_filter, may_hold
 from .words import SHINGLE, SLICE_BYTES, mix, shingle_sets
 
 #: log2 of the sketch's counters (one byte each when broadcast: 4 MB).
@@ -47,6 +49,8 @@ WIDE_BITS, WIDE_FROM = 8, 48
 BLOCK = 256
 #: Star rounds go on while one links at least this share of the classes (it sets the cost, not the result).
 STAR_LINKS = 0.002
+#: A class of more documents than both the first and the share of all that the second names is joined by broadcast.
+LARGE_CLASS, LARGE_CLASSES = 1_000, 10_000
 _STEP = 1.06
 _LOW56 = (1 << 56) - 1
 
@@ -127,7 +131,7 @@ def _postings(sketch, percent: int, size: int):
             tokens, salts, cids = [], [], []
             for _, own in shingle_sets(batch.column(0), size):
                 n = len(own)
-                if n < 4:  # only equal sets are that similar
+                if 100 * n < percent * (n + 1):  # only equal sets are that similar
                     continue
                 cid, check = class_id(own)
                 if (cid, check) in seen:
@@ -271,9 +275,9 @@ def _links(percent: int):
 class _Comparison:
     """Compares pairs of nodes: first by bitmaps of all nodes, then by arrays fetched for what is left."""
 
-    def __init__(self, rows: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int, size: int):
-        self.rows, self.classes, self.percent, self.size = rows, classes, percent, size
-        self.bits = stored(self._fetch(nodes, False), "bitmaps")
+    def __init__(self, tables: Tables, rows: DataFrame, classes: DataFrame, nodes: DataFrame, percent: int, size: int):
+        self.tables, self.rows, self.classes, self.percent, self.size = tables, rows, classes, percent, size
+        self.bits = tables.stored(self._fetch(nodes, False), "bitmaps")
 
     def _fetch(self, nodes: DataFrame, arrays: bool) -> DataFrame:
         slots, slot = id_filter(nodes, "node")
@@ -286,12 +290,12 @@ class _Comparison:
         """The pairs (a, b) that link."""
         side = lambda table, x, *cols: table.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
         both = pairs.join(side(self.bits, "a", "n", "data"), "a").join(side(self.bits, "b", "n", "data"), "b")
-        near = stored(both.select("a", "b", "n_a", "n_b", "data_a", "data_b").mapInArrow(_may_link(self.percent), "a long, b long"), "near")
+        near = self.tables.stored(both.select("a", "b", "n_a", "n_b", "data_a", "data_b").mapInArrow(_may_link(self.percent), "a long, b long"), "near")
         if near.isEmpty():
             return near
-        arrays = stored(self._fetch(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), True), "arrays")
+        arrays = self.tables.stored(self._fetch(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), True), "arrays")
         both = near.join(side(arrays, "a", "data"), "a").join(side(arrays, "b", "data"), "b").select("a", "b", "data_a", "data_b")
-        return stored(both.mapInArrow(_links(self.percent), "a long, b long"), "links")
+        return self.tables.stored(both.mapInArrow(_links(self.percent), "a long, b long"), "links")
 
 
 def _blocks(percent: int):
@@ -349,15 +353,27 @@ def _blocks(percent: int):
 
 
 def _residual(shared: DataFrame, comps: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share a token and may link by size and bitmap."""
-    rows = shared.join(comps, "node", "left").select("token", "node", F.coalesce("comp", "node").alias("comp"))
+    """All pairs of different components that share a token and may link by size and bitmap.
+
+    Classes of a token with more than ``BLOCK`` stand in blocks of their tile
+    (four size bands); a block is compared with those of tiles in ``reach``.
+    """
+    reach = int(math.log(100 / percent) / (4 * math.log(_STEP))) + 1
+    rows = shared.join(comps, "node", "left").select("token", "tile", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = rows.groupBy("token").agg(F.count("*").alias("many"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("c0 <> c1")
     # tokens that the same classes share would give the same pairs: one of them is enough
     mixed = mixed.groupBy("many", "who").agg(F.min("token").alias("token"))
     data = F.when(F.col("many") >= WIDE_FROM, F.col("wide")).otherwise(F.col("data")).alias("data")
-    blocks = F.ceil(F.col("many") / F.lit(BLOCK)).cast("int")
-    placed = rows.join(mixed.select("token", "many", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp", "many")
+    placed = rows.join(mixed.select("token", "many"), "token")
+    sizes = placed.where(F.col("many") > BLOCK).groupBy("token", "tile").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    cut = sizes.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("tile", "blocks"))).alias("cut"))  # at most 64 tiles
+    placed = placed.join(cut, "token", "left")
+    name = lambda tile, block: F.shiftleft(tile.cast("long"), 32) + block
+    own = F.when(F.col("cut").isNull(), F.lit(0).cast("long")).otherwise(name(F.col("tile"), F.pmod(F.xxhash64("node", F.lit(7)), F.col("cut")[F.col("tile")])))
+    near = F.filter(F.map_entries("cut"), lambda e: F.abs(e["key"] - F.col("tile")) <= reach)
+    others = F.flatten(F.transform(near, lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda j: name(e["key"], j))))
+    placed = placed.withColumns({"block": own, "other": F.explode(F.coalesce(others, F.array(F.lit(0).cast("long"))))})
+    spread = placed.select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "comp", "many")
     tiles = spread.join(bits, "node").select("token", "lo", "hi", "block", "node", "comp", "n", data)
     pairs = tiles.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi").mapInArrow(_blocks(percent), "a long, b long")
     return pairs.distinct()
@@ -376,19 +392,20 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text")
-    prints = stored(rows.mapInArrow(_fingerprints(size), "kind int, doc_id long, n long, cid long, check long"), "prints")
+    tables = Tables(spark)
+    prints = tables.stored(rows.mapInArrow(_fingerprints(size), "kind int, doc_id long, n long, cid long, check long"), "prints")
     documents = prints.where("kind = 0").drop("kind")
     linked = documents.where("doc_id is not null and n > 0")
-    classes = linked.groupBy("cid", "check").agg(F.min("doc_id").alias("node"))
+    classes = linked.groupBy("cid", "check").agg(F.min("doc_id").alias("node"), F.count("*").alias("many"))
     sketch = spark.sparkContext.broadcast(_sketch(prints))
 
     posted = rows.where("doc_id is not null").select("text").mapInArrow(_postings(sketch, percent, size), "token long, salt int, cid long")
     together = posted.repartition("token", "salt").sortWithinPartitions("token", "salt", "cid").mapInArrow(_shared, "token long, salt int, cid long")
     # a salted token's classes stand together from here on, in tiles of four size bands
-    shared = stored(together.join(classes.select("cid", "node"), "cid").select("token", F.shiftrightunsigned("cid", 58).cast("int").alias("tile"), "node").distinct(), "shared")
+    shared = tables.stored(together.join(classes.select("cid", "node"), "cid").select("token", F.shiftrightunsigned("cid", 58).cast("int").alias("tile"), "node").distinct(), "shared")
 
     nodes = shared.select("node").distinct()
-    compare = _Comparison(rows, classes, nodes, percent, size)
+    compare = _Comparison(tables, rows, classes, nodes, percent, size)
 
     links: DataFrame | None = None
     comps: DataFrame = nodes.select("node", F.col("node").alias("comp"))
@@ -396,7 +413,7 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
     def join(found: DataFrame) -> None:
         nonlocal links, comps
         links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links).select("node", F.col("component").alias("comp")), "components")
+        comps = tables.stored(connected_components(links, tables).select("node", F.col("component").alias("comp")), "components")
 
     many = nodes.count()
     while many:
@@ -418,14 +435,18 @@ def jaccard_components(docs: DataFrame, *, percent: int = 80, size: int = SHINGL
         if not found.isEmpty():
             join(found)
 
-    whole = classes.join(comps, "node", "left").select("cid", "check", F.col("node").alias("class_id"), F.coalesce("comp", "node").alias("component_id"))
-    out = documents.join(whole, ["cid", "check"], "left")
+    whole = classes.join(comps, "node", "left").select("cid", "check", "many", F.col("node").alias("class_id"), F.coalesce("comp", "node").alias("component_id"))
+    # classes of more than a ten-thousandth of all documents are at most so many: they are broadcast, so none meets in one task
+    large = F.col("many") > F.lit(max(LARGE_CLASS, linked.count() // LARGE_CLASSES))
+    names = ["cid", "check"]
+    heavy = F.broadcast(whole.where(large).drop("many"))
+    held = documents.join(heavy, names)
+    out = held.unionByName(documents.join(heavy.select(*names), names, "left_anti").join(whole.where(~large).drop("many"), names, "left"))
     own = F.col("doc_id")
-    return out.select(
+    out = out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(own.isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(own)).alias("component_id"),
         F.when(own.isNotNull(), F.when(F.col("n") > 0, F.col("class_id")).otherwise(own)).alias("class_id"),
     )
-
-
+    return tables.result(out, "groups")

@@ -142,3 +142,41 @@ def test_long_texts_are_hashed_alike(monkeypatch):
     whole = [own.tolist() for _, own in words.shingle_sets(pa.array([text, "a b"]))]
     monkeypatch.setattr(words, "SLICE_BYTES", 500)
     assert [own.tolist() for _, own in words.shingle_sets(pa.array([text, "a b"]))] == whole
+
+
+def sets_of(docs):
+    out = {}
+    for d, t in docs:
+        w = t.lower().split()
+        out[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    return out
+
+
+def by_hand(docs, percent):
+    sets, comp = sets_of(docs), {d: d for d, _ in docs}
+
+    def root(x):
+        while comp[x] != x:
+            x = comp[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                comp[y] = x
+    return {d: root(d) for d, _ in docs}
+
+
+def test_lower_thresholds_blocks_of_bands_and_large_classes(spark, monkeypatch):
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(400)]
+    docs = [(d, " ".join(base[: rnd.choice([5, 6, 7, 8, 40, 60, 90, 120, 200]) + rnd.randint(0, 9)] + [f"x{d}"] * rnd.randint(0, 3) + [rnd.choice("pqr")] * rnd.randint(0, 4))) for d in range(160)]
+    docs += [(1000 + d, "one text that very many documents hold") for d in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "STAR_LINKS", 2.0)
+    monkeypatch.setattr(jaccard, "LARGE_CLASS", 10)
+    for percent in (60, 80):
+        got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df, percent=percent).collect()}
+        assert got == by_hand(docs, percent)
