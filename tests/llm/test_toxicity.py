@@ -1,5 +1,6 @@
 """Toxicity: held-out accuracy on the given tables, and edge cases."""
 
+import math
 import random
 import zlib
 
@@ -48,3 +49,58 @@ def test_edges(spark):
         flat = toxicity.score_texts(docs, toxicity.fit(docs, few)).collect()
         assert len({r.score for r in flat}) == 1 and flat[0].predicted == 0
     assert toxicity.score_texts(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
+
+
+def ratio_by_hand(word, texts, toxic_of):
+    """A word's log ratio from the texts themselves, by the definition."""
+    def held(items):
+        out = {}
+        for text, toxic in zip(texts, toxic_of):
+            for x in {i for w in set(toxicity.words_of(text)) for i in items(w)}:
+                out.setdefault(x, [0, 0])[0 if toxic else 1] += 1
+        return out
+
+    words = held(lambda w: [w])
+    levels = [{w: n for w, n in words.items() if sum(n) >= 2}]
+    for k in toxicity.BACKOFF:
+        level = {}
+        for w, n in words.items():
+            level.setdefault(w[:k], [0, 0])
+            level[w[:k]][0] += n[0]
+            level[w[:k]][1] += n[1]
+        levels.append(level)
+
+    def ratio(x, depth):
+        if depth == len(levels):
+            return 0.0
+        counts = [c for n in levels[depth].values() for c in n]
+        once, twice = counts.count(1), counts.count(2)
+        d = min(0.95, max(0.5, once / (once + 2 * twice))) if once else 0.75
+        nt, no = (1 + sum(n[i] for n in levels[depth].values()) for i in (0, 1))
+        below = lambda: ratio(x[: toxicity.BACKOFF[depth]] if depth < len(toxicity.BACKOFF) else x, depth + 1)
+        if x not in levels[depth]:
+            return below()
+        (t, o), prior = levels[depth][x], below()
+        odds = math.exp(prior) * nt / no
+        taken, share = min(t, d) + min(o, d), odds / (1 + odds)
+        moved = math.log((max(t - d, 0) + taken * share) / nt) - math.log((max(o - d, 0) + taken * (1 - share)) / no) - prior
+        beyond = abs(moved) - toxicity.MARGIN - toxicity.SPREADS * math.sqrt(1 / (t + 0.5) + 1 / (o + 0.5))
+        return prior + math.copysign(beyond, moved) if beyond > 0 else prior
+
+    return ratio(word, 0)
+
+
+def test_ratios_against_the_definition(spark):
+    rnd = random.Random(4)
+    common, vile = [f"{a}{b}word" for a in "abcd" for b in "efgh"], [f"vilest{x}" for x in "abcdefgh"]
+    rows = []
+    for i in range(400):
+        toxic = int(rnd.random() < 0.3)
+        rows.append((i, " ".join(rnd.choice(common) for _ in range(12)) + (" " + rnd.choice(vile) if toxic else ""), toxic))
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], 0, r[2]) for r in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    part = lambda i: zlib.crc32(str(i).encode()) % 4
+    used = {t: y for i, t, y in rows if part(i) not in (2, 3)}
+    for word in (*common, *vile, "vilestzz", "vilexx", "aeother", "qq"):
+        assert abs(model.top.ratio(word) - ratio_by_hand(word, used.keys(), used.values())) < 1e-9
+    assert model.top.ratio("vilesta") > 1
