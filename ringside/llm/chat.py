@@ -4,8 +4,8 @@ A template names the strings around each role's turns and says whose text
 bears loss. The machine walks the turns of a conversation in order, says
 whether their order is allowed, and emits text segments, each with a loss
 flag; a conversation's formatted text is its segments joined. A control string
-inside a text is escaped reversibly, so markers in the output are always the
-template's own, and reading the output back gives the turns exactly.
+of the template inside a text is escaped reversibly, so markers in the output
+are always the template's own, and reading the output back gives the turns exactly.
 
 Turns stream through in sorted order: a conversation is never held whole, so
 its length is bounded by nothing.
@@ -27,17 +27,19 @@ from pyspark.sql import functions as F
 class Template:
     """How turns are written and which order of roles is allowed.
 
-    ``begin`` + role + ``after_role`` + escaped text + ``end`` is a turn.
-    ``loss`` names the roles whose text bears loss. ``order`` maps a state (the
-    last role, "" at the start) to the roles that may follow; ``final`` holds
-    the states in which a conversation may stop. ``escape`` is put after the
-    first character of any control string that stands in a text or a role.
+    ``begin`` + role + ``after_role`` + text + ``end`` is a turn. ``loss``
+    names the roles whose text bears loss. ``order`` maps a state (the last
+    role, "" at the start) to the roles that may follow; ``final`` holds the
+    states in which a conversation may stop. Control strings inside texts and
+    roles are escaped: between the first two characters of ``begin`` or
+    ``end``, and any escapes there, stands one ``escape`` more. So neither can
+    stand in a text. Both must have two characters or more, and the escape is
+    one that neither begins with.
     """
 
     begin: str = "<|im_start|>"
     after_role: str = "\n"
     end: str = "<|im_end|>\n"
-    end_mark: str = "<|im_end|>"
     escape: str = "\\"
     loss: frozenset[str] = frozenset({"assistant"})
     order: dict[str, frozenset[str]] = field(
@@ -45,30 +47,37 @@ class Template:
     )
     final: frozenset[str] = frozenset({"user", "assistant"})
 
+    def __post_init__(self):
+        heads = {c[:2] for c in (self.begin, self.end)}
+        if any(len(h) < 2 for h in heads) or len(self.escape) != 1 or any(self.escape in h for h in heads):
+            raise ValueError("begin and end need two characters, and an escape that they do not begin with")
+        if not self.after_role or self.after_role[0] in ("\\", "n", self.escape):
+            raise ValueError("after_role must not begin with a character that writes roles")
+        e = re.escape(self.escape)
+        # a text that ends as a mark of two equal characters begins would run into it
+        parts = [(re.escape(h[0]), re.escape(h[1]) + (r"|\Z" if h[0] == h[1] else "")) for h in sorted(heads)]
+        object.__setattr__(self, "_hide", re.compile("|".join(f"{a}(?={e}*(?:{b}))" for a, b in parts)))
+        object.__setattr__(self, "_show", re.compile("|".join(f"{a}{e}(?={e}*(?:{b}))" for a, b in parts)))
+
     def hide(self, text: str) -> str:
-        """``text`` without control strings: ``<`` before any number of escapes and ``|`` gets one more."""
-        return _HIDE.sub(lambda m: "<" + self.escape + m[0][1:], text) if "<" in text else text
+        """``text`` without control strings."""
+        return self._hide.sub(lambda m: m[0] + self.escape, text)
 
     def show(self, text: str) -> str:
         """The text that ``hide`` was given."""
-        return _SHOW.sub(lambda m: "<" + m[0][2:], text) if "<" in text else text
-
+        return self._show.sub(lambda m: m[0][0], text)
 
-_HIDE = re.compile(r"<\\*\|")
-_SHOW = re.compile(r"<\\+\|")
-CHATML = Template()
-NULL_ROLE = "null"
+    def write_role(self, role: str | None) -> str:
+        """A role without the character that begins ``after_role``; a null role is an escape of its own."""
+        return "\\0" if role is None else self.hide(role.replace("\\", "\\\\").replace(self.after_role[0], "\\n"))
 
+    def read_role(self, text: str) -> str | None:
+        """The role that ``write_role`` was given."""
+        return None if text == "\\0" else re.sub(r"\\(.)", lambda m: self.after_role[0] if m[1] == "n" else m[1], self.show(text), flags=re.S)
 
-def _role(role: str | None) -> str:
-    """Roles stand on one line: a null role is written as an escape of its own."""
-    return "\\0" if role is None else role.replace("\\", "\\\\").replace("\n", "\\n")
 
-
-def _unrole(text: str) -> str | None:
-    if text == "\\0":
-        return None
-    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], text)
+CHATML = Template()
+NULL_ROLE = "null"
 
 
 SEGMENTS = "conv_id long, seq long, text string, loss boolean, ends boolean, valid boolean, error string"
@@ -101,7 +110,7 @@ def format_conversations(turns: DataFrame, template: Template = CHATML) -> DataF
                 if error is None and (role is None or role not in template.order.get(state, ())):
                     error = f"{role or NULL_ROLE} after {state or 'the start'}"
                 state = role or NULL_ROLE
-                out.append((now, seq, template.begin + template.hide(_role(role)) + template.after_role, False, False, None, None))
+                out.append((now, seq, template.begin + template.write_role(role) + template.after_role, False, False, None, None))
                 out.append((now, seq + 1, template.hide(text or ""), role in template.loss, False, None, None))
                 out.append((now, seq + 2, template.end, False, False, None, None))
                 seq += 3
@@ -151,8 +160,8 @@ class _Reader:
         while (stop := text.find(t.end, at)) >= 0:
             if not text.startswith(t.begin, at):
                 raise ValueError("a turn does not begin with its mark")
-            split = text.index(t.after_role, at)
-            role = _unrole(t.show(text[at + len(t.begin) : split]))
+            split = text.index(t.after_role, at + len(t.begin))
+            role = t.read_role(text[at + len(t.begin) : split])
             body = t.show(text[split + len(t.after_role) : stop])
             self.turns.update(f"{role or ''}\n{body}\n".encode())
             self.n_turns += 1
@@ -168,7 +177,8 @@ class _Reader:
 def read_conversations(segments: DataFrame, template: Template = CHATML) -> DataFrame:
     """Read segments of ``format_conversations`` back: a row of digests for each conversation.
 
-    Takes the segments in the order in which that function leaves them.
+    Segments may come in any order, from a stored table say: they are put in
+    order of conv_id and seq, and stream through. An empty table gives no rows.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +195,8 @@ def read_conversations(segments: DataFrame, template: Template = CHATML) -> Data
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in READ.split(", ")])
 
-    return segments.select("conv_id", "seq", "text", "loss", "ends", "valid", "error").mapInArrow(run, READ)
+    placed = segments.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
+    return placed.select("conv_id", "seq", "text", "loss", "ends", "valid", "error").mapInArrow(run, READ)
 
 
 def with_probe(turns: DataFrame) -> DataFrame:

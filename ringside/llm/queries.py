@@ -67,8 +67,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations (and the probe -1) formatted, and read back from the output."""
     from .chat import format_conversations, read_conversations, with_probe
+    from .storage import stored
 
-    return read_conversations(format_conversations(with_probe(_table(spark, sf_dir, "conversations")))).drop("error")
+    segments = stored(format_conversations(with_probe(_table(spark, sf_dir, "conversations"))), "segments")
+    return read_conversations(segments).drop("error")
 
 
 def op8_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
