@@ -194,7 +194,8 @@ def _merged(bins: DataFrame, capacity: int) -> DataFrame:
     for more in done[1:]:
         out = out.unionByName(more)
     sequence = F.expr("shiftleft(cast(level as long), 56) + shiftleft(cast(task as long), 32) + number")
-    ahead = F.expr("transform(pieces, (p, i) -> aggregate(slice(pieces, 1, i), 0L, (s, q) -> s + q.length))")
+    # offsets by one fold over a bin's pieces
+    ahead = F.expr("slice(aggregate(pieces, array(0L), (s, p) -> concat(s, array(element_at(s, -1) + p.length))), 1, size(pieces))")
     rows = out.select(sequence.alias("sequence_id"), F.explode(F.arrays_zip("pieces", ahead.alias("offset"))).alias("x"))
     return rows.select("x.pieces.*", "sequence_id", F.col("x.offset").alias("offset"))
 

@@ -1,6 +1,7 @@
 """BPE, token files, packing, media and chat against the library or brute force."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -138,6 +139,35 @@ def test_png_filters(kind):
             media.decode_png(broken)
 
 
+def test_all_filters_of_many_pictures_at_once():
+    rnd = np.random.default_rng(7)
+    pictures = [rnd.integers(0, 256, (h, 64), dtype=np.uint8) for h in (1, 1, 2, 3, 9, 40, 41, 200)]
+    rows = []
+    for x in pictures:
+        kinds = rnd.integers(0, 5, len(x))
+        data = np.frombuffer(media.filter_rows(x, kinds), np.uint8).reshape(len(x), 65)
+        padded = np.pad(x.astype(int), ((1, 0), (1, 0)))
+        for r in range(len(x)):  # each filter by its definition
+            for c in range(64):
+                left, up, corner = padded[r + 1, c], padded[r, c + 1], padded[r, c]
+                paeth = min((left, up, corner), key=lambda v: abs(left + up - corner - v))
+                guess = (0, left, up, (left + up) // 2, paeth)[kinds[r]]
+                assert data[r, c + 1] == (int(x[r, c]) - guess) % 256 and data[r, 0] == kinds[r]
+        rows.append(data)
+    assert all((a == b).all() for a, b in zip(media.unfilter_pictures(rows), pictures))
+    text = ("Ti wh, enndst onndble esthtion eringing thhethea. " * 60 + "\0" * 400 + "abcdefgh" * 90).encode()
+    own = media.png_rows(media.encode_png(text + bytes(-len(text) % 64)))
+    assert len(set(own[:, 0].tolist())) >= 3
+
+
+def test_cosine_hash_against_the_plain_transform():
+    pixels = np.random.default_rng(8).integers(0, 256, (64, 64), dtype=np.uint8)
+    small = pixels.reshape(32, 2, 32, 2).mean(axis=(1, 3))
+    low = [sum(small[y, x] * math.cos(math.pi * u * (2 * y + 1) / 64) * math.cos(math.pi * v * (2 * x + 1) / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+    median = sorted(low[1:])[31]
+    assert media.cosine_hash(pixels) == np.packbits([round(v, 6) > round(median, 6) for v in low]).tobytes()
+
+
 def test_png_equals_another_reader():
     image = pytest.importorskip("PIL.Image")
     import io
@@ -156,6 +186,8 @@ def test_media_rows(spark):
         assert len(r.cosine_hash) == 8
         assert seen.setdefault(t, (r.media_sha256, r.cosine_hash)) == (r.media_sha256, r.cosine_hash)
     assert len(rows) == 2 * len(ODD) + 1
+    none = spark.createDataFrame([(None, "a", 1)], "doc_id long, text string, media int")
+    assert media.media_features(media.to_media(none)).first().doc_id is None and media.media_features(media.to_media(none.limit(0))).count() == 0
 
 
 def test_chat(spark):
@@ -185,3 +217,27 @@ def test_chat(spark):
     assert all(len(full[c]) == got[c].formatted_chars for c in full)
     assert got[3].valid and not all(r.valid for r in got.values()) and all(r.valid == (r.error is None) for r in got.values())
     assert chat.read_conversations(chat.format_conversations(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "template",
+    [chat.Template(begin="[B]", end="[E]\n"), chat.Template(begin="##u", after_role=": ", end="###"), chat.Template(begin="<s>", after_role="|", end="</s>", escape="^"), chat.CHATML],
+)
+def test_no_text_forges_a_turn(spark, template):
+    t = template
+    parts = [t.begin, t.end, t.end[:-1], t.escape, t.begin[0], t.end[0], t.begin[:2], t.after_role, "user", "x", "\n", t.end[0] + t.escape + t.end[1:]]
+    rnd = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 6)))
+        hidden = t.hide(text)
+        assert t.show(hidden) == text and t.begin not in hidden and (hidden + t.end).find(t.end) == len(hidden)
+        assert t.read_role(t.write_role(text)) == text and t.after_role not in t.write_role(text)
+    turns = [(c, k, rnd.choice(["user", "assistant", None, "a" + t.after_role, t.begin]), "".join(rnd.choice(parts) for _ in range(4))) for c in range(20) for k in range(4)] + [(None, None, "user", "q")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    segments = chat.format_conversations(df, t).orderBy("text").repartition(5)  # as from a table that Spark splits
+    got = {r.conv_id: r for r in chat.read_conversations(segments, t).collect()}
+    for c in (*range(20), None):
+        own = [(r, x) for d, _, r, x in turns if d == c]
+        assert got[c].n_turns == len(own) and got[c].turns_sha256 == hashlib.sha256("".join(f"{r or ''}\n{x}\n" for r, x in own).encode()).hexdigest()
+    with pytest.raises(ValueError):
+        chat.Template(begin="<")
