@@ -53,7 +53,7 @@ DROP = 8
 #: A run of so many columns without a match splits an alignment.
 SPLIT = 12
 #: Bytes of text of a slice.
-JOIN_BYTES = 8_000_000
+JOIN_BYTES = 4_000_000
 #: Bytes of text whose seeds share a bucket, about, and buckets of a partition.
 BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
 #: Bits of a seed's name within its bucket.
@@ -87,9 +87,14 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 def _slice_cells(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, bits: int, slice_id: int) -> list[tuple]:
     """Rows of a slice's seeds: a cell a bucket with the head of each seed (kind 0), and all other occurrences (kind 1)."""
-    order = np.argsort(doc, kind="stable")
-    order = order[np.argsort((seed[order] >> np.uint64(64 - bits - NAME_BITS)), kind="stable")]
-    name, doc, pos = seed[order] >> np.uint64(64 - bits - NAME_BITS), doc[order], pos[order].astype(np.int32)
+    if (doc[1:] < doc[:-1]).any():
+        order = np.argsort(doc, kind="stable")
+        seed, doc, pos = seed[order], doc[order], pos[order]
+    name = seed >> np.uint64(64 - bits - NAME_BITS)
+    del seed
+    order = np.argsort(name, kind="stable")
+    name, doc, pos = name[order], doc[order], pos[order].astype(np.int32)
+    del order
     new = np.ones(len(name), dtype=bool)
     new[1:] = name[1:] != name[:-1]
     starts = np.flatnonzero(new)
@@ -125,6 +130,7 @@ def _seed_cells(bits: int):
 
         def flush() -> pa.RecordBatch:
             seed, doc, pos = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             # the slice's name comes from what it holds, so a task that runs again gives it again
             return _batch(_slice_cells(seed, doc, pos, bits, mark.intdigest() >> 1), _CELLS)
 
@@ -143,7 +149,7 @@ def _seed_cells(bits: int):
                 size += int(offsets[j] - offsets[i])
                 if size >= JOIN_BYTES and held:
                     yield flush()
-                    held, size, mark = [], 0, xxhash.xxh3_64()
+                    size, mark = 0, xxhash.xxh3_64()
         if held:
             yield flush()
 

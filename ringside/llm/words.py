@@ -16,7 +16,7 @@ import pyarrow as pa
 #: Words of a shingle.
 SHINGLE = 5
 #: Bytes of text that are hashed at once (a longer text is hashed alone).
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 400_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
