@@ -157,7 +157,7 @@ def owners_of(sport: Column | str, primary: Column, last: Column, primary_name:
 
 
 def name_core(x: Column | str) -> Column:
-    """A dog's name without its titles before and after, as lower-case letters only."""
+    """A dog's name without its titles before and after, as lower-case letters only; empty for titles alone."""
     bare = F.translate(F.translate(F.coalesce(col(x), F.lit("")), " ", " "), "’", "'")
     words = F.filter(F.split(F.trim(F.regexp_replace(bare, r"[^A-Za-z' &\-]", " ")), " +"), lambda w: w != "")
     start = F.struct(F.lit(0).alias("phase"), F.lit("").alias("core"))
@@ -168,7 +168,7 @@ def name_core(x: Column | str) -> Column:
         return F.struct(phase.alias("phase"), F.when(phase == 1, F.concat(state["core"], w)).otherwise(state["core"]).alias("core"))
 
     core = F.aggregate(words, start, step, lambda s: s["core"])
-    return F.regexp_replace(F.lower(F.when(core == "", F.array_join(words, "")).otherwise(core)), "[^a-z]", "")
+    return F.regexp_replace(F.lower(core), "[^a-z]", "")
 
 
 def html_escape(x: Column | str) -> Column:

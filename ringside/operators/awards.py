@@ -74,8 +74,10 @@ def first_n_mean(df: DataFrame, keys: Sequence[str], side: Column, score: str, o
 
 def count_ranked(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How many rows each key has, and the mean of its values for ties; ranked by both, then the key."""
-    out = df.groupBy(*keys).agg(F.count("*").alias("legs"), F.coalesce(F.sum(cents(value)), F.lit(0)).alias("__sum"), F.count(value).alias("__k"))
-    out = out.select(*keys, "legs", F.when(F.col("__k") > 0, mean_of_cents(F.col("__sum"), F.col("__k"))).otherwise(0.0).alias("tie_value"))
+    micro = (round_half_up(value, 6) * 1_000_000).cast("long")  # the mean is rounded, not what it is of
+    out = df.groupBy(*keys).agg(F.count("*").alias("legs"), F.coalesce(F.sum(micro), F.lit(0)).alias("__sum"), F.count(value).alias("__k"))
+    n = F.col("__k") * 10_000
+    out = out.select(*keys, "legs", F.when(F.col("__k") > 0, F.floor((F.col("__sum") * 2 + n) / (n * 2)) / 100.0).otherwise(0.0).alias("tie_value"))
     return number_rows(out, "rank", [-F.col("legs"), -F.floor("tie_value")], [F.desc("tie_value"), *keys])
 
 
@@ -84,19 +86,30 @@ def class_table(df: DataFrame, classes: dict[str, str]) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(list(classes.items()), "primary_class string, category string"))
 
 
-def _named(scores: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Scores with the dog and row of each key's last result."""
-    last = rows.groupBy(*keys).agg(F.max_by("dog_name", "src_seq").alias("dog"), F.max("src_seq").alias("last_seq"), F.min("src_seq").alias("first_seq"))
-    return scores.join(last, list(keys))
+#: Columns of a result row that its owners are read from.
+OWNERS = ("primary_owner", "last_name", "primary_owner_name", "owner_2", "owner_3", "owner_4")
 
 
-def standings(results: DataFrame, sport: str, *, variant: str = "calculator") -> DataFrame:
-    """The categories of a sport from raw results: ``category, reg_number, dog, score, legs, tie_value, rank``.
+def _named(scores: DataFrame, rows: DataFrame, keys: Sequence[str], sport: str, last: bool) -> DataFrame:
+    """Scores with the dog and owners of each key's last (or first) result."""
+    from ..functions.text import owners_of
+
+    have = [F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in OWNERS]
+    owners = owners_of(F.lit(sport), have[0], have[1], have[2], have[3:])
+    pick = F.max_by if last else F.min_by
+    named = rows.groupBy(*keys).agg(pick(F.struct(F.col("dog_name").alias("dog"), owners.alias("owners")), "src_seq").alias("__row"), F.max("src_seq").alias("last_seq"), F.min("src_seq").alias("first_seq"))
+    return scores.join(named.select(*keys, "__row.dog", "__row.owners", "last_seq", "first_seq"), list(keys))
+
 
-    ``results`` has the columns of a results sheet and ``src_seq``. The variant
-    ``validator`` has best-3 means in the Novice, Open and Excellent A classes
-    of agility, and paired speeds in both awards of the year. Equal scores
-    stand in order of their dogs' first results.
+def standings(results: DataFrame, sport: str, *, variant: str = "calculator") -> DataFrame:
+    """The categories of a sport from raw results: ``category, reg_number, dog, owners, score, legs, tie_value, rank``.
+
+    ``results`` has the columns of a results sheet and ``src_seq``, unique over
+    all its rows. The variant ``validator`` has best-3 means in the Novice, Open
+    and Excellent A classes of agility, and paired speeds in both awards of the
+    year. Dog and owners are those of the first result that counts, in the
+    calculator's best-3 classes of the last. Equal scores stand in order of
+    their first results, with the validator by name, the last first.
     """
     rows = results.where(F.col("placement").isin(*QUALIFYING))
     runs = rows.withColumn("__speed", (round_half_up(speed("course_distance", "dog_time"), 6) * 1_000_000).cast("long"))
@@ -104,23 +117,23 @@ def standings(results: DataFrame, sport: str, *, variant: str = "calculator") ->
     def best(classes: dict[str, str]) -> DataFrame:
         own = rows.join(class_table(rows, classes), "primary_class").where("score is not null")
         keys = ["category", "reg_number"]
-        return _named(top_k_mean(own, keys, "score", "src_seq"), own, keys)
+        return _named(top_k_mean(own, keys, "score", "src_seq"), own, keys, sport, variant == "calculator")
 
     def single(scores: DataFrame, own: DataFrame, category: str) -> DataFrame:
-        return _named(scores, own, ["reg_number"]).withColumn("category", F.lit(category))
+        return _named(scores, own, ["reg_number"], sport, False).withColumn("category", F.lit(category))
 
     def pairs(standard: str, jumpers: str, category: str) -> DataFrame:
-        own = runs.where(F.col("primary_class").isin(standard, jumpers))
+        own = runs.where(F.col("primary_class").isin(standard, jumpers) & F.col("__speed").isNotNull())
         side = F.when(F.col("primary_class") == standard, 0).when(F.col("primary_class") == jumpers, 1)
         scores = paired_mean(own.withColumn("__day", F.to_date("event_date")), ["reg_number"], ["__day"], side, "__speed", ["src_seq"])
         return single(scores.withColumn("score", round_half_up(F.col("score") / 10_000)), own, category)
 
     def combined(classes: Sequence[str], category: str) -> DataFrame:
-        own = rows.where(F.col("primary_class").isin(*classes)).withColumn("__day", F.to_date("event_date"))
+        own = rows.where(F.col("primary_class").isin(*classes) & F.col("score").isNotNull()).withColumn("__day", F.to_date("event_date"))
         return single(all_present_mean(own, ["reg_number"], ["event_name", "__day"], "primary_class", classes, "score"), own, category)
 
     def legs(standard: Sequence[str], jumpers: Sequence[str], category: str) -> DataFrame:
-        own = rows.where(F.col("primary_class").isin(*standard, *jumpers)).withColumn("__day", F.to_date("event_date"))
+        own = rows.where(F.col("primary_class").isin(*standard, *jumpers) & F.col("score").isNotNull()).withColumn("__day", F.to_date("event_date"))
         side = F.when(F.col("primary_class").isin(*standard), 0).otherwise(1)
         return single(first_n_mean(own, ["reg_number"], side, "score", ["__day", "src_seq"]), own, category)
 
@@ -143,13 +156,22 @@ def standings(results: DataFrame, sport: str, *, variant: str = "calculator") ->
         out = out.unionByName(more, allowMissingColumns=True)
     if "tie_value" not in out.columns:
         out = out.withColumn("tie_value", F.lit(0.0))
-    place = Window.partitionBy("category").orderBy(F.desc("score"), F.desc(F.coalesce("tie_value", F.lit(0.0))), "first_seq")
-    return out.select("category", "reg_number", "dog", "score", "legs", F.coalesce("tie_value", F.lit(0.0)).alias("tie_value"), F.row_number().over(place).alias("rank"), "last_seq")
+    ties = [F.desc("dog"), F.col("first_seq")] if variant == "validator" else [F.col("first_seq")]
+    place = Window.partitionBy("category").orderBy(F.desc("score"), F.desc(F.coalesce("tie_value", F.lit(0.0))), *ties)
+    return out.select("category", "reg_number", "dog", "owners", "score", "legs", F.coalesce("tie_value", F.lit(0.0)).alias("tie_value"), F.row_number().over(place).alias("rank"), "last_seq")
+
+
+# What stands beside a category's name.
+SUFFIXES = {
+    "Preferred ESS of the Year": "  (total qualifying Preferred runs · ties by YPS)", "ESS of the Year": "  (avg YPS, fastest 10 QQs · min 10 QQs)",
+    "Novice": "  (avg of first 6: 3 Standard + 3 Jumpers)", "Open": "  (avg of first 6: 3 Standard + 3 Jumpers)", "Excellent A": "  (highest average score)",
+}
+COMBINED_SUFFIX = "  (combined classes, best 5 trials — DRAFT, pending confirmation)"
 
 
 def report(spark, sport: str, scores: DataFrame) -> DataFrame:
-    """Every category of a sport in its order, those without a qualifier with null columns."""
-    order = spark.createDataFrame(list(enumerate(ORDER[sport], 1)), "order_idx int, category string")
+    """Every category of a sport in its order with its heading's suffix and metric, those without a qualifier with null columns."""
+    order = spark.createDataFrame([(i, c, COMBINED_SUFFIX if c.startswith("High ") else SUFFIXES.get(c, "") if sport == "Agility" else "") for i, c in enumerate(ORDER[sport], 1)], "order_idx int, category string, suffix string")
     metric = F.when(F.col("category") == "Preferred ESS of the Year", "# Qual. Runs").when(F.col("category") == "ESS of the Year", "Avg YPS").otherwise("Avg Score")
     return order.join(scores, "category", "left").withColumn("metric", metric).orderBy("order_idx", "rank")
 
@@ -159,3 +181,15 @@ def owner_cell(owners: Column, is_member: Column) -> Column:
     from ..functions.text import last_name
 
     return F.array_join(F.zip_with(owners, is_member, lambda o, m: F.concat(last_name(o), F.when(m, "*").otherwise(""))), "/")
+
+
+def with_owner_cells(scores: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``owner``: the cell of each row's ``owners``; a member is known by the whole name, or first and last word (``members``: key)."""
+    from ..functions.text import first_last, norm_key
+    from .assign import mark_members
+
+    each = scores.select(*keys, F.posexplode("owners").alias("__at", "__owner"))
+    marked = mark_members(each.withColumns({"__whole": norm_key("__owner"), "__ends": first_last("__owner")}), ["__whole", "__ends"], members, "key")
+    listed = F.array_sort(F.collect_list(F.struct("__at", "__owner", "is_member")))
+    cells = marked.groupBy(*keys).agg(listed.alias("__list")).select(*keys, owner_cell(F.transform("__list", lambda x: x["__owner"]), F.transform("__list", lambda x: x["is_member"])).alias("owner"))
+    return scores.join(cells, list(keys), "left").withColumn("owner", F.coalesce("owner", F.lit("")))

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,38 +16,34 @@ from .assign import nearest_in
 PAGE = ("file", "page")
 
 
-def _greedy(tops: list[float], tolerance: float) -> list[int]:
-    """The line of each word in order: the first line whose running mean is near, else a new one."""
-    means: list[float] = []
-    counts: list[int] = []
-    out = []
-    for top in tops:
-        line = next((k for k, m in enumerate(means) if abs(m - top) <= tolerance), None)
-        if line is None:
-            line = len(means)
-            means.append(top)
-            counts.append(1)
-        else:
-            means[line] = (means[line] * counts[line] + top) / (counts[line] + 1)
-            counts[line] += 1
-        out.append(line)
-    return out
-
-
 def visual_lines(words: DataFrame, *, tolerance: float = 3.0, keys: Sequence[str] = PAGE) -> DataFrame:
-    """Words with ``line_top`` and ``line_no``: each joins the first line whose mean height is within the tolerance."""
-    keys, columns = list(keys), words.columns
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(__r=pdf["top"].round(1)).sort_values(["__r", "x0", "word_seq"], kind="stable")
-        pdf["__line"] = _greedy(pdf["top"].tolist(), tolerance)
-        pdf["line_top"] = pdf.groupby("__line")["top"].transform("mean")
-        order = pdf.drop_duplicates("__line").sort_values(["line_top", "__line"], kind="stable")["__line"]
-        pdf["line_no"] = pdf["__line"].map({line: i for i, line in enumerate(order)}).astype("int32")
-        return pdf.drop(columns=["__r", "__line"])[[*columns, "line_top", "line_no"]]
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields)
-    return words.groupBy(*keys).applyInPandas(page, f"{fields}, line_top double, line_no int")
+    """Words with ``line_top`` and ``line_no``: each joins the first line whose mean height is within the tolerance.
+
+    A page (its words are few) is one array, folded in order of height; the
+    state holds the lines begun so far as (sum, count) and each word's line.
+    """
+    keys, rest = list(keys), [c for c in words.columns if c not in keys]
+    word = F.struct(F.round("top", 1).alias("__r"), "x0", "word_seq", F.struct(*rest).alias("__row"))
+    pages = words.groupBy(*keys).agg(F.array_sort(F.collect_list(word)).alias("__words"))
+    start = F.struct(F.array().cast("array<struct<s:double,n:int>>").alias("lines"), F.array().cast("array<int>").alias("at"))
+
+    def step(state: Column, w: Column) -> Column:
+        top = w["__row"]["top"].cast("double")
+        near = F.transform(state["lines"], lambda x: F.abs(x["s"] / x["n"] - top) <= tolerance)
+        found = F.array_position(near, True).cast("int")  # from 1; 0: none
+        line = F.when(found > 0, found).otherwise(F.size(state["lines"]) + 1)
+        added = F.transform(state["lines"], lambda x, i: F.when(i + 1 == found, F.struct((x["s"] + top).alias("s"), (x["n"] + 1).alias("n"))).otherwise(x))
+        begun = F.when(found > 0, added).otherwise(F.concat(state["lines"], F.array(F.struct(top.alias("s"), F.lit(1).alias("n")))))
+        return F.struct(begun.alias("lines"), F.concat(state["at"], F.array(line)).alias("at"))
+
+    pages = pages.withColumn("__fold", F.aggregate("__words", start, step))
+    means = F.transform(F.col("__fold.lines"), lambda x: x["s"] / x["n"])
+    order = F.array_sort(F.transform(means, lambda m, i: F.struct(m.alias("m"), (i + 1).alias("i"))))
+    pages = pages.withColumns({"__means": means, "__order": F.transform(order, lambda o: o["i"])})
+    out = pages.select(*keys, "__means", "__order", F.explode(F.arrays_zip(F.col("__words"), F.col("__fold.at").alias("at"))).alias("__w"))
+    at = F.col("__w.at")
+    placed = out.select(*keys, F.col("__w.__words.__row").alias("__row"), F.element_at("__means", at).alias("line_top"), (F.array_position("__order", at) - 1).cast("int").alias("line_no"))
+    return placed.select(*(F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in words.columns), "line_top", "line_no")
 
 
 def session_lines(words: DataFrame, *, tolerance: float = 3.0, keys: Sequence[str] = PAGE) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import LEAD_TITLE, name_core
+from .assign import by_position
 
 # Agility years whose owners cannot be told.
 OWNERLESS_YEARS = (2013, 2015, 2019)
@@ -54,7 +55,7 @@ def same_dog(a: Column, b: Column) -> Column:
 
 
 def status(category: Column, official_dog: Column, official_score: Column, computed_dog: Column, computed_score: Column, has_official: Column, has_computed: Column) -> Column:
-    """What an official and a computed position say about each other."""
+    """What an official and a computed position say about each other (the texts are fixed values)."""
     number = F.abs(official_score.try_cast("double") - computed_score.try_cast("double")) < 0.05
     dog = same_dog(official_dog, computed_dog)
     combined = category.contains("High Combined") | category.contains("High Triple") | (category == "Open B/Utility A or B")
@@ -63,6 +64,30 @@ def status(category: Column, official_dog: Column, official_score: Column, compu
     return F.when(has_official & has_computed, two).when(has_official, one).otherwise("＋ computed, missing from our PDF parse")
 
 
+def official(sports: DataFrame, sport: str, year: int) -> DataFrame:
+    """A sport's published rows of a year: category without its division, in order of rank, dog and score (``seq``)."""
+    rows = sports.where((F.col("sport") == sport) & (F.col("year").cast("int") == year)).withColumn("category", F.element_at(F.split("category", ": "), -1))
+    return rows.withColumn("seq", F.row_number().over(Window.partitionBy("category").orderBy("rank", "dog", "score")))
+
+
+def category_order(first: DataFrame, second: DataFrame, order: str) -> DataFrame:
+    """All categories of two tables, those of the first by where they begin, then those only the second has: ``category, order_idx``."""
+    seen = first.groupBy("category").agg(F.min(order).alias("at")).withColumn("side", F.lit(0)).unionByName(second.groupBy("category").agg(F.min(order).alias("at")).withColumn("side", F.lit(1)))
+    return seen.groupBy("category").agg(F.min(F.struct("side", "at")).alias("order_idx"))
+
+
+def comparison(published: DataFrame, computed: DataFrame) -> DataFrame:
+    """Published and computed rows of each category side by side, by position, with what they say about each other.
+
+    ``published`` has ``category, seq, dog, score``, ``computed`` has ``category,
+    rank, dog, score``; scores are compared as printed.
+    """
+    text = lambda c: F.col(c).cast("string").alias("score")
+    both = by_position(published.select("category", "seq", "dog", text("score")), computed.select("category", "rank", "dog", text("score")), ["category"], ["seq"], ["rank"])
+    said = status(F.col("category"), F.col("l.dog"), F.col("l.score"), F.col("r.dog"), F.col("r.score"), F.col("l").isNotNull(), F.col("r").isNotNull())
+    return both.select("category", F.col("position").alias("rank"), F.col("l.dog").alias("official_dog"), F.col("l.score").alias("official_score"), F.col("r.dog").alias("computed_dog"), F.col("r.score").alias("computed_score"), said.alias("status"))
+
+
 def tally(rows: DataFrame) -> DataFrame:
     """How many rows have each kind of status (its first sign), the most frequent first."""
     return rows.groupBy(F.split("status", " ")[0].alias("kind")).count().orderBy(F.desc("count"), "kind")

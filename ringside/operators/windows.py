@@ -85,3 +85,10 @@ def coverage_note(parsed: Column | str, raw: Column | str, *, least: float = 0.6
     share = F.floor(F.lit(100) * p / r + 0.5).cast("int").cast("string")
     some = F.concat(F.lit("parsed "), p.cast("string"), F.lit("/"), r.cast("string"), F.lit(" ~ "), share, F.lit("%"))
     return F.when((p == 0) & (r > 0), "has data, none parsed").when((r > 0) & (p < least * r), some).otherwise("")
+
+
+def recon(parsed: DataFrame, raw: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows parsed beside data lines counted of each raw file, 0 where there are none, with a note on what is missing."""
+    have = parsed.groupBy(*keys).agg(F.count("*").alias("parsed"))
+    out = raw.groupBy(*keys).agg(F.count("*").alias("raw")).join(have, list(keys), "left").withColumn("parsed", F.coalesce("parsed", F.lit(0)))
+    return out.withColumn("note", coverage_note("parsed", "raw"))

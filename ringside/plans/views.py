@@ -60,6 +60,12 @@ def ordering(spec: ViewSpec, state: ViewState) -> list[Column]:
     return [x.desc_nulls_last() if state.descending else x.asc_nulls_last(), F.col(spec.key)]
 
 
+def newest_first(year: Column, rank: Column, order: str) -> list[Column]:
+    """The order in which a view stands at first: the latest year, then the number of the rank's label, then as stored."""
+    digits = lambda c: F.coalesce(F.regexp_replace(c.cast("string"), r"\D", "").try_cast("int"), F.lit(0))
+    return [F.when(year.cast("string").rlike(r"^\d+$"), year.cast("int")).otherwise(0).desc(), digits(rank), F.col(order)]
+
+
 def query(df: DataFrame, spec: ViewSpec, state: ViewState) -> DataFrame:
     """One page of a view, sorted. The page is a limit with an offset, so no row is numbered."""
     out = filtered(df, spec, state).orderBy(*ordering(spec, state)).offset((max(1, state.page) - 1) * state.size).limit(state.size)
@@ -108,6 +114,18 @@ def payload(df: DataFrame, spec: ViewSpec, headers: tuple[str, ...], label: str,
 
 
 def missing_years(df: DataFrame, kind: str, year: str) -> DataFrame:
-    """Years within the span of all kinds that a kind has no row of."""
-    span = df.agg(F.min(year).alias("lo"), F.max(year).alias("hi")).select(F.explode(F.sequence("lo", "hi")).alias(year))
-    return df.select(kind).distinct().join(span).join(df.select(kind, year).distinct(), [kind, year], "left_anti")
+    """Years within the span of all kinds that a kind has no row of (as many rows as kinds have years to miss)."""
+    span = df.agg(F.sequence(F.min(year), F.max(year)).alias("__span"))  # one row
+    kinds = df.groupBy(kind).agg(F.collect_set(year).alias("__have")).join(F.broadcast(span))
+    return kinds.select(kind, F.explode(F.array_except("__span", "__have")).alias(year))
+
+
+def span(df: DataFrame, year: str) -> DataFrame:
+    """One row: the first and last year, how many years there are, and all rows."""
+    return df.agg(F.min(year).alias("first_year"), F.max(year).alias("last_year"), F.countDistinct(year).alias("n_years"), F.count("*").alias("n_rows"))
+
+
+def ownerless(df: DataFrame, kind: str, year: str, owner: str) -> DataFrame:
+    """Years of a kind none of whose rows has an owner."""
+    some = F.bool_or(F.coalesce(F.trim(owner), F.lit("")) != "")
+    return df.groupBy(kind, year).agg(some.alias("__some")).where("not __some").select(kind, year)

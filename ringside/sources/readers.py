@@ -63,7 +63,7 @@ def results(cells: DataFrame) -> DataFrame:
     """Typed results from sheets' ``file, row_no, cells``: the first row with a cell ``Reg Number`` names the columns.
 
     Later rows without a first cell are left out; of repeated headers the last
-    counts; ``src_seq`` numbers rows within a sheet.
+    counts; ``src_seq`` is unique over all sheets and ascends within each.
     """
     clean = F.transform("cells", plain)
     rows = cells.select("file", "row_no", clean.alias("c"))
@@ -72,7 +72,8 @@ def results(cells: DataFrame) -> DataFrame:
     last = lambda name: F.size("head") - F.array_position(F.reverse("head"), name) + 1
     cell = lambda name: F.when(F.array_contains("head", name), F.nullif(F.try_element_at("c", last(name).cast("int")), F.lit("")))
     typed = {"score": loose_num, "course_distance": loose_num, "dog_time": loose_num, "event_date": lambda x: F.substring(x, 1, 10).try_cast("date")}
-    return body.select("file", F.col("row_no").cast("long").alias("src_seq"), *(typed.get(c, lambda x: x)(cell(h)).alias(c) for h, c in SHEET.items()))
+    place = F.shiftleft(F.xxhash64("file").bitwiseAND(F.lit((1 << 31) - 1)), 32) + F.col("row_no")
+    return body.select("file", place.alias("src_seq"), *(typed.get(c, lambda x: x)(cell(h)).alias(c) for h, c in SHEET.items()))
 
 
 def members(spark: SparkSession, path: str | None) -> DataFrame:

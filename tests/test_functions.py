@@ -37,12 +37,14 @@ def test_other_numbers(spark):
         ("BEAR'S MACHINE", "Bear's MacHine"), ("MCGRADY II UDX9", "McGrady II UDX9"), ("", ""), (None, None),
     ],
 )
-def test_title_name(name, want):
-    assert C.title_name(name) == want
+def test_title_name(spark, name, want):
+    assert one(spark, C.tc_name(F.col("t")), t=name) == want
 
 
 def test_title_columns(spark):
-    assert C.title_owner("*K. R. MCLOREN/L. O'KIRK, JR.") == "*K. R. McLoren/L. O'Kirk, Jr."
+    assert one(spark, C.tc_owner(F.col("t")), t="*K. R. MCLOREN/L. O'KIRK, JR.") == "*K. R. McLoren/L. O'Kirk, Jr."
+    assert one(spark, C.tc_name(F.col("t")), t="A SEA DOG") == "A SEA Dog" and one(spark, C.tc_name(F.col("t")), t="  ") == ""
+    assert one(spark, C.tc_owner(F.col("t")), t="MACDUFF-MCKAY III/.") == "MacDuff-McKay III/."
     assert one(spark, C.tc_name(F.col("t")), t="CH SEA DOG") == "CH Sea Dog" and one(spark, C.tc_owner(F.col("t")), t=None) is None
 
 
