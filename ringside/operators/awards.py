@@ -74,7 +74,7 @@ def first_n_mean(df: DataFrame, keys: Sequence[str], side: Column, score: str, o
 
 def count_ranked(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """How many rows each key has, and the mean of its values for ties; ranked by both, then the key."""
-    micro = (round_half_up(value, 6) * 1_000_000).cast("long")  # the mean is rounded, not what it is of
+    micro = F.floor(F.col(value) * 1_000_000 + 0.5)  # the mean is rounded, not what it is of
     out = df.groupBy(*keys).agg(F.count("*").alias("legs"), F.coalesce(F.sum(micro), F.lit(0)).alias("__sum"), F.count(value).alias("__k"))
     n = F.col("__k") * 10_000
     out = out.select(*keys, "legs", F.when(F.col("__k") > 0, F.floor((F.col("__sum") * 2 + n) / (n * 2)) / 100.0).otherwise(0.0).alias("tie_value"))
@@ -112,7 +112,7 @@ def standings(results: DataFrame, sport: str, *, variant: str = "calculator") ->
     their first results, with the validator by name, the last first.
     """
     rows = results.where(F.col("placement").isin(*QUALIFYING))
-    runs = rows.withColumn("__speed", (round_half_up(speed("course_distance", "dog_time"), 6) * 1_000_000).cast("long"))
+    runs = rows.withColumn("__speed", F.floor(speed("course_distance", "dog_time") * 1_000_000 + 0.5))
 
     def best(classes: dict[str, str]) -> DataFrame:
         own = rows.join(class_table(rows, classes), "primary_class").where("score is not null")

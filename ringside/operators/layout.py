@@ -30,11 +30,13 @@ def visual_lines(words: DataFrame, *, tolerance: float = 3.0, keys: Sequence[str
     def step(state: Column, w: Column) -> Column:
         top = w["__row"]["top"].cast("double")
         near = F.transform(state["lines"], lambda x: F.abs(x["s"] / x["n"] - top) <= tolerance)
-        found = F.array_position(near, True).cast("int")  # from 1; 0: none
-        line = F.when(found > 0, found).otherwise(F.size(state["lines"]) + 1)
-        added = F.transform(state["lines"], lambda x, i: F.when(i + 1 == found, F.struct((x["s"] + top).alias("s"), (x["n"] + 1).alias("n"))).otherwise(x))
-        begun = F.when(found > 0, added).otherwise(F.concat(state["lines"], F.array(F.struct(top.alias("s"), F.lit(1).alias("n")))))
-        return F.struct(begun.alias("lines"), F.concat(state["at"], F.array(line)).alias("at"))
+
+        def joined(found: Column) -> Column:  # from 1; 0: none
+            added = F.transform(state["lines"], lambda x, i: F.when(i + 1 == found, F.struct((x["s"] + top).alias("s"), (x["n"] + 1).alias("n"))).otherwise(x))
+            begun = F.concat(state["lines"], F.array(F.struct(top.alias("s"), F.lit(1).alias("n"))))
+            return F.struct(F.when(found > 0, added).otherwise(begun).alias("lines"), F.concat(state["at"], F.array(F.when(found > 0, found).otherwise(F.size(state["lines"]) + 1))).alias("at"))
+
+        return F.get(F.transform(F.array(F.array_position(near, True).cast("int")), joined), 0)  # names the place once
 
     pages = pages.withColumn("__fold", F.aggregate("__words", start, step))
     means = F.transform(F.col("__fold.lines"), lambda x: x["s"] / x["n"])

@@ -16,7 +16,7 @@ from .functions import numbers as N
 from .functions import text as T
 from .functions.titlecase import tc_name, tc_owner
 from .operators import assign, awards, layout, quality, windows
-from .plans import views
+from .plans import store, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -243,12 +243,14 @@ def positional_compare(spark, sf_dir):
 
 
 @query("""
-SELECT 'Customer' AS sport, c_nationkey AS year, c_name AS name, c_acctbal AS score FROM customer UNION ALL SELECT 'Supplier', s_nationkey, s_name, s_acctbal FROM supplier
+SELECT 'Conformation' AS sport, c_nationkey AS year, 'Q1' AS quarter, c_mktsegment AS category, 1 AS rank, '' AS tie, c_name AS name, '' AS owner, CAST(c_custkey AS DOUBLE) AS score FROM customer
+UNION ALL SELECT 'Rally', s_nationkey, 'Q2', 'Novice A', 2, 'T', s_name, 'x', s_acctbal FROM supplier
 """)
 def unified_view(spark, sf_dir):
-    """Two tables in one shape."""
-    a = _t(spark, sf_dir, "customer").select(F.lit("Customer").alias("sport"), F.col("c_nationkey").alias("year"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("score"))
-    return a.unionByName(_t(spark, sf_dir, "supplier").select(F.lit("Supplier").alias("sport"), F.col("s_nationkey").alias("year"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("score")))
+    """Conformation and sports rows in one shape; a total is read as the number it begins with."""
+    a = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("year"), F.lit("Q1").alias("quarter"), F.col("c_mktsegment").alias("section"), F.lit(1).alias("rank"), F.lit("").alias("tie"), F.col("c_name").alias("name"), F.lit("").alias("owner"), F.concat(F.col("c_custkey").cast("string"), F.lit("/3")).alias("total"))
+    b = _t(spark, sf_dir, "supplier").select(F.lit("Rally").alias("sport"), F.col("s_nationkey").alias("year"), F.lit("Q2").alias("quarter"), F.lit("Novice A").alias("category"), F.lit(2).alias("rank"), F.lit("T").alias("tie"), F.col("s_name").alias("dog"), F.lit("x").alias("owner"), F.col("s_acctbal").alias("score"))
+    return store.rankings(a, b)
 
 
 @query("""
@@ -339,15 +341,9 @@ def stat_pivot(spark, sf_dir):
 
 
 @query(r"""
-SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' (mr|mrs|ms|dr|miss)( (mr|mrs|ms|dr|miss))* ', ' ', 'g')) AS key FROM documents WHERE NOT regexp_matches(lower(text), '(mr|mrs|ms|dr|miss)')
+SELECT doc_id, array_to_string(list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN ('mr', 'mrs', 'ms', 'dr', 'miss')), ' ') AS key FROM documents
 """)
 def norm_key(spark, sf_dir):
-    """Documents without honorifics as keys of plain words (``norm_key_all`` takes every document)."""
-    return _t(spark, sf_dir, "documents").where(~F.lower("text").rlike("(mr|mrs|ms|dr|miss)")).select("doc_id", T.norm_key("text").alias("key"))
-
-
-@query()
-def norm_key_all(spark, sf_dir):
     """All documents, null texts too, as keys of plain words without honorifics."""
     return _t(spark, sf_dir, "documents").select("doc_id", T.norm_key("text").alias("key"))
 
@@ -374,10 +370,10 @@ def member_mark(spark, sf_dir):
     return assign.mark_members(rows, ["key"], _t(spark, sf_dir, "supplier").select(key("s_name").alias("k")), "k").select("c_custkey", "is_member")
 
 
-@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT 3")
+@query("SELECT event_type, count(*) AS n_rows FROM events GROUP BY event_type")
 def event_counts(spark, sf_dir):
-    """The three most frequent kinds of events (a report of the top is the feature)."""
-    return _t(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users")).orderBy(F.desc("n"), "event_type").limit(3)
+    """How many events there are of each kind."""
+    return store.counts(_t(spark, sf_dir, "events"), "event_type")
 
 
 @query("""
@@ -420,20 +416,48 @@ def session_lines(spark, sf_dir):
     return layout.session_lines(words, tolerance=3000, keys=["page"]).select("page", "seq", "line_no")
 
 
-@query()
+@query("""
+WITH RECURSIVE w AS (SELECT o_custkey AS page, o_orderkey AS word_seq, o_totalprice AS top, row_number() OVER (PARTITION BY o_custkey ORDER BY round(o_totalprice, 1), o_orderkey) AS i FROM orders),
+ f AS (
+  SELECT page, CAST(1 AS BIGINT) AS i, word_seq, top, [top] AS s, [1] AS n, 1 AS line FROM w WHERE i = 1
+  UNION ALL
+  SELECT page, i, word_seq, top, CASE WHEN hit IS NULL THEN list_append(s, top) ELSE list_transform(s, lambda x, k: CASE WHEN k = hit THEN x + top ELSE x END) END,
+    CASE WHEN hit IS NULL THEN list_append(n, 1) ELSE list_transform(n, lambda x, k: CASE WHEN k = hit THEN x + 1 ELSE x END) END, coalesce(hit, len(s) + 1)
+  FROM (SELECT w.page, w.i, w.word_seq, w.top, f.s, f.n, nullif(list_position(list_transform(f.s, lambda x, k: abs(x / f.n[k] - w.top) <= 3000), true), 0) AS hit FROM f JOIN w ON w.page = f.page AND w.i = f.i + 1)),
+ e AS (SELECT page, arg_max(s, i) AS s, arg_max(n, i) AS n FROM f GROUP BY page),
+ m AS (SELECT f.page, f.word_seq, f.top, f.line, e.s[f.line] / e.n[f.line] AS line_top FROM f JOIN e ON e.page = f.page)
+SELECT page, word_seq, top, floor(line_top * 100 + 0.5) / 100 AS line_top, CAST(dense_rank() OVER (PARTITION BY page ORDER BY line_top, line) - 1 AS INTEGER) AS line_no FROM m
+""")
 def visual_lines(spark, sf_dir):
-    """A customer's orders in lines by running means of totals (a running mean has no SQL)."""
+    """A customer's orders in lines by running means of totals."""
     words = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("page"), F.col("o_orderkey").alias("word_seq"), F.col("o_totalprice").alias("top"), F.lit(0.0).alias("x0"))
-    return layout.visual_lines(words, tolerance=3000.0, keys=["page"])
+    return layout.visual_lines(words, tolerance=3000.0, keys=["page"]).drop("x0").withColumn("line_top", N.round_half_up("line_top"))
 
 
-@query()
+@query("""
+WITH n AS (SELECT p_partkey, p_size, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS nm, upper(p_type[1]) || lower(p_type[2:]) AS ty FROM part)
+SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'CH ' || nm || ' II CD OF' WHEN 1 THEN nm || ' of ' || ty || ' RN RA12' WHEN 2 THEN 'Mc' || nm || ' Sea ' || ty WHEN 3 THEN nm || chr(39) || 's the ' || ty || '-' || ty ELSE nm || ' OA NAJ' END AS name,
+  '*J. ' || nm || '/L. O' || chr(39) || ty || ', Jr.' AS owner FROM n
+""")
 def title_case(spark, sf_dir):
-    """Part and customer names in title case (a state machine over words has no SQL)."""
-    return _t(spark, sf_dir, "part").select("p_partkey", tc_name(F.upper("p_name")).alias("name"), tc_owner(F.upper("p_type")).alias("owner"))
-
-
-@query()
+    """Part names with titles, small words and joints around them, in title case; types as owners."""
+    name, kind, case = F.upper("p_name"), F.upper("p_type"), F.col("p_size") % 5
+    shout = F.when(case == 0, F.concat(F.lit("CH "), name, F.lit(" II CD OF"))).when(case == 1, F.concat(name, F.lit(" OF "), kind, F.lit(" RN RA12"))).when(case == 2, F.concat(F.lit("MC"), name, F.lit(" SEA "), kind))
+    shout = shout.when(case == 3, F.concat(name, F.lit("'S THE "), kind, F.lit("-"), kind)).otherwise(F.concat(name, F.lit(" OA NAJ")))
+    owner = F.concat(F.lit("*J. "), name, F.lit("/L. O'"), kind, F.lit(", JR."))
+    return _t(spark, sf_dir, "part").select("p_partkey", tc_name(shout).alias("name"), tc_owner(owner).alias("owner"))
+
+
+@query(rf"""
+WITH w AS (SELECT doc_id, list_filter(string_split(regexp_replace(replace(replace(coalesce(text, ''), chr(160), ' '), chr(8217), chr(39)), '[^A-Za-z\x27 &-]', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM documents),
+ t AS (SELECT doc_id, w, list_transform(w, lambda x: regexp_matches(x, '{T.CORE_TITLES}')) AS t FROM w),
+ i AS (SELECT doc_id, w, t, nullif(coalesce(list_position(t, false), 0), 0) AS i FROM t),
+ j AS (SELECT doc_id, w, i, nullif(coalesce(list_position(t[i:], true), 0), 0) AS j FROM i)
+SELECT doc_id, CASE WHEN i IS NULL THEN '' ELSE regexp_replace(lower(array_to_string(w[i:coalesce(i + j - 2, len(w))], '')), '[^a-z]', '', 'g') END AS core FROM j
+""")
 def name_cores(spark, sf_dir):
-    """Texts reduced to the words before their first title (a fold over words has no SQL)."""
+    """Texts reduced to the words before their first title."""
     return _t(spark, sf_dir, "documents").select("doc_id", T.name_core("text").alias("core"))
+
+
+from . import queries_reports  # noqa: E402, F401  (registers its queries here)
