@@ -676,8 +676,9 @@ def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_
     """``docs`` without the words of passages that a smaller document holds; the columns stay.
 
     Between the words that remain the text is as it was, and each cut leaves
-    the white space before it. Null texts stay null. A row whose passages
-    cover it keeps an empty text.
+    the white space before it. Null texts stay null, rows without id stay as
+    they are. A row whose passages cover it keeps an empty text. Repeated rows
+    are cut alike; an empty table stays empty.
     """
     bounded_batches(docs.sparkSession)
     spans = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
@@ -693,9 +694,23 @@ def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_
             columns[where] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
+    # only texts that may have passages are shuffled: a bitmap of fixed size tells most others
+    slots, slot = id_filter(spans, "doc_id")
+    marked = docs.withColumn("__passage_slot", F.coalesce(slot(F.col(id_column).cast("long")), F.lit(-1).cast("long")))
+
+    def some(wanted: bool):
+        def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = batch.column(batch.num_columns - 1).to_numpy()
+                held = (at >= 0) & may_hold(slots.value, np.maximum(at, 0))
+                yield batch.filter(pa.array(held == wanted)).select(batch.schema.names[:-1])
+
+        return marked.mapInArrow(keep, schema)
+
     key = "__passage_doc"
-    joined = docs.join(spans.select(F.col("doc_id").alias(key), F.col("spans").alias("__spans")), docs[id_column].cast("long") == F.col(key), "left").drop(key)
-    return joined.mapInArrow(run, schema)
+    held = some(True)
+    joined = held.join(spans.select(F.col("doc_id").alias(key), F.col("spans").alias("__spans")), held[id_column].cast("long") == F.col(key), "left").drop(key)
+    return some(False).unionByName(joined.mapInArrow(run, schema))
 
 
 def remove_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -144,6 +144,9 @@ def test_cut(spark):
     assert cut.columns == df.columns
     out = {r.doc_id: r.text for r in cut.collect()}
     assert len(out) == df.count() and out[95] is None and out[1] == " ".join(docs[1]).replace("v1", "V1")
+    twice = chaining.cut_passages(df.union(df), chaining.repeated_passages(df))
+    assert twice.count() == 2 * df.count() and chaining.cut_passages(df.limit(0), chaining.repeated_passages(df)).count() == 0
+    assert chaining.cut_passages(df, chaining.repeated_passages(df.limit(0))).count() == df.count()
     for own in truth.values():
         for k, (d, s, e) in enumerate(sorted(own)):
             left = len(out[d].split())
