@@ -35,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
     kept = docs.join(others, docs["doc_id"].cast("long") == F.col("__copy"), "left_anti")
     again = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("__again", again).where("doc_id is null or __again = 1").drop("__again")
+    known = kept.where("doc_id is not null").withColumn("__again", again).where("__again = 1").drop("__again")
+    return known.unionByName(kept.where("doc_id is null"))  # these are not brought together
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
