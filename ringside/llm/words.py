@@ -8,6 +8,7 @@ Words and shingles are named by 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,24 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]] if len(at) else raw[:0], at - at[0]
 
 
+def _allocator():
+    """The C library, if it can give freed memory back to the system."""
+    try:
+        return ctypes.CDLL(None, use_errno=False).malloc_trim
+    except (OSError, AttributeError):
+        return None
+
+
+_TRIM = _allocator()
+
+
+def release_memory() -> None:
+    """Give memory that a batch has freed back to the system: workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Runs [i, j) of texts of at most ``limit`` bytes together, or one longer text."""
     i, n = 0, len(offsets) - 1
@@ -69,6 +88,7 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+    release_memory()
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
