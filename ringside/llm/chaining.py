@@ -56,6 +56,8 @@ SPLIT = 12
 JOIN_BYTES = 4_000_000
 #: Bytes of text whose seeds share a bucket, about, and buckets of a partition.
 BUCKET_BYTES, PARTITION_BUCKETS = 32_000_000, 8
+#: A bucket has so many bytes of text at least, lest cells be a few seeds each.
+LEAST_BUCKET = 200_000
 #: Bits of a seed's name within its bucket.
 NAME_BITS = 40
 #: Words around a chain that are looked at first, by one byte each, and those that are aligned first.
@@ -641,7 +643,7 @@ def repeated_passages(docs: DataFrame, *, id_column: str = "doc_id", text_column
     rows = docs.selectExpr(f"cast(`{id_column}` as long) doc_id", f"cast(`{text_column}` as string) text").where("doc_id is not null")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // (BUCKET_BYTES * PARTITION_BUCKETS))
-    bits = min(20, max(1, (PARTITION_BUCKETS * parts - 1).bit_length()))
+    bits = min(20, max(1, (min(PARTITION_BUCKETS * parts, size // LEAST_BUCKET) - 1).bit_length()))
 
     def found(cells: DataFrame, seeds: int) -> DataFrame:
         answers = cells.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_answers, _ANSWERS)
