@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import Tables, bounded_batches, id_filter, may_hold
+from .storage import Tables, bounded_batches, filter_words, id_filter, may_hold, split_by_ids
 from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
 
 K = SHINGLE
@@ -697,22 +697,18 @@ def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     # only texts that may have passages are shuffled: a bitmap of fixed size tells most others
-    slots, slot = id_filter(spans, "doc_id")
-    marked = docs.withColumn("__passage_slot", F.coalesce(slot(F.col(id_column).cast("long")), F.lit(-1).cast("long")))
-
-    def some(wanted: bool):
-        def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.column(batch.num_columns - 1).to_numpy()
-                held = (at >= 0) & may_hold(slots.value, np.maximum(at, 0))
-                yield batch.filter(pa.array(held == wanted)).select(batch.schema.names[:-1])
-
-        return marked.mapInArrow(keep, schema)
-
-    key = "__passage_doc"
-    held = some(True)
-    joined = held.join(spans.select(F.col("doc_id").alias(key), F.col("spans").alias("__spans")), held[id_column].cast("long") == F.col(key), "left").drop(key)
-    return some(False).unionByName(joined.mapInArrow(run, schema))
+    own = F.col(f"`{id_column}`").cast("long")
+    held, others = split_by_ids(docs, own, filter_words(spans, "doc_id"))
+    key, cuts = (_free(docs, x) for x in ("__passage_doc", "__passage_spans"))
+    joined = held.join(spans.select(F.col("doc_id").alias(key), F.col("spans").alias(cuts)), own == F.col(key), "left").drop(key)
+    return others.unionByName(joined.mapInArrow(run, schema))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
 
 
 def remove_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -100,6 +100,33 @@ def _slot(column):
     return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
 
 
+def filter_words(ids: DataFrame, column: str) -> DataFrame:
+    """The set words ``(w, b)`` of a bitmap of every id of ``column``: at most 2**19 rows, whatever the number of ids."""
+    slot = _slot(F.col(column))
+    return (
+        ids.where(F.col(column).isNotNull())
+        .select(F.shiftright(slot, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), {1 << FILTER_BITS}) & 63 as int))").alias("b"))
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+    )
+
+
+def split_by_ids(rows: DataFrame, key, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` (a long) may be among the ids of ``filter_words``, and those whose key is certainly not.
+
+    The words are broadcast, being of bounded number. Rows without key are
+    certainly not among them. The columns stay.
+    """
+    own = "__filter"
+    while any(c.lower().startswith(own) for c in rows.columns):
+        own += "_"
+    w, b, slot = f"{own}w", f"{own}b", f"{own}slot"
+    marked = rows.withColumn(slot, F.when(key.isNotNull(), _slot(key)))
+    marked = marked.join(F.broadcast(words.select(F.col("w").alias(w), F.col("b").alias(b))), F.shiftright(slot, 6) == F.col(w), "left")
+    bit = F.expr(f"coalesce(shiftright({b}, cast({slot} & 63 as int)) & 1L, 0L)")
+    return tuple(marked.where(bit == v).drop(w, b, slot) for v in (1, 0))
+
+
 def id_filter(ids: DataFrame, column: str):
     """Broadcast a bitmap of fixed size that holds every id of ``column``.
 
@@ -109,18 +136,10 @@ def id_filter(ids: DataFrame, column: str):
     driver nor the broadcast grows with the data; a fuller bitmap only lets
     more rows through to the exact join that follows.
     """
-    spark = ids.sparkSession
-    slot = _slot(F.col(column))
-    words = (
-        ids.where(F.col(column).isNotNull())
-        .select(F.shiftright(slot, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{column}`), {1 << FILTER_BITS}) & 63 as int))").alias("b"))
-        .groupBy("w")
-        .agg(F.bit_or("b").alias("b"))
-        .toArrow()
-    )
+    words = filter_words(ids, column).toArrow()
     table = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
     table[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(table), _slot
+    return ids.sparkSession.sparkContext.broadcast(table), _slot
 
 
 def may_hold(table: np.ndarray, slots: np.ndarray) -> np.ndarray:

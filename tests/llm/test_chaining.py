@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ringside.llm import chaining
 
@@ -147,6 +148,11 @@ def test_cut(spark):
     twice = chaining.cut_passages(df.union(df), chaining.repeated_passages(df))
     assert twice.count() == 2 * df.count() and chaining.cut_passages(df.limit(0), chaining.repeated_passages(df)).count() == 0
     assert chaining.cut_passages(df, chaining.repeated_passages(df.limit(0))).count() == df.count()
+    clash = df.withColumns({c: F.lit(c) for c in ("__passage_doc", "__passage_spans", "__filterw", "__filterslot")}).unionByName(df.where("doc_id = 1").selectExpr("cast(null as long) doc_id", "text"), allowMissingColumns=True)
+    kept = chaining.cut_passages(clash, chaining.repeated_passages(df))
+    assert kept.columns == clash.columns and kept.where("doc_id is null").select("text").first() == df.where("doc_id = 1").select("text").first()
+    assert {r.doc_id: r.text for r in kept.where("doc_id is not null").collect()} == {r.doc_id: r.text for r in cut.collect()}
+    assert all(r["__passage_doc"] == "__passage_doc" and r["__filterslot"] == "__filterslot" for r in kept.where("doc_id is not null").collect())
     for own in truth.values():
         for k, (d, s, e) in enumerate(sorted(own)):
             left = len(out[d].split())
