@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .storage import Tables, bounded_batches, filter_words, id_filter, may_hold, split_by_ids
-from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, word_hashes, word_spans
+from .words import SHINGLE, SLICE_BYTES, mix, shingle_hashes, slices, text_buffer, tidy, word_hashes, word_spans
 
 K = SHINGLE
 MIN_WORDS, MIN_IDENTITY = 50, 0.8
@@ -126,6 +126,7 @@ def _slice_cells(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, bits: int,
 def _seed_cells(bits: int):
     """The cells of all k-mers of texts that can hold a passage."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, mark = 0, xxhash.xxh3_64()
@@ -158,6 +159,7 @@ def _seed_cells(bits: int):
     return run
 
 
+@tidy
 def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: to each slice, of its seeds that two documents hold, the head and the one before.
 
@@ -426,6 +428,7 @@ def _found(bits: int, seeds: int):
         for i in range(0, whole.num_rows, 1000):
             yield whole.slice(i, 1000)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, told, rest = None, [], []
         for batch in batches:
@@ -516,6 +519,7 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int]) -> lis
 def _word_rows(slots, bits: int):
     """(doc, words as hashes of ``bits`` bits) of documents that the filter may hold."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
         for batch in batches:
@@ -554,6 +558,7 @@ def _near_words(column: pa.Array, back: bool) -> tuple[np.ndarray, np.ndarray]:
     return raw[np.clip(place, 0, len(raw) - 1)], step < np.diff(at)[:, None]
 
 
+@tidy
 def _hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The chains that may be passages, by the first bytes of the hashes of words before and after them.
 
@@ -574,6 +579,7 @@ def _hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(some >= LEAST_EQUAL)).select([0, 1, 2, 3])
 
 
+@tidy
 def _align_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of chains (doc, other, pos, other_pos, base, words, length of the text, and the other's); chains whose windows are too short are given back."""
     kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.list_(pa.int32()), pa.list_(pa.int32())]
@@ -686,6 +692,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame, *, id_column: str = "doc_
     spans = passages.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
     schema = docs.schema
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             where = batch.schema.get_field_index(text_column)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .storage import Tables, bounded_batches, id_filter, may_hold
-from .words import SHINGLE, SLICE_BYTES, mix, shingle_sets
+from .words import SHINGLE, SLICE_BYTES, mix, shingle_sets, tidy
 
 #: log2 of the sketch's counters (one byte each when broadcast: 4 MB).
 SKETCH_BITS = 22
@@ -76,6 +76,7 @@ def class_id(own: np.ndarray) -> tuple[int, int]:
 def _fingerprints(size: int):
     """Rows of kind 0 (doc_id, set size, class) and of kind 1 (sketch counter, texts)."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, many, seen = [], 0, set()
 
@@ -125,6 +126,7 @@ def prefix_length(n: int, percent: int) -> int:
 def _postings(sketch, percent: int, size: int):
     """The prefix shingles of each class: (token, salt, cid); a class once a task."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = sketch.value, set()
         for batch in batches:
@@ -155,6 +157,7 @@ def _postings(sketch, percent: int, size: int):
     return run
 
 
+@tidy
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (token, salt, cid): the distinct ones whose token has a second class, or is salted."""
     tail: pa.Table | None = None
@@ -215,6 +218,7 @@ def _reaches(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
 def _members(slots, size: int, arrays: bool):
     """Of classes' representatives, for ids that the filter may hold: (node, n, class, bitmaps or sorted array)."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
         for batch in batches:
@@ -242,6 +246,7 @@ def _member_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _may_link(percent: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb, ba, bb = (batch.column(i).to_pylist() for i in range(2, 6))
@@ -259,6 +264,7 @@ def _may_link(percent: int):
 
 
 def _links(percent: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -301,6 +307,7 @@ class _Comparison:
 def _blocks(percent: int):
     """Of tiles' rows sorted by tile: pairs of different components whose bitmaps allow a link."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 

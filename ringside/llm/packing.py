@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .encoders import encoder
 from .storage import bounded_batches, stored
-from .words import slices, text_buffer
+from .words import slices, text_buffer, tidy
 
 #: Partitions that a round merges into one.
 FAN_IN = 8
@@ -74,6 +74,7 @@ _KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()
 
 
 def _pieces(tokenizer_path: str, capacity: int, end_id: int):
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
@@ -120,6 +121,7 @@ def _round(level: int, capacity: int, final: bool):
     """A task's packing of bins (rows used, pieces) into new bins."""
     full = capacity - int(capacity * SLACK)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
         held: list[pa.RecordBatch] = []

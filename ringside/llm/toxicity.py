@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import bounded_batches
+from .words import tidy
 
 #: Labelled rows of each class, at most, that counts and curve are fitted on.
 SAMPLE = 6_000
@@ -144,6 +145,7 @@ def _texts(column: pa.Array) -> Iterator[str | None]:
         yield from column.slice(i, 256).to_pylist()
 
 
+@tidy
 def _class_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and ordinary texts hold each word, in parts of at most about ``PART_WORDS`` words."""
     count: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -196,6 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, parts: int = 4, part: int = 2, sa
     model = Model(levels, totals.get(1, 0) / many if many else 0.0)
     sent = spark.sparkContext.broadcast(model)
 
+    @tidy
     def evidence(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             e = [sent.value.evidence(t) for t in _texts(batch.column(0))]
@@ -224,6 +227,7 @@ def score_texts(docs: DataFrame, model: Model, *, threshold: float = 0.3, parts:
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
@@ -244,6 +248,7 @@ def keep_ordinary(docs: DataFrame, model: Model, *, threshold: float = 0.3, text
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:

@@ -150,7 +150,8 @@ def test_cut(spark):
     assert chaining.cut_passages(df, chaining.repeated_passages(df.limit(0))).count() == df.count()
     clash = df.withColumns({c: F.lit(c) for c in ("__passage_doc", "__passage_spans", "__filterw", "__filterslot")}).unionByName(df.where("doc_id = 1").selectExpr("cast(null as long) doc_id", "text"), allowMissingColumns=True)
     kept = chaining.cut_passages(clash, chaining.repeated_passages(df))
-    assert kept.columns == clash.columns and kept.where("doc_id is null").select("text").first() == df.where("doc_id = 1").select("text").first()
+    alone = lambda t: sorted(r.text or "" for r in t.where("doc_id is null").collect())
+    assert kept.columns == clash.columns and alone(kept) == alone(clash)
     assert {r.doc_id: r.text for r in kept.where("doc_id is not null").collect()} == {r.doc_id: r.text for r in cut.collect()}
     assert all(r["__passage_doc"] == "__passage_doc" and r["__filterslot"] == "__filterslot" for r in kept.where("doc_id is not null").collect())
     for own in truth.values():
