@@ -19,12 +19,18 @@ PAGE = ("file", "page")
 def visual_lines(words: DataFrame, *, tolerance: float = 3.0, keys: Sequence[str] = PAGE) -> DataFrame:
     """Words with ``line_top`` and ``line_no``: each joins the first line whose mean height is within the tolerance.
 
-    A page (its words are few) is one array, folded in order of height; the
-    state holds the lines begun so far as (sum, count) and each word's line.
+    A strip of a page is one array, folded in order of height; the state holds
+    the lines begun so far as (sum, count) and each word's line. Strips are cut
+    where heights step by more than the tolerance and twice what rounding them
+    hides: no line's mean reaches over such a step, so a long page costs no more
+    than its strips.
     """
     keys, rest = list(keys), [c for c in words.columns if c not in keys]
-    word = F.struct(F.round("top", 1).alias("__r"), "x0", "word_seq", F.struct(*rest).alias("__row"))
-    pages = words.groupBy(*keys).agg(F.array_sort(F.collect_list(word)).alias("__words"))
+    order = Window.partitionBy(*keys).orderBy("__r")
+    rounded = words.withColumn("__r", F.round("top", 1))
+    rounded = rounded.withColumn("__cut", F.coalesce((F.col("__r") - F.lag("__r").over(order) > tolerance + 0.2).cast("int"), F.lit(0)))
+    word = F.struct("__r", "x0", "word_seq", F.struct(*rest).alias("__row"))
+    pages = rounded.withColumn("__strip", F.sum("__cut").over(order.rangeBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "__strip").agg(F.array_sort(F.collect_list(word)).alias("__words"))
     start = F.struct(F.array().cast("array<struct<s:double,n:int>>").alias("lines"), F.array().cast("array<int>").alias("at"))
 
     def step(state: Column, w: Column) -> Column:
@@ -41,10 +47,11 @@ def visual_lines(words: DataFrame, *, tolerance: float = 3.0, keys: Sequence[str
     pages = pages.withColumn("__fold", F.aggregate("__words", start, step))
     means = F.transform(F.col("__fold.lines"), lambda x: x["s"] / x["n"])
     order = F.array_sort(F.transform(means, lambda m, i: F.struct(m.alias("m"), (i + 1).alias("i"))))
-    pages = pages.withColumns({"__means": means, "__order": F.transform(order, lambda o: o["i"])})
-    out = pages.select(*keys, "__means", "__order", F.explode(F.arrays_zip(F.col("__words"), F.col("__fold.at").alias("at"))).alias("__w"))
+    above = F.sum(F.size("__fold.lines")).over(Window.partitionBy(*keys).orderBy("__strip").rowsBetween(Window.unboundedPreceding, -1))
+    pages = pages.withColumns({"__means": means, "__order": F.transform(order, lambda o: o["i"]), "__above": F.coalesce(above, F.lit(0))})
+    out = pages.select(*keys, "__means", "__order", "__above", F.explode(F.arrays_zip(F.col("__words"), F.col("__fold.at").alias("at"))).alias("__w"))
     at = F.col("__w.at")
-    placed = out.select(*keys, F.col("__w.__words.__row").alias("__row"), F.element_at("__means", at).alias("line_top"), (F.array_position("__order", at) - 1).cast("int").alias("line_no"))
+    placed = out.select(*keys, F.col("__w.__words.__row").alias("__row"), F.element_at("__means", at).alias("line_top"), (F.col("__above") + F.array_position("__order", at) - 1).cast("int").alias("line_no"))
     return placed.select(*(F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in words.columns), "line_top", "line_no")
 
 
@@ -169,10 +176,10 @@ def score_columns(words: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     """Left edges of a page's average (12 to 100) and speed (to 12, with a dot) columns, and the band they span."""
     v = F.col("text").try_cast("double")
     number = F.col("text").rlike(r"^\d+(\.\d+)?$")
-    average = words.where(number & (v > 12) & (v <= 100))
-    speeds = words.where(number & (v > 0) & (v <= 12) & F.col("text").contains("."))
-    x = F.rint("x0").cast("int")
-    both = mode_of(average, keys, x, "word_seq").withColumnRenamed("mode", "average_x").join(mode_of(speeds, keys, x, "word_seq").withColumnRenamed("mode", "speed_x"), list(keys))
+    kind = F.when(number & (v > 12) & (v <= 100), "average").when(number & (v > 0) & (v <= 12) & F.col("text").contains("."), "speed")
+    counts = words.groupBy(*keys, kind.alias("__kind"), F.rint("x0").cast("int").alias("__x")).agg(F.count("*").alias("__n"), F.min("word_seq").alias("__seen")).where("__kind is not null")
+    mode = lambda k: F.max_by("__x", F.when(F.col("__kind") == k, F.struct("__n", -F.col("__seen")))).alias(f"{k}_x")
+    both = counts.groupBy(*keys).agg(mode("average"), mode("speed"), F.count_distinct("__kind").alias("__kinds")).where("__kinds = 2").drop("__kinds")
     return both.withColumns({"score_left": F.least("average_x", "speed_x") - 6, "score_right": F.greatest("average_x", "speed_x") + 40})
 
 

@@ -7,7 +7,7 @@ by a window over a file.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,12 @@ def _said(pieces: DataFrame, keys: Sequence[str], keep: dict[str, Column]) -> Da
     return pieces.groupBy(*keys).agg(*(text(c).alias(n) for n, c in keep.items()))
 
 
+def _said_in(pieces: str, keep: Callable[[Column], Column]) -> Column:
+    """As ``_said``, of an array of lines (structs ``line_top, words``)."""
+    words = F.flatten(F.transform(pieces, lambda p: F.transform(p["words"], lambda w: F.struct(p["line_top"].alias("line_top"), w["x0"].alias("x0"), w["word_seq"].alias("word_seq"), w["text"].alias("text"), w["x1"].alias("x1")))))
+    return squash(F.array_join(F.transform(F.array_sort(F.filter(words, keep)), lambda w: w["text"]), " "))
+
+
 def conformation(words: DataFrame, pages: DataFrame) -> DataFrame:
     """Rows of conformation pages without borders. ``pages`` gives ``file, page, section, year, quarter``.
 
@@ -159,18 +165,25 @@ def agility_category(line: Column | str) -> Column:
 
 def agility_columns(words: DataFrame, lines: DataFrame) -> DataFrame:
     """Of each page: the score band, where names begin, the owner column and whether it follows the scores."""
-    band = layout.score_columns(words)
+    band = layout.score_columns(words).join(_letters(words), PAGE)
+    kept = [c for c in band.columns if c not in PAGE]
+    base = band.join(lines.select(*PAGE, "words"), PAGE, "left").withColumn("data", _has(12, 100, False) & _has(0, 12, True))
+    base = base.groupBy(*PAGE).agg(*(F.first(c).alias(c) for c in kept), F.count_if("data").alias("n_data"))
+    after = F.filter("modes", lambda m: m["x"] > F.col("score_right") - 30)
+    least = F.greatest(F.lit(3.0), 0.3 * F.col("n_data"))
+    before = F.filter("modes", lambda m: (m["x"] > F.col("name_left") + 60) & (m["x"] < F.col("score_left")))
+    places = lambda modes: F.transform(modes, lambda m: m["x"])
+    out = base.withColumns({"after": after, "before_x": F.array_max(F.transform(before, lambda m: F.struct(m["n"].alias("n"), (-m["seen"]).alias("seen"), m["x"].alias("x"))))["x"]})
+    out = out.withColumns({"after_x": F.coalesce(F.array_min(places(F.filter("after", lambda m: m["n"] >= least))), F.array_min(places(F.col("after")))), "after_n": F.aggregate("after", F.lit(0).cast("long"), lambda n, m: n + m["n"])})
+    follows = F.col("after_n") >= 0.5 * F.greatest(F.lit(1), F.col("n_data"))
+    return out.withColumns({"owner_after": follows, "owner_x": F.when(follows, F.col("after_x")).otherwise(F.col("before_x"))}).where("owner_x is not null").drop("modes", "after")
+
+
+def _letters(words: DataFrame) -> DataFrame:
+    """Of each page where words with letters begin: ``name_left``, the first place, and ``modes``, every rounded place with its count and first word."""
     letters = words.where(~F.col("text").rlike(NUMBER) & F.col("text").rlike("[A-Za-z]"))
-    left = letters.groupBy(*PAGE).agg(F.min("x0").alias("name_left"))
-    data = lines.join(band, PAGE).where(_has(12, 100, False) & _has(0, 12, True)).groupBy(*PAGE).agg(F.count("*").alias("n_data"))
-    base = band.join(left, PAGE).join(data, PAGE, "left").withColumn("n_data", F.coalesce("n_data", F.lit(0)))
-    modes = letters.groupBy(*PAGE, F.rint("x0").alias("x")).agg(F.count("*").alias("n"), F.min("word_seq").alias("seen")).join(base, PAGE)
-    after = modes.where(F.col("x") > F.col("score_right") - 30).withColumn("strong", F.col("n") >= F.greatest(F.lit(3.0), 0.3 * F.col("n_data")))
-    after = after.groupBy(*PAGE).agg(F.coalesce(F.min(F.when(F.col("strong"), F.col("x"))), F.min("x")).alias("after_x"), F.sum("n").alias("after_n"))
-    before = modes.where((F.col("x") > F.col("name_left") + 60) & (F.col("x") < F.col("score_left"))).groupBy(*PAGE).agg(F.max_by("x", F.struct("n", -F.col("seen"))).alias("before_x"))
-    out = base.join(after, PAGE, "left").join(before, PAGE, "left")
-    follows = F.coalesce(F.col("after_n") >= 0.5 * F.greatest(F.lit(1), F.col("n_data")), F.lit(False))
-    return out.withColumns({"owner_after": follows, "owner_x": F.when(follows, F.col("after_x")).otherwise(F.col("before_x"))}).where("owner_x is not null")
+    counts = letters.groupBy(*PAGE, F.rint("x0").alias("x")).agg(F.count("*").alias("n"), F.min("word_seq").alias("seen"), F.min("x0").alias("left"))
+    return counts.groupBy(*PAGE).agg(F.min("left").alias("name_left"), F.collect_list(F.struct("x", "n", "seen")).alias("modes"))
 
 
 def _has(low: float, high: float, dot: bool) -> Column:
@@ -199,24 +212,24 @@ def agility(words: DataFrame, files: DataFrame, columns: DataFrame | None = None
     blocks = windows.header_blocks(lines, F.col("head"), agility_category("line"), PAGE, ["line_no"]).where("category is not null")
     blocks = blocks.where(F.col("data") | ~F.col("line").rlike(FOOTNOTE))
     keys = [*PAGE, "block"]
-    anchors = blocks.where("data").withColumn("anchor", F.col("line_no"))
-    tops = anchors.select(*keys, F.col("line_top").alias("at"), "anchor")
-    orphans = assign.nearest(blocks.where("not data"), tops, keys, "line_top", "at", "anchor", within=40).where("anchor is not null")
-    kept = [*keys, "anchor", "line_no", "line_top", "words", "name_left", "owner_x", "owner_after", "score_left"]
-    pieces = anchors.select(*kept).unionByName(orphans.select(*kept))
-    first = pieces.groupBy(*keys, "anchor").agg(F.min_by(F.element_at("words", 1), F.struct("line_top", "line_no")).alias("lead"), F.first("name_left").alias("name_left"))
-    printed = F.when(F.col("lead.text").rlike(RANK) & (F.col("lead.x0") < F.col("name_left") + 30), F.regexp_extract("lead.text", RANK, 1)).try_cast("int")
-    ranks = windows.continue_ranks(first.withColumn("printed", printed), "printed", keys, ["anchor"])
-    exploded = pieces.join(ranks.select(*keys, "anchor", F.when(F.col("printed").isNotNull(), F.col("lead.word_seq")).alias("rank_word")), [*keys, "anchor"]).withColumn("w", F.explode("words"))
-    x, free = F.col("w.x0"), ~F.coalesce(F.col("w.word_seq") == F.col("rank_word"), F.lit(False))
-    is_name = (x >= F.col("name_left") - 6) & (x < F.when(F.col("owner_after"), F.col("score_left")).otherwise(F.col("owner_x") - 6))
-    is_owner = F.when(F.col("owner_after"), x >= F.col("owner_x") - 6).otherwise((x >= F.col("owner_x") - 6) & (x < F.col("score_left")))
-    said = _said(exploded, [*keys, "anchor"], {"dog": is_name & free, "owner": is_owner})
     numbers = F.filter(F.transform("words", lambda w: w["text"]), lambda t: t.rlike(NUMBER))
     average = F.try_element_at(F.filter(numbers, lambda t: (t.cast("double") > 12) & (t.cast("double") <= 100)), F.lit(1))
     speed = F.try_element_at(F.filter(numbers, lambda t: (t.cast("double") > 0) & (t.cast("double") <= 12) & t.contains(".")), F.lit(1))
-    rows = anchors.select(*keys, "anchor", "category", short_decimal(average).alias("score"), F.coalesce(short_decimal(speed), F.lit("")).alias("score2")).join(said, [*keys, "anchor"]).join(ranks.select(*keys, "anchor", F.col("run_rank").alias("rank")), [*keys, "anchor"])
-    return rows.where("dog <> '' and score is not null").select(*PAGE, F.col("anchor").alias("line_no"), "category", "rank", F.lit("").alias("tie"), fix_glyphs("dog").alias("dog"), fix_glyphs("owner").alias("owner"), "score", "score2").join(files.select("file", "sport", "year", "quarter"), "file")
+    own = lambda x: F.any_value(F.when(F.col("data"), x), True)
+    nearest = assign.nearest_among(keys, "line_top", "line_no", F.col("data"), within=40)
+    pieces = blocks.withColumn("anchor", F.when(F.col("data"), F.col("line_no")).otherwise(nearest)).where("anchor is not null")
+    places = ("category", "name_left", "owner_x", "owner_after", "score_left")  # the same on all lines of a block
+    rows = pieces.groupBy(*keys, "anchor").agg(
+        *(F.first(c).alias(c) for c in places), F.collect_list(F.struct("line_top", "words")).alias("pieces"), F.min_by(F.element_at("words", 1), F.struct("line_top", "line_no")).alias("lead"),
+        own(short_decimal(average)).alias("score"), F.coalesce(own(short_decimal(speed)), F.lit("")).alias("score2"),
+    )
+    printed = F.when(F.col("lead.text").rlike(RANK) & (F.col("lead.x0") < F.col("name_left") + 30), F.regexp_extract("lead.text", RANK, 1)).try_cast("int")
+    ranked = windows.continue_ranks(rows.withColumn("printed", printed), "printed", keys, ["anchor"])
+    rank_word = F.when(F.col("printed").isNotNull(), F.col("lead.word_seq"))
+    is_name = lambda w: (w["x0"] >= F.col("name_left") - 6) & (w["x0"] < F.when(F.col("owner_after"), F.col("score_left")).otherwise(F.col("owner_x") - 6))
+    is_owner = lambda w: F.when(F.col("owner_after"), w["x0"] >= F.col("owner_x") - 6).otherwise((w["x0"] >= F.col("owner_x") - 6) & (w["x0"] < F.col("score_left")))
+    said = ranked.withColumns({"dog": _said_in("pieces", lambda w: is_name(w) & ~F.coalesce(w["word_seq"] == rank_word, F.lit(False))), "owner": _said_in("pieces", is_owner)})
+    return said.where("dog <> '' and score is not null").select(*PAGE, F.col("anchor").alias("line_no"), "category", F.col("run_rank").alias("rank"), F.lit("").alias("tie"), fix_glyphs("dog").alias("dog"), fix_glyphs("owner").alias("owner"), "score", "score2").join(files.select("file", "sport", "year", "quarter"), "file")
 
 
 def labelled_columns(words: DataFrame, lines: DataFrame) -> DataFrame:

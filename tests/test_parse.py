@@ -1,9 +1,11 @@
 """Whole parsers on synthetic pages."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from ringside.operators import layout
+from ringside.operators import assign, layout
 from ringside.plans import parse
 from ringside.sources.readers import WORDS
 
@@ -112,3 +114,51 @@ def test_lines_keep_their_words(spark):
     words = spark.createDataFrame(page([(10, [(50, "b"), (10, "a")]), (11, [(90, "c")])]), WORDS)
     assert [r.line for r in parse.lines_of(words).collect()] == ["a b c"]
     assert layout.session_lines(words).select(F.max("line_no")).first()[0] == 0
+
+
+def leaves(df):
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
+def test_agility_plan_is_small(spark, files):
+    words = spark.createDataFrame([], WORDS)
+    assert leaves(parse.agility(words, files)) < 20
+
+
+def folded(tops, tolerance):
+    """Lines by their definition: the first line begun whose mean is near, numbered by their means."""
+    lines, at = [], []
+    for _, i in sorted((round(t, 1), i) for i, t in enumerate(tops)):
+        near = next((k for k, ls in enumerate(lines) if abs(sum(ls) / len(ls) - tops[i]) <= tolerance), None)
+        if near is None:
+            lines.append([])
+            near = len(lines) - 1
+        lines[near].append(tops[i])
+        at.append((i, near))
+    order = sorted(range(len(lines)), key=lambda k: (sum(lines[k]) / len(lines[k]), k))
+    return {i: order.index(k) for i, k in at}
+
+
+@pytest.mark.parametrize("tolerance", [3.0, 0.5])
+def test_strips_give_the_lines_of_the_whole_page(spark, tolerance):
+    rng = random.Random(7)
+    pages = [[rng.randrange(8 * n) / 8 for _ in range(n)] for n in (30, 200)] + [[k * 3.25 + 1 for k in range(60)], [k * 3.0 for k in range(60)], [0.0, 3.125, 6.375, 3.25]]
+    rows = [("f", p, i, "w", float(i), float(i + 1), t) for p, tops in enumerate(pages) for i, t in enumerate(tops)]
+    got = {(r.page, r.word_seq): r.line_no for r in layout.visual_lines(spark.createDataFrame(rows, WORDS), tolerance=tolerance).collect()}
+    assert got == {(p, i): k for p, tops in enumerate(pages) for i, k in folded(tops, tolerance).items()}
+
+
+def test_strips_keep_words_without_a_height(spark):
+    tops = [None, 5.0, float("nan"), 50.0, None, float("inf")]
+    words = spark.createDataFrame([("f", 1, i, "w", 0.0, 1.0, t) for i, t in enumerate(tops)], WORDS)
+    assert [r.line_no for r in layout.visual_lines(words).orderBy("word_seq").collect()] == [0, 2, 5, 3, 1, 4]
+
+
+def test_nearest_among_equals_nearest(spark):
+    rng = random.Random(3)
+    rows = [(p, i, rng.choice([None, *range(60)]) if i % 9 == 0 else rng.randrange(60) * 1.0, rng.random() < 0.4) for p in range(12) for i in range(25)]
+    df = spark.createDataFrame([(p, i, None if t is None else float(t), d) for p, i, t, d in rows], "p int, i int, t double, d boolean")
+    right = df.where("d").select("p", F.col("t").alias("at"), F.col("i").alias("id"))
+    want = {(r.p, r.i): r.id for r in assign.nearest(df.where("not d"), right, ["p"], "t", "at", "id", within=4).collect()}
+    got = df.withColumn("id", assign.nearest_among(["p"], "t", "i", F.col("d"), within=4)).where("not d")
+    assert {(r.p, r.i): r.id for r in got.collect()} == want and {None} < set(want.values())
