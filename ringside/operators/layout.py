@@ -81,7 +81,7 @@ def split_glued(words: DataFrame) -> DataFrame:
     return words.select(*rest, F.explode(F.when(glued, both).otherwise(whole)).alias("__w")).select(*rest, "__w.text", "__w.x0", "__w.x1", F.col("__w.part").alias("part"))
 
 
-def cluster_rows(df: DataFrame, keys: Sequence[str], x: str, tie: str, k: int) -> DataFrame:
+def cluster_rows(df: DataFrame, keys: Sequence[str], x: str, tie: str, k: int | Column) -> DataFrame:
     """Rows with ``cluster``: numbers in order are cut at their k - 1 largest gaps (the first of equals)."""
     order = Window.partitionBy(*keys).orderBy(x, tie)
     gaps = df.withColumns({"__i": F.row_number().over(order), "__gap": F.col(x) - F.lag(x).over(order)})
@@ -116,18 +116,18 @@ def header_geometry(lines: DataFrame, keys: Sequence[str] = PAGE) -> DataFrame:
     head = F.array_contains(texts, "Rank") & F.array_contains(texts, "Owners") & F.arrays_overlap(texts, F.array(F.lit("Dog"), F.lit("Bitch")))
     word = lambda name: F.element_at(F.filter("words", lambda w: w["text"] == name), 1)
     middle = lambda w: (w["x0"] + w["x1"]) / 2
-    heads = lines.where(head).withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("line_no"))).where("__n = 1")
     dog = F.coalesce(middle(F.try_element_at(F.filter("words", lambda w: w["text"] == "Dog"), F.lit(1))), middle(F.try_element_at(F.filter("words", lambda w: w["text"] == "Bitch"), F.lit(1))))
-    found = heads.select(*keys, F.col("line_no").alias("head_no"), F.col("line_top").alias("head_top"), (word("Rank")["x1"] + 1).alias("name_left"), ((dog + middle(word("Owners"))) / 2).alias("owner_left"), middle(word("Owners")).alias("__owner"))
-    near = lines.join(found, list(keys)).where(F.col("line_no").between(F.col("head_no") - 2, F.col("head_no") + 1))
+    found = F.struct(F.col("line_no").alias("head_no"), F.col("line_top").alias("head_top"), (word("Rank")["x1"] + 1).alias("name_left"), ((dog + middle(word("Owners"))) / 2).alias("owner_left"), middle(word("Owners")).alias("owner"))
+    marked = lines.withColumn("__head", F.min(F.when(head, found)).over(Window.partitionBy(*keys)))  # the first: by its number
+    near = marked.where(F.col("line_no").between(F.col("__head.head_no") - 2, F.col("__head.head_no") + 1))
     labels = F.array(*map(F.lit, ("#BOB", "#BOS", "BOB", "BOS", "Points", "Total", "BIS", "GRP1", "GRP2", "GRP3", "GRP4", "Shows", "#Spec", "#")))
-    right = F.filter("words", lambda w: (w["x0"] > F.col("__owner") + 20) & (F.array_contains(labels, w["text"]) | w["text"].rlike(r"^\(?-?\d+\)?$")))
-    edges = near.where(F.col("line_no") <= F.col("head_no")).groupBy(*keys).agg(F.min(F.array_min(F.transform(right, lambda w: w["x0"]))).alias("__edge"))
-    zone = found.join(edges, list(keys), "left").withColumn("number_left", F.coalesce(F.col("__edge") - 6, F.col("__owner") + 80)).drop("__edge")
-    own = near.select(*keys, "line_no", "words").join(zone, list(keys))
-    columns = F.array_sort(F.transform(F.filter("words", lambda w: (w["x0"] >= F.col("number_left") - 4) & F.array_contains(labels, w["text"])), middle))
-    widest = own.select(*keys, columns.alias("__c"), "line_no").groupBy(*keys).agg(F.max_by("__c", F.struct(F.size("__c"), -F.col("line_no"))).alias("centres"))
-    return zone.drop("__owner").join(widest, list(keys), "left")
+    right = F.filter("words", lambda w: (w["x0"] > F.col("__head.owner") + 20) & (F.array_contains(labels, w["text"]) | w["text"].rlike(r"^\(?-?\d+\)?$")))
+    near = near.withColumn("__right", F.when(F.col("line_no") <= F.col("__head.head_no"), F.array_min(F.transform(right, lambda w: w["x0"]))))
+    zone = near.groupBy(*keys).agg(F.first("__head").alias("__head"), F.min("__right").alias("__edge"), F.collect_list(F.struct("line_no", "words")).alias("__near"))
+    zone = zone.select(*keys, "__head.head_no", "__head.head_top", "__head.name_left", "__head.owner_left", F.coalesce(F.col("__edge") - 6, F.col("__head.owner") + 80).alias("number_left"), "__near")
+    columns = lambda words: F.array_sort(F.transform(F.filter(words, lambda w: (w["x0"] >= F.col("number_left") - 4) & F.array_contains(labels, w["text"])), middle))
+    sized = F.transform(F.transform("__near", lambda n: F.struct(columns(n["words"]).alias("c"), n["line_no"].alias("l"))), lambda n: F.struct(F.size(n["c"]).alias("n"), (-n["l"]).alias("l"), n["c"].alias("c")))
+    return zone.withColumn("centres", F.array_max(sized)["c"]).drop("__near")
 
 
 def zone_of(x: Column, rank_left: Column, owner_left: Column, number_left: Column) -> Column:

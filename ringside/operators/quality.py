@@ -48,6 +48,13 @@ def choose(candidates: DataFrame, keys: Sequence[str], candidate: str, points: C
     return candidates.join(best.select(*keys, candidate), [*keys, candidate], "left_semi")
 
 
+def choose_in(candidates: DataFrame, keys: Sequence[str], candidate: str, points: Column) -> DataFrame:
+    """As ``choose``, in windows over the candidates themselves: for plans that are too large to stand in twice."""
+    summed = candidates.withColumn("__points", F.sum(points).over(Window.partitionBy(*keys, candidate)))
+    best = summed.withColumn("__n", F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("__points"), candidate)))
+    return best.where("__n = 1").drop("__points", "__n")
+
+
 def same_dog(a: Column, b: Column) -> Column:
     """Whether two names' cores are equal or one holds the other."""
     x, y = name_core(a), name_core(b)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import short_decimal
+from ..functions.numbers import clean_num, short_decimal
 from ..functions.text import category_label, fix_glyphs, is_division, is_header, is_noise, lead_initials, squash
 from ..operators import assign, layout, quality, windows
 from .store import BREED_STATS, GROUP_STATS
@@ -54,7 +54,7 @@ def conformation(words: DataFrame, pages: DataFrame) -> DataFrame:
     Names that wrap belong to the rank line above them, or to the nearest: both
     are tried, and each page keeps the one whose names look cleaner.
     """
-    lines = lines_of(words).join(pages.select(*PAGE, "section"), PAGE)
+    lines = lines_of(words).join(pages.select(*PAGE, "section", "year", "quarter"), PAGE)
     geometry = layout.header_geometry(lines)
     body = lines.join(geometry, PAGE).where(F.col("line_top") > F.col("head_top") + 1)
     loose = body.select(*PAGE, "line_no", "name_left", "number_left", F.explode("words").alias("w"))
@@ -63,34 +63,52 @@ def conformation(words: DataFrame, pages: DataFrame) -> DataFrame:
     numbers = F.filter("words", lambda w: (w["x0"] >= F.col("number_left")) & w["text"].rlike(STAT))
     printed = F.filter("words", lambda w: (w["x0"] < F.col("name_left")) & w["text"].rlike(r"^\d+$"))
     body = body.withColumns({"numbers": numbers, "printed": F.try_element_at(printed, F.lit(1))["text"].try_cast("int")})
-    anchors = windows.fill_ties(body.where(F.size("numbers") >= 2), "printed", PAGE, ["line_no"])
-    rest = body.where((F.size("numbers") < 2) & F.exists("words", lambda w: (w["x0"] >= F.col("name_left") - 6) & (w["x0"] < F.col("number_left"))))
-    tops = anchors.select(*PAGE, F.col("line_top").alias("at"), F.col("line_no").alias("anchor"))
-    first = tops.groupBy(*PAGE).agg(F.min("anchor").alias("first"), F.min_by("at", "anchor").alias("first_at"))
-    wrapped = rest.select(*PAGE, "line_no", "line_top", "words", "name_left", "owner_left", "number_left", (F.col("line_top") + 1).alias("reach"))
-    below = assign.asof(wrapped, tops.withColumn("at2", F.col("at")), PAGE, "reach", "at", ["anchor", "at2"]).join(first, PAGE)
-    below = below.withColumns({"anchor": F.coalesce("anchor", "first"), "at2": F.coalesce("at2", "first_at")}).where(F.abs(F.col("at2") - F.col("line_top")) <= 34).withColumn("model", F.lit(0))
-    centred = assign.nearest(wrapped, tops, PAGE, "line_top", "at", "anchor", within=34).where("anchor is not null").withColumn("model", F.lit(1))
-    columns = [*PAGE, "model", "anchor", "line_top", "words", "name_left", "owner_left", "number_left"]
-    own = anchors.withColumn("anchor", F.col("line_no")).withColumn("model", F.explode(F.array(F.lit(0), F.lit(1))))
-    pieces = own.select(*columns).unionByName(below.select(*columns)).unionByName(centred.select(*columns)).withColumn("w", F.explode("words"))
-    middle = (F.col("w.x0") + F.col("w.x1")) / 2
-    rank_word = (F.col("w.x0") < F.col("name_left")) & F.col("w.text").rlike(r"^\d+$")
-    texts = _said(pieces, [*PAGE, "model", "anchor"], {"name": (middle >= F.col("name_left") - 6) & (middle < F.col("owner_left")) & ~rank_word, "owner": (middle >= F.col("owner_left")) & (middle < F.col("number_left"))})
+    body = body.withColumn("own", F.size("numbers") >= 2)
+    body = body.where(F.col("own") | F.exists("words", lambda w: (w["x0"] >= F.col("name_left") - 6) & (w["x0"] < F.col("number_left"))))
+    # each other line with the last rank line at its height or above (else the page's first), and with the nearest
+    rank_line = F.when(F.col("own"), F.struct("line_no", F.col("line_top").alias("at")))
+    body = body.withColumn("reach", F.when(F.col("own"), F.col("line_top")).otherwise(F.col("line_top") + 1))
+    last = F.last(rank_line, ignorenulls=True).over(Window.partitionBy(*PAGE).orderBy("reach", F.desc("own"), "line_no").rowsBetween(Window.unboundedPreceding, 0))
+    body = body.withColumn("above", F.coalesce(last, F.min(rank_line).over(Window.partitionBy(*PAGE))))
+    below = F.when(F.abs(F.col("above.at") - F.col("line_top")) <= 34, F.col("above.line_no"))
+    body = body.withColumns({"below": below, "centred": assign.nearest_among(PAGE, "line_top", "line_no", F.col("own"), within=34)})
+    models = F.array(*(F.struct(F.lit(i).alias("model"), F.when(F.col("own"), F.col("line_no")).otherwise(F.col(c)).alias("anchor")) for i, c in enumerate(("below", "centred"))))
+    pieces = body.withColumn("m", F.explode(models)).withColumns({"model": F.col("m.model"), "anchor": F.col("m.anchor")}).where("anchor is not null")
+    same = ("name_left", "owner_left", "number_left", "centres", "section", "year", "quarter")  # on all lines of a page
+    mine = lambda c: F.any_value(F.when(F.col("own"), F.col(c)), True).alias(c)
+    rows = pieces.groupBy(*PAGE, "model", "anchor").agg(*(F.first(c).alias(c) for c in same), mine("printed"), mine("numbers"), F.collect_list(F.struct("line_top", "words")).alias("pieces"))
+    middle = lambda w: (w["x0"] + w["x1"]) / 2
+    rank_word = lambda w: (w["x0"] < F.col("name_left")) & w["text"].rlike(r"^\d+$")
+    said = {
+        "name": _said_in("pieces", lambda w: (middle(w) >= F.col("name_left") - 6) & (middle(w) < F.col("owner_left")) & ~rank_word(w)),
+        "owner": _said_in("pieces", lambda w: (middle(w) >= F.col("owner_left")) & (middle(w) < F.col("number_left"))),
+    }
+    rows = rows.withColumns(said).drop("pieces")
     name, owner = lead_initials("name", "owner")
-    texts = texts.select(*PAGE, "model", "anchor", name.alias("name"), owner.alias("owner"))
-    chosen = quality.choose(texts, PAGE, "model", quality.name_score(F.col("name"), F.col("owner")))
-
-    out = None
-    for group, names in ((False, BREED_STATS), (True, GROUP_STATS)):
-        mine = anchors.where(F.col("section").startswith("Group") == group)
-        cells = mine.select(*PAGE, "line_no", "centres", F.explode("numbers").alias("w")).select(*PAGE, "line_no", "centres", "w.*")
-        found = layout.gap_clusters(cells.withColumn("mid", (F.col("x0") + F.col("x1")) / 2), PAGE, "mid", "word_seq", len(names)).groupBy(*PAGE).agg(F.array_sort(F.collect_list("centre")).alias("clustered"))
-        placed = cells.join(found, PAGE).withColumn("centres", F.when(F.size("centres") == len(names), F.col("centres")).otherwise(F.col("clustered")))
-        stats = layout.stat_columns(placed, [*PAGE, "line_no"], F.col("centres"), names, ["x0", "word_seq"])
-        part = mine.select(*PAGE, "line_no", "section", F.col("filled_rank").alias("rank"), "tie").join(stats, [*PAGE, "line_no"])
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out.join(chosen.withColumnRenamed("anchor", "line_no").drop("model"), [*PAGE, "line_no"]).join(pages.select(*PAGE, "year", "quarter"), PAGE)
+    chosen = quality.choose_in(rows.withColumns({"name": name, "owner": owner}), PAGE, "model", quality.name_score(F.col("name"), F.col("owner")))
+    ranked = windows.fill_ties(chosen.withColumnRenamed("anchor", "line_no"), "printed", PAGE, ["line_no"])
+
+    # numbers to the columns of the header, or else to the clusters of the page's numbers
+    group = F.col("section").startswith("Group")
+    size = F.when(group, len(GROUP_STATS)).otherwise(len(BREED_STATS))
+    kept = ["section", "filled_rank", "tie", "name", "owner", "year", "quarter"]
+    cells = ranked.select(*PAGE, "line_no", *kept, "centres", group.alias("group"), F.explode("numbers").alias("w")).select(*PAGE, "line_no", *kept, "centres", "group", "w.*").withColumn("mid", (F.col("x0") + F.col("x1")) / 2)
+    keys = [*PAGE, "group"]
+    clusters = layout.cluster_rows(cells, keys, "mid", "word_seq", size)
+    own = Window.partitionBy(*keys, "cluster")
+    clusters = clusters.withColumn("centre", F.when(F.row_number().over(own.orderBy("mid", "word_seq")) == 1, F.avg("mid").over(own)))
+    clusters = clusters.withColumn("clustered", F.array_sort(F.collect_list("centre").over(Window.partitionBy(*keys))))
+    centres = F.when(F.size("centres") == size, F.col("centres")).otherwise(F.col("clustered"))
+    placed = clusters.withColumns({"c": assign.nearest_in(centres, F.col("mid")), "v": clean_num("text")})
+    wide = placed.groupBy(*keys, "line_no").agg(*(F.first(c).alias(c) for c in kept), F.array_sort(F.collect_list(F.struct("x0", "word_seq", "v", "c"))).alias("cells"))
+
+    def stat(n: str) -> Column:
+        place = F.coalesce(*(F.when(F.col("group") == g, names.index(n) + 1) for g, names in ((False, BREED_STATS), (True, GROUP_STATS)) if n in names))
+        here = F.filter("cells", lambda x: x["c"] == place)
+        return F.when(F.size(here) > 0, F.array_join(F.transform(here, lambda x: x["v"]), "/")).alias(n)
+
+    stats = [stat(n) for n in dict.fromkeys((*BREED_STATS, *GROUP_STATS))]
+    return wide.select(*PAGE, "line_no", "section", F.col("filled_rank").alias("rank"), "tie", *stats, "name", "owner", "year", "quarter")
 
 
 def without_notes(lines: DataFrame, sport: Column) -> DataFrame:

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ringside.operators import assign, layout
+from ringside.operators import assign, layout, quality
 from ringside.plans import parse
+from ringside.plans.store import BREED_STATS, GROUP_STATS
 from ringside.sources.readers import WORDS
 
 
@@ -162,3 +163,31 @@ def test_nearest_among_equals_nearest(spark):
     want = {(r.p, r.i): r.id for r in assign.nearest(df.where("not d"), right, ["p"], "t", "at", "id", within=4).collect()}
     got = df.withColumn("id", assign.nearest_among(["p"], "t", "i", F.col("d"), within=4)).where("not d")
     assert {(r.p, r.i): r.id for r in got.collect()} == want and {None} < set(want.values())
+
+
+def test_conformation_plan_is_small(spark):
+    pages = spark.createDataFrame([], "file string, page int, section string, year int, quarter string")
+    assert leaves(parse.conformation(spark.createDataFrame([], WORDS), pages)) < 30
+
+
+def test_conformation_without_labels_goes_by_clusters(spark):
+    def sheet(number, k):
+        xs = [400 + 40 * i for i in range(k)]
+        rows = [(20, [(10, "Rank"), (60, "Dog"), (250, "Owners"), (400, "Points")])]
+        rows += [(50 + 30 * r, [(15, str(r + 1)), (45, "CH Sun"), (220, "A. Core"), *[(x + (i + r) % 3, str(10 * r + i)) for i, x in enumerate(xs)]]) for r in range(3)]
+        rows[-1][1].append((xs[0] + 12, "(9)"))  # a second number on a column
+        return page(rows, "f", number)
+
+    pages = spark.createDataFrame([("f", 1, "Breed - Dogs", 2026, "Q1"), ("f", 2, "Group - Dogs", 2026, "Q1"), ("f", 3, "Breed - Dogs", 2026, "Q1")], "file string, page int, section string, year int, quarter string")
+    got = parse.conformation(spark.createDataFrame(sheet(1, 7) + sheet(2, 11), WORDS), pages).orderBy("page", "line_no").collect()
+    assert [(r.page, r["rank"], r.name, r.owner) for r in got] == [(p, r + 1, "CH Sun", "A. Core") for p in (1, 2) for r in range(3)]
+    for r, names, others in [(r, *((BREED_STATS, GROUP_STATS), (GROUP_STATS, BREED_STATS))[r.page - 1]) for r in got]:
+        k = 10 * (r["rank"] - 1)
+        assert [r[n] for n in names] == [str(k) + ("/9" if k == 20 else ""), *(str(k + i) for i in range(1, len(names)))]
+        assert all(r[n] is None for n in others if n not in names)
+
+
+def test_choose_in_equals_choose(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(k, rng.randrange(3), rng.choice([None, 0, 1, 2])) for k in range(40) for _ in range(rng.randrange(1, 6))], "k int, c int, n int")
+    assert sorted(quality.choose_in(df, ["k"], "c", F.col("n")).collect(), key=str) == sorted(quality.choose(df, ["k"], "c", F.col("n")).collect(), key=str)
