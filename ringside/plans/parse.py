@@ -255,16 +255,13 @@ def labelled_columns(words: DataFrame, lines: DataFrame) -> DataFrame:
     heads = lines.where((F.col("line_no") < 30) & (F.size("words") <= 6)).select(*PAGE, F.explode("words").alias("w"))
     at = lambda pattern: F.min(F.when(F.col("w.text").rlike(pattern), F.col("w.x0")))
     labels = heads.groupBy(*PAGE).agg(at("(?i)^Owner").alias("owner_label"), F.least(at("(?i)^(Av|Score)"), at("(?i)^YPS")).alias("score_label"))
-    band = layout.score_columns(words).join(labels, PAGE).where("owner_label is not null and score_label is not null")
+    band = layout.score_columns(words).join(labels, PAGE).where("owner_label is not null and score_label is not null").join(_letters(words), PAGE)
     band = band.withColumn("score_left", F.least(F.col("score_label") - 18, F.col("score_left")))
-    letters = words.where(~F.col("text").rlike(NUMBER) & F.col("text").rlike("[A-Za-z]"))
-    modes = letters.groupBy(*PAGE, F.rint("x0").alias("x")).agg(F.count("*").alias("n")).join(band.select(*PAGE, "owner_label"), PAGE)
-    near = modes.where(F.col("x").between(F.col("owner_label") - 55, F.col("owner_label") + 12))
-    strong = near.withColumn("top", F.max("n").over(Window.partitionBy(*PAGE))).where("n >= 0.4 * top").groupBy(*PAGE).agg(F.min("x").alias("edge"))
-    fallback = modes.groupBy(*PAGE).agg(F.min_by("x", F.struct(F.abs(F.col("x") - F.col("owner_label")), "x")).alias("nearest"))
-    left = letters.groupBy(*PAGE).agg(F.min("x0").alias("name_left"))
-    out = band.join(strong, PAGE, "left").join(fallback, PAGE).join(left, PAGE)
-    return out.withColumns({"owner_x": F.coalesce("edge", "nearest"), "owner_after": F.col("owner_label") > F.col("score_label")})
+    band = band.withColumn("near", F.filter("modes", lambda m: m["x"].between(F.col("owner_label") - 55, F.col("owner_label") + 12)))
+    top = F.array_max(F.transform("near", lambda m: m["n"]))
+    strong = F.array_min(F.transform(F.filter("near", lambda m: m["n"] >= 0.4 * top), lambda m: m["x"]))
+    nearest = F.array_min(F.transform("modes", lambda m: F.struct(F.abs(m["x"] - F.col("owner_label")).alias("d"), m["x"].alias("x"))))["x"]
+    return band.withColumns({"owner_x": F.coalesce(strong, nearest), "owner_after": F.col("owner_label") > F.col("score_label")}).drop("modes", "near")
 
 
 def standings(lines: DataFrame, files: DataFrame, *, limit: float = 10) -> DataFrame:

@@ -191,3 +191,8 @@ def test_choose_in_equals_choose(spark):
     rng = random.Random(5)
     df = spark.createDataFrame([(k, rng.randrange(3), rng.choice([None, 0, 1, 2])) for k in range(40) for _ in range(rng.randrange(1, 6))], "k int, c int, n int")
     assert sorted(quality.choose_in(df, ["k"], "c", F.col("n")).collect(), key=str) == sorted(quality.choose(df, ["k"], "c", F.col("n")).collect(), key=str)
+
+
+def test_labelled_plan_is_small(spark, files):
+    words = spark.createDataFrame([], WORDS)
+    assert leaves(parse.agility(words, files, parse.labelled_columns(words, parse.lines_of(words)))) < 20
